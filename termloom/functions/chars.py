@@ -14,7 +14,7 @@ def units(word: Column) -> Column:
     Such a pair is written as its two hexadecimal code units, which no single
     character can equal.
     """
-    chars = F.filter(F.split(word, ""), lambda c: c != "")
+    chars = F.when(word == "", F.array().cast("array<string>")).otherwise(F.split(word, ""))
     pair = lambda c: F.hex(F.encode(c, "UTF-16BE"))
     split_up = F.flatten(
         F.transform(
@@ -25,7 +25,8 @@ def units(word: Column) -> Column:
             ).otherwise(F.array(c)),
         )
     )
-    return F.when(word.rlike(r"[\x{10000}-\x{10FFFF}]"), split_up).otherwise(chars)
+    wide = (F.octet_length(word) > F.length(word)) & word.rlike(r"[\x{10000}-\x{10FFFF}]")
+    return F.when(wide, split_up).otherwise(chars)
 
 
 def occurrences(bag: Column, unit: Column) -> Column:
@@ -34,11 +35,8 @@ def occurrences(bag: Column, unit: Column) -> Column:
 
 def squared_norm(bag: Column) -> Column:
     """Sum of squared character counts of an array from ``units``."""
-    return F.aggregate(
-        F.array_distinct(bag),
-        F.lit(0).cast("bigint"),
-        lambda acc, u: acc + occurrences(bag, u) * occurrences(bag, u),
-    )
+    counts = F.transform(F.array_distinct(bag), lambda u: occurrences(bag, u))
+    return F.aggregate(counts, F.lit(0).cast("bigint"), lambda acc, c: acc + c * c)
 
 
 def word_bag(word: str) -> dict[str, int]:
@@ -71,5 +69,4 @@ def dot_with(bag: Column, query: dict[str, int]) -> Column:
 
 def cosine(dot: Column, norm_a: Column, norm_b: Column) -> Column:
     """dot / (|a| * |b|), and 0 where one of them is empty."""
-    length = norm_a * norm_b
-    return F.when(length != 0, dot.cast("double") / length).otherwise(F.lit(0.0))
+    return F.coalesce(F.try_divide(dot.cast("double"), norm_a * norm_b), F.lit(0.0))

@@ -14,8 +14,8 @@ def unix_lines(text: Column) -> Column:
 
 def whole_content(text: Column) -> Column:
     """Every line followed by one newline; the empty text stays empty."""
-    body = unix_lines(text)
-    return F.when((body == "") | body.endswith(NEWLINE), body).otherwise(F.concat(body, F.lit(NEWLINE)))
+    ended = (text == "") | text.endswith(NEWLINE) | text.endswith("\r")
+    return F.concat(unix_lines(text), F.when(ended, F.lit("")).otherwise(F.lit(NEWLINE)))
 
 
 def lines(text: Column) -> Column:

@@ -34,19 +34,32 @@ SINGLES = (
     r"\x{20000}-\x{3ffff}"  # Han
 )
 
-_EXTEND = r"[\p{M}\p{Cf}&&[^\u200b]]"
-_LETTER = rf"[a-z[\p{{IsAlphabetic}}&&[^\p{{M}}{SPACELESS}{KATAKANA}{SINGLES}]]]"
+# Lower-case Latin letters below U+0100. Most text is made of these, so they are
+# listed first and the slower tests of Unicode properties start at U+0100.
+_LATIN = r"a-zªµºß-öø-ÿ"
+_LETTER = (
+    rf"[{_LATIN}[Ā-\x{{10ffff}}&&\p{{IsAlphabetic}}"
+    rf"&&[^\p{{M}}{SPACELESS}{KATAKANA}{SINGLES}]]]"
+)
+_JOINER = r"[_[Ā-\x{10ffff}&&\p{Pc}]]"
+_EXTEND = r"[­[̀-\x{10ffff}&&[\p{M}\p{Cf}]&&[^​]]]"
+
 _LETTERS = rf"(?>{_LETTER}++(?>{_EXTEND}++)?+)++"
 _DIGITS = rf"(?>\p{{Nd}}++(?>{_EXTEND}++)?+)++"
 _WORD = rf"{_LETTERS}(?>[{MID_LETTER}{MID_EITHER}]{_LETTERS})*+"
 _NUMBER = rf"{_DIGITS}(?>[{MID_NUMBER}{MID_EITHER}]{_DIGITS})*+"
 
-TOKEN_PATTERN = (
-    rf"\p{{Pc}}*+(?>{_WORD}|{_NUMBER})(?>\p{{Pc}}++|{_WORD}|{_NUMBER})*+"
-    rf"|(?>[{KATAKANA}]{_EXTEND}*+)++"
+# The plain case, tried first: Latin letters up to a character that ends a word.
+_PLAIN = rf"[{_LATIN}]++(?=[.:']?+[\s,;!?()\"-])"
+_MIXED = rf"{_JOINER}*+(?>{_WORD}|{_NUMBER})(?>{_JOINER}++|{_WORD}|{_NUMBER})*+"
+_OTHER_SCRIPT = (
+    rf"(?=[฀-\x{{10ffff}}])(?>"
+    rf"(?>[{KATAKANA}]{_EXTEND}*+)++"
     rf"|[{SINGLES}]{_EXTEND}*+"
-    rf"|(?>[{SPACELESS}&&[\p{{L}}\p{{M}}]]++{_EXTEND}*+)++"
+    rf"|(?>[{SPACELESS}&&[\p{{L}}\p{{M}}]]++{_EXTEND}*+)++)"
 )
+_MAY_START = rf"(?=[{_LATIN}0-9_Ā-\x{{10ffff}}])"
+TOKEN_PATTERN = rf"{_MAY_START}(?>{_PLAIN}|{_MIXED}|{_OTHER_SCRIPT})"
 
 
 def lowered(text: Column) -> Column:

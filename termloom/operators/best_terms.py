@@ -62,7 +62,7 @@ def attach_doc_freq(vectors: DataFrame, freqs: DataFrame, max_broadcast: int = B
     rare = freqs.filter(~is_common)
     by_broadcast = vectors.join(F.broadcast(common), "term")
     rest = vectors.join(F.broadcast(common.select("term")), "term", "left_anti")
-    by_shuffle = rest.join(rare.hint("shuffle_merge"), "term")
+    by_shuffle = rest.join(rare, "term")
     return by_broadcast.unionByName(by_shuffle)
 
 

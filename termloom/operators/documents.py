@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from termloom.session import materialize
 from termloom.sizes import BROADCAST_ROWS, fits_broadcast
 
+# monotonically_increasing_id: the task above these bits, the place in it below.
+_PLACE_BITS = 33
+
 
 def add_documents(existing: DataFrame, new: DataFrame) -> DataFrame:
     """All rows of both; a path met twice stays twice."""
@@ -26,6 +29,20 @@ def last_per_key(new: DataFrame, key: str, order: str | None) -> DataFrame:
     return new.withColumn("_rank", ranked).filter(F.col("_rank") == 1).drop("_rank")
 
 
+def without_keys(
+    existing: DataFrame, keys: DataFrame, key: str = "path", max_broadcast: int = BROADCAST_ROWS
+) -> DataFrame:
+    """The rows of ``existing`` whose key is not among the distinct ``keys``.
+
+    While the keys fit a broadcast the rows are filtered where they are read.
+    Beyond that the keys become a table of their own, and the join shuffles by key,
+    where adaptive execution can split a key with very many old rows.
+    """
+    if fits_broadcast(keys, max_broadcast):
+        return existing.join(F.broadcast(keys), key, "left_anti")
+    return existing.join(materialize(keys, "upsert-keys"), key, "left_anti")
+
+
 def upsert_documents(
     existing: DataFrame,
     new: DataFrame,
@@ -35,18 +52,10 @@ def upsert_documents(
 ) -> DataFrame:
     """Replace every row that shares its key with a new row, and add the rest.
 
-    Only the keys of the new rows take part in the join. While they fit a
-    broadcast the existing rows are filtered where they are read; beyond that
-    the keys go to a table of their own, and the join shuffles by key, where
-    adaptive execution can split a key with very many old rows.
+    Only the keys of the new rows take part in the join, never their contents.
     """
-    latest = last_per_key(new, key, order)
-    keys = new.select(key).distinct()
-    if fits_broadcast(keys, max_broadcast):
-        kept = existing.join(F.broadcast(keys), key, "left_anti")
-    else:
-        kept = existing.join(materialize(keys, "upsert-keys").hint("shuffle_merge"), key, "left_anti")
-    return kept.unionByName(latest.select(*existing.columns))
+    kept = without_keys(existing, new.select(key).distinct(), key, max_broadcast)
+    return kept.unionByName(last_per_key(new, key, order).select(*existing.columns))
 
 
 def merge_partials(partials: Sequence[DataFrame]) -> DataFrame:
@@ -54,23 +63,47 @@ def merge_partials(partials: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, partials)
 
 
-def number_documents(docs: DataFrame, start: int = 0) -> DataFrame:
-    """``docs`` plus a dense doc_id from ``start``.
+def _numbered(placed: DataFrame, sizes: DataFrame, start: int) -> DataFrame:
+    """doc_id = rows of the tasks before + place in the task, for rows with _place.
 
-    Two passes: the rows are written once with their task and place in it, then
-    each task's rows are shifted by the number of rows in the tasks before.
+    ``sizes`` has one row per task, so its window and its broadcast are small.
     """
-    place_bits = 33
-    staged = materialize(docs.withColumn("_place", F.monotonically_increasing_id()), "numbering")
-    task = F.shiftright("_place", place_bits)
-    sizes = staged.groupBy(task.alias("_task")).agg(F.count("*").alias("_n"))
-    # One row per task, so this window and its broadcast are small by construction.
     before = F.sum("_n").over(W.orderBy("_task").rowsBetween(W.unboundedPreceding, -1))
-    shifts = sizes.select("_task", F.coalesce(before, F.lit(0)).alias("_shift"))
-    inside = F.col("_place").bitwiseAND((1 << place_bits) - 1)
+    shifts = sizes.select("_task", "_n", F.coalesce(before, F.lit(0)).alias("_shift"))
+    inside = F.col("_place").bitwiseAND((1 << _PLACE_BITS) - 1)
+    known = F.col("_n").isNotNull() & (inside < F.col("_n"))
+    number = F.when(known, F.col("_shift") + inside + F.lit(start)).otherwise(
+        F.raise_error(F.lit("the rows of a task changed while documents were numbered")).cast("bigint")
+    )
     return (
-        staged.withColumn("_task", task)
-        .join(F.broadcast(shifts), "_task")
-        .withColumn("doc_id", F.col("_shift") + inside + F.lit(start))
-        .drop("_task", "_shift", "_place")
+        placed.withColumn("_task", F.shiftright("_place", _PLACE_BITS))
+        .join(F.broadcast(shifts), "_task", "left")
+        .withColumn("doc_id", number)
+        .drop("_task", "_n", "_shift", "_place")
     )
+
+
+def _task_sizes(placed: DataFrame) -> DataFrame:
+    task = F.shiftright("_place", _PLACE_BITS).alias("_task")
+    return placed.groupBy(task).agg(F.count("*").alias("_n"))
+
+
+def number_documents(docs: DataFrame, start: int = 0) -> DataFrame:
+    """``docs`` plus a dense doc_id from ``start``, for rows of any origin.
+
+    The rows are written once with their task and place, then numbered, because a
+    plan with shuffles may spread its rows differently when it runs again.
+    """
+    placed = materialize(docs.withColumn("_place", F.monotonically_increasing_id()), "numbering")
+    return _numbered(placed, _task_sizes(placed), start)
+
+
+def number_scan(rows: DataFrame, start: int = 0) -> DataFrame:
+    """``number_documents`` for rows straight from a file scan, without writing them.
+
+    A scan cuts the same files into the same tasks each time. The first pass only
+    counts, so it reads no contents. Should a task hold more rows later than it was
+    counted with, the job fails; two rows never get one number.
+    """
+    placed = rows.withColumn("_place", F.monotonically_increasing_id())
+    return _numbered(placed, materialize(_task_sizes(placed), "task-sizes"), start)

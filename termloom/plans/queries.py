@@ -24,6 +24,7 @@ EXTENSIONS = (".txt", ".c")
 TOP_LINES, BOTTOM_LINES = 3, 2
 TOP_OF_DOCUMENT, TOP_OF_EACH, TOP_SIMILAR = 25, 5, 20
 QUERY_WORD = "weather"
+DOC_ID = 7
 KEYWORDS = ("path", "lang", "source")
 FIELDS = ("path", terms.CONTENTS, "lang", "source")
 
@@ -44,6 +45,7 @@ def document_path() -> Column:
 
 
 def corpus(spark: SparkSession, sf_dir: str, **choices) -> DataFrame:
+    """The documents, ready for the analysis of their texts."""
     rows = read_table(spark, _file(sf_dir, "documents"), ("doc_id", "text", "lang", "source"), "doc_id")
     return table_corpus(rows, document_path(), keep=("lang", "source"), **choices)
 
@@ -63,9 +65,9 @@ def web(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delivery(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """An existing document table, and a batch: new texts for the documents that
     have a label, and all conversation turns."""
-    existing = corpus(spark, sf_dir).select("path", "contents")
+    existing = _plain_corpus(spark, sf_dir).select("path", "contents")
     labels = spark.read.parquet(_file(sf_dir, "labels")).select("doc_id")
-    rows = read_table(spark, _file(sf_dir, "documents"), ("doc_id", "text", "lang", "source"), "doc_id")
+    rows = spark.read.parquet(_file(sf_dir, "documents"))
     again = rows.join(labels, "doc_id", "left_semi").withColumn("text", F.concat("text", F.lit(" v2")))
     new = table_corpus(again, document_path()).select("path", "contents")
     return existing, new.unionByName(talk(spark, sf_dir).select("path", "contents"))
@@ -77,24 +79,18 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(analysed.select("doc_id", "terms", "freqs"), "vectors")
 
 
-def longest_document(spark: SparkSession, sf_dir: str) -> int:
-    rows = spark.read.parquet(_file(sf_dir, "documents"))
-    return rows.select("doc_id", "n_chars").orderBy(F.desc("n_chars"), "doc_id").first()["doc_id"]
-
-
 def _content(**choices) -> Query:
-    return lambda spark, sf_dir: corpus(spark, sf_dir, **choices).select("doc_id", "contents")
+    return lambda spark, sf_dir: _plain_corpus(spark, sf_dir, **choices).select("doc_id", "contents")
 
 
-def _plain_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus as scanned, for queries that read no text."""
-    return table_corpus(
-        spark.read.parquet(_file(sf_dir, "documents")), document_path(), keep=("lang", "source")
-    )
+def _plain_corpus(spark: SparkSession, sf_dir: str, **choices) -> DataFrame:
+    """The documents as scanned, for queries that do not analyse texts."""
+    rows = spark.read.parquet(_file(sf_dir, "documents"))
+    return table_corpus(rows, document_path(), keep=("lang", "source"), **choices)
 
 
 def corpus_scan(spark, sf_dir):
-    return corpus(spark, sf_dir).select("path", "contents", "sizeKb")
+    return _plain_corpus(spark, sf_dir).select("path", "contents", "sizeKb")
 
 
 def file_extension(spark, sf_dir):
@@ -104,8 +100,7 @@ def file_extension(spark, sf_dir):
 
 
 def extension_filter(spark, sf_dir):
-    rows = spark.read.parquet(_file(sf_dir, "documents"))
-    return table_corpus(rows, document_path(), extensions=EXTENSIONS).select("path", "sizeKb")
+    return _plain_corpus(spark, sf_dir, extensions=EXTENSIONS).select("path", "sizeKb")
 
 
 def file_size(spark, sf_dir):
@@ -196,7 +191,7 @@ def corpus_size(spark, sf_dir):
 
 def _one_document(spark, sf_dir, positions: bool = False) -> DataFrame:
     rows = spark.read.parquet(_file(sf_dir, "documents"))
-    chosen = rows.filter(F.col("doc_id") == longest_document(spark, sf_dir))
+    chosen = rows.filter(F.col("doc_id") == DOC_ID)
     return terms.with_vectors(table_corpus(chosen, document_path()), positions)
 
 
@@ -207,8 +202,7 @@ def doc_terms(spark, sf_dir):
 
 def _best_terms(order: str) -> Query:
     def query(spark, sf_dir):
-        doc_id = longest_document(spark, sf_dir)
-        weights = best.document_weights(_one_document(spark, sf_dir), corpus(spark, sf_dir), doc_id)
+        weights = best.document_weights(_one_document(spark, sf_dir), corpus(spark, sf_dir), DOC_ID)
         return best.best_terms(weights, order, TOP_OF_DOCUMENT)
 
     return query

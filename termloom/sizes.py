@@ -38,10 +38,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate, or None where it cannot be asked (Connect)."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        plan = df._jdf.queryExecution().optimizedPlan()
     except AttributeError:
         return None
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from termloom.functions.content import select_content
 from termloom.functions.names import has_extension
 from termloom.functions.stamps import iso_stamp, minute_stamp, utc
+from termloom.operators.documents import number_scan
 
 
 def scan_files(
@@ -18,6 +19,7 @@ def scan_files(
     top: int = 0,
     bottom: int = 0,
     manifest: DataFrame | None = None,
+    first_id: int | None = None,
 ) -> DataFrame:
     """One row per file: path, contents, sizeKb (bytes) and the time it was changed.
 
@@ -27,8 +29,11 @@ def scan_files(
 
     Spark's file sources give no row for an empty file or a name that starts with
     ``.`` or ``_``. A ``manifest`` (path) of expected files brings those back,
-    with empty contents.
+    with empty contents. With ``first_id`` the files found by the scan are numbered
+    from there as doc_id; that excludes a manifest.
     """
+    if manifest is not None and first_id is not None:
+        raise ValueError("only the files of the scan itself can be numbered by it")
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -39,9 +44,14 @@ def scan_files(
     wanted = has_extension(F.col("_metadata.file_name"), extensions)
     if wanted is not None:
         files = files.filter(wanted)
+    key = []
+    if first_id is not None:
+        files = number_scan(files, first_id)
+        key = ["doc_id"]
     text = F.make_valid_utf8(F.col("content").cast("string"))
     changed = utc(F.col("modificationTime"))
     docs = files.select(
+        *key,
         F.col("path"),
         select_content(text, top, bottom).alias("contents"),
         F.col("length").cast("double").alias("sizeKb"),
