@@ -18,6 +18,12 @@ from termloom.sizes import fits_broadcast
 # Query words sent to the executors at a time; each brings one row per character.
 QUERY_ROWS = 10_000
 
+# A rank limit up to this size is applied in each task before the shuffle (the
+# default of spark.sql.optimizer.windowGroupLimitThreshold). For longer lists the
+# words are ranked in this many groups first.
+TASK_LIMIT = 1000
+RANK_GROUPS = 1000
+
 
 def _bags(words: DataFrame, word: str = "term") -> DataFrame:
     return words.select(word, units(F.col(word)).alias("bag"))
@@ -111,7 +117,7 @@ def similar_terms_batch(
 ) -> DataFrame:
     """(q, rank, term, sim): ``similar_terms`` for a table (q) of distinct query words.
 
-    The query side is broadcast up to ``query_rows`` words. A longer table is cut by
+    ``queries`` is read several times: give it as a table. The query side is broadcast up to ``query_rows`` words. A longer table is cut by
     hash into parts of about that size, and every part is scored.
     """
     top = max(top, 0)
@@ -130,9 +136,14 @@ def similar_terms_batch(
     for i in range(parts):
         part = queries if parts == 1 else queries.filter(F.pmod(F.xxhash64("q"), F.lit(parts)) == i)
         scored = scored.unionByName(_sharing(words, part))
-    place = F.row_number().over(W.partitionBy("q").orderBy(F.desc("sim"), F.asc("term")))
-    return (
-        scored.withColumn("rank", place)
-        .filter(F.col("rank") <= top)
-        .select("q", F.col("rank").cast("bigint").alias("rank"), "term", "sim")
+    if top > TASK_LIMIT:
+        group = F.pmod(F.xxhash64("term"), F.lit(RANK_GROUPS))
+        scored = _first_ranks(scored.withColumn("_group", group), top, "q", "_group").drop("_group")
+    return _first_ranks(scored, top, "q").select(
+        "q", F.col("rank").cast("bigint").alias("rank"), "term", "sim"
     )
+
+
+def _first_ranks(scored: DataFrame, top: int, *groups: str) -> DataFrame:
+    place = F.row_number().over(W.partitionBy(*groups).orderBy(F.desc("sim"), F.asc("term")))
+    return scored.withColumn("rank", place).filter(F.col("rank") <= top)

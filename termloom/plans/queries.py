@@ -245,7 +245,7 @@ def term_clusters_as_is(spark, sf_dir):
 def similar_terms_batch(spark, sf_dir):
     """Query words: the event types."""
     events = spark.read.parquet(_file(sf_dir, "events"))
-    words = events.select(F.col("event_type").alias("q")).distinct()
+    words = materialize(events.select(F.col("event_type").alias("q")).distinct(), "query-words")
     return similar.similar_terms_batch(vocabulary(spark, sf_dir), words, TOP_SIMILAR)
 
 

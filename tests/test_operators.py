@@ -251,7 +251,7 @@ def test_similar_terms_against_brute_force(spark):
         assert found == expected[q][:15]
         assert rows(similar.term_clusters(frame, q, 15, rep="tf", k=3)) == sorted(found)
     table = spark.createDataFrame([(q,) for q in queries], "q string")
-    for top, part in ((15, 100), (15, 2), (500, 100), (1, 3)):
+    for top, part in ((15, 100), (15, 2), (500, 100), (1, 3), (similar.TASK_LIMIT + 1, 100)):
         batch = similar.similar_terms_batch(frame, table, top, query_rows=part)
         by_query = defaultdict(list)
         for r in sorted(batch.collect(), key=lambda r: (r.q, r["rank"])):
