@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from termloom.functions.content import select_content
 from termloom.functions.names import has_extension
@@ -12,6 +12,26 @@ from termloom.functions.stamps import iso_stamp, minute_stamp, utc
 from termloom.operators.documents import number_scan
 
 
+def listed_name() -> Column:
+    """The file name known from listing the folder; Spark gives it in URL form."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
+def file_documents(files: DataFrame, key: Sequence[str] = (), top: int = 0, bottom: int = 0) -> DataFrame:
+    """Rows of the binaryFile source as documents."""
+    changed = utc(F.col("modificationTime"))
+    # A column of its own: the content expression refers to the text several times.
+    decoded = files.withColumn("_text", F.make_valid_utf8(F.col("content").cast("string")))
+    return decoded.select(
+        *key,
+        F.col("path"),
+        select_content(F.col("_text"), top, bottom).alias("contents"),
+        F.col("length").cast("double").alias("sizeKb"),
+        iso_stamp(changed).alias("lastModifiedTime"),
+        minute_stamp(changed).alias("lastModifiedTimeLucene"),
+    )
+
+
 def scan_files(
     spark: SparkSession,
     roots: Sequence[str],
@@ -41,23 +61,14 @@ def scan_files(
         .option("ignoreMissingFiles", True)
         .load(list(roots))
     )
-    wanted = has_extension(F.col("_metadata.file_name"), extensions)
+    wanted = has_extension(listed_name(), extensions)
     if wanted is not None:
         files = files.filter(wanted)
     key = []
     if first_id is not None:
         files = number_scan(files, first_id)
         key = ["doc_id"]
-    text = F.make_valid_utf8(F.col("content").cast("string"))
-    changed = utc(F.col("modificationTime"))
-    docs = files.select(
-        *key,
-        F.col("path"),
-        select_content(text, top, bottom).alias("contents"),
-        F.col("length").cast("double").alias("sizeKb"),
-        iso_stamp(changed).alias("lastModifiedTime"),
-        minute_stamp(changed).alias("lastModifiedTimeLucene"),
-    )
+    docs = file_documents(files, key, top, bottom)
     if manifest is not None:
         docs = (
             manifest.select("path")

@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from termloom.functions.content import select_content
-from termloom.functions.names import has_extension
-from termloom.functions.stamps import iso_stamp, minute_stamp, utc
+from termloom.functions.names import file_name, has_extension
 from termloom.plans.index import CREATE_OR_APPEND, TextIndex
+from termloom.sources.files import file_documents
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -25,17 +24,10 @@ def arriving_files(
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
     files = reader.load(root)
-    wanted = has_extension(F.substring_index("path", "/", -1), extensions)
+    wanted = has_extension(file_name(F.col("path")), extensions)
     if wanted is not None:
         files = files.filter(wanted)
-    changed = utc(F.col("modificationTime"))
-    return files.select(
-        F.col("path"),
-        select_content(F.make_valid_utf8(F.col("content").cast("string")), top, bottom).alias("contents"),
-        F.col("length").cast("double").alias("sizeKb"),
-        iso_stamp(changed).alias("lastModifiedTime"),
-        minute_stamp(changed).alias("lastModifiedTimeLucene"),
-    )
+    return file_documents(files, (), top, bottom)
 
 
 def start_indexing(
