@@ -46,12 +46,13 @@ _EXTEND = r"[­[̀-\x{10ffff}&&[\p{M}\p{Cf}]&&[^​]]]"
 
 _LETTERS = rf"(?>{_LETTER}++(?>{_EXTEND}++)?+)++"
 _DIGITS = rf"(?>\p{{Nd}}++(?>{_EXTEND}++)?+)++"
-_WORD = rf"{_LETTERS}(?>[{MID_LETTER}{MID_EITHER}]{_LETTERS})*+"
-_NUMBER = rf"{_DIGITS}(?>[{MID_NUMBER}{MID_EITHER}]{_DIGITS})*+"
+_WORD = rf"{_LETTERS}(?>[{MID_LETTER}{MID_EITHER}]{_EXTEND}*+{_LETTERS})*+"
+_NUMBER = rf"{_DIGITS}(?>[{MID_NUMBER}{MID_EITHER}]{_EXTEND}*+{_DIGITS})*+"
+_JOINERS = rf"(?>{_JOINER}{_EXTEND}*+)"
 
 # The plain case, tried first: Latin letters up to a character that ends a word.
 _PLAIN = rf"[{_LATIN}]++(?=[.:']?+[\s,;!?()\"-])"
-_MIXED = rf"{_JOINER}*+(?>{_WORD}|{_NUMBER})(?>{_JOINER}++|{_WORD}|{_NUMBER})*+"
+_MIXED = rf"{_JOINERS}*+(?>{_WORD}|{_NUMBER})(?>{_JOINERS}++|{_WORD}|{_NUMBER})*+"
 _OTHER_SCRIPT = (
     rf"(?=[฀-\x{{10ffff}}])(?>"
     rf"(?>[{KATAKANA}]{_EXTEND}*+)++"

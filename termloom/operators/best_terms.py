@@ -53,6 +53,8 @@ def attach_doc_freq(vectors: DataFrame, freqs: DataFrame, max_broadcast: int = B
     The rows of the other terms are shuffled by term, and none of those terms is
     heavy enough to load one task.
     """
+    if "field" in freqs.columns:
+        freqs = freqs.filter(F.col("field") == CONTENTS)
     freqs = freqs.select("term", "df")
     found = freqs.agg(F.count("*").alias("terms"), F.sum("df").alias("rows")).first()
     if found["terms"] <= max_broadcast:

@@ -45,9 +45,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def _session_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/termloom/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/termloom/{name}-{uuid.uuid4().hex}"
+    return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once results are read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

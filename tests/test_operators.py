@@ -12,6 +12,7 @@ from termloom.operators import documents as upkeep
 from termloom.operators import fields as stats
 from termloom.operators import similar_terms as similar
 from termloom.operators import term_vectors as terms
+from termloom.session import drop_tables, materialize, shared_dir
 
 WORDS = ["ab", "ba", "abc", "cab", "x", "yy", "casa", "saca", "straße", "été", "the", "of", "and"]
 
@@ -100,6 +101,15 @@ def test_field_list_in_order_of_first_document(docs, tmp_path):
     assert lines == ["- Fields avaliable in Index: index", "", "path", "contents", "soon", "late"]
 
 
+def test_intermediate_tables(spark):
+    made = materialize(spark.range(10), "ten")
+    assert made.count() == 10
+    assert made.inputFiles()[0].split(":", 1)[1].replace("//", "").startswith(shared_dir(spark).split(":", 1)[-1])
+    drop_tables(spark)
+    with pytest.raises(Exception):
+        made.agg(F.sum("id")).collect()
+
+
 def test_add_and_upsert(spark):
     old = spark.createDataFrame([("p", "1"), ("q", "1"), ("p", "0")], "path string, contents string")
     new = spark.createDataFrame([("p", "2"), ("r", "2")], "path string, contents string")
