@@ -47,6 +47,7 @@ tv AS (SELECT doc_id, term, count(*) AS freq,
        FROM tok GROUP BY doc_id, term),
 dfs AS (SELECT term, count(*) AS df FROM tv GROUP BY term),
 n AS (SELECT count(*) AS n FROM documents),
+richest AS (SELECT doc_id FROM tv GROUP BY doc_id ORDER BY count(*) DESC, doc_id LIMIT 1),
 raw AS (SELECT doc_id, term, df,
                CAST(CAST(sqrt(CAST(freq AS DOUBLE)) AS FLOAT) AS DOUBLE) AS tf,
                CAST(CAST(ln(CAST(df + 1 AS DOUBLE) / CAST(n + 1 AS DOUBLE)) + CAST(1 AS DOUBLE) AS FLOAT) AS DOUBLE) AS idf
@@ -120,7 +121,7 @@ SELECT 'contents' AS field, (SELECT n FROM n) AS "maxDoc", count(DISTINCT doc_id
 
 def _best(order: str) -> str:
     return f"""WITH {_TV}
-SELECT term, tf, df, idf, tfxidf FROM weights WHERE doc_id = 7
+SELECT term, tf, df, idf, tfxidf FROM weights WHERE doc_id = (SELECT doc_id FROM richest)
 ORDER BY {order} LIMIT 25"""
 
 
@@ -186,7 +187,7 @@ WITH {_TV} {_STATS_CONTENTS}
 UNION ALL {_stats('path')} UNION ALL {_stats('lang')} UNION ALL {_stats('source')}""",
     "corpus_size": "SELECT count(*) AS n_docs FROM documents",
     "doc_terms": f"""
-WITH {_TV} SELECT doc_id, term, freq, positions FROM tv WHERE doc_id = 7""",
+WITH {_TV} SELECT doc_id, term, freq, positions FROM tv WHERE doc_id = (SELECT doc_id FROM richest)""",
     "term_weights": f"WITH {_TV} SELECT doc_id, term, tf, df, idf, tfxidf FROM weights",
     "best_terms_tf": _best("tf DESC, term"),
     "best_terms_df": _best("df DESC, tf DESC, term"),

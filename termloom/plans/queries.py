@@ -24,7 +24,6 @@ EXTENSIONS = (".txt", ".c")
 TOP_LINES, BOTTOM_LINES = 3, 2
 TOP_OF_DOCUMENT, TOP_OF_EACH, TOP_SIMILAR = 25, 5, 20
 QUERY_WORD = "weather"
-DOC_ID = 7
 KEYWORDS = ("path", "lang", "source")
 FIELDS = ("path", terms.CONTENTS, "lang", "source")
 
@@ -73,10 +72,15 @@ def delivery(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return existing, new.unionByName(talk(spark, sf_dir).select("path", "contents"))
 
 
-def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, terms and freqs of the corpus, as a table."""
-    analysed = terms.with_vectors(corpus(spark, sf_dir), positions=False)
-    return materialize(analysed.select("doc_id", "terms", "freqs"), "vectors")
+def vectors(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFrame:
+    """The term vectors of the corpus, as a table."""
+    analysed = terms.with_vectors(corpus(spark, sf_dir), positions)
+    return materialize(analysed.drop("path", "contents", "sizeKb", "lang", "source"), "vectors")
+
+
+def richest_document(table: DataFrame) -> int:
+    """The doc_id of the document with the most terms, for one-document reports."""
+    return table.select("doc_id", "n_terms").orderBy(F.desc("n_terms"), "doc_id").first()["doc_id"]
 
 
 def _content(**choices) -> Query:
@@ -189,20 +193,16 @@ def corpus_size(spark, sf_dir):
     return stats.corpus_size(spark.read.parquet(_file(sf_dir, "documents")))
 
 
-def _one_document(spark, sf_dir, positions: bool = False) -> DataFrame:
-    rows = spark.read.parquet(_file(sf_dir, "documents"))
-    chosen = rows.filter(F.col("doc_id") == DOC_ID)
-    return terms.with_vectors(table_corpus(chosen, document_path()), positions)
-
-
 def doc_terms(spark, sf_dir):
-    rows = terms.term_vectors(_one_document(spark, sf_dir, positions=True), positions=True)
+    table = vectors(spark, sf_dir, positions=True)
+    rows = best.doc_terms(table, richest_document(table), positions=True)
     return rows.select("doc_id", "term", "freq", _positions_as_text())
 
 
 def _best_terms(order: str) -> Query:
     def query(spark, sf_dir):
-        weights = best.document_weights(_one_document(spark, sf_dir), corpus(spark, sf_dir), DOC_ID)
+        table = vectors(spark, sf_dir)
+        weights = best.document_weights(table, table, richest_document(table))
         return best.best_terms(weights, order, TOP_OF_DOCUMENT)
 
     return query
