@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from termloom.functions.chars import (
@@ -13,6 +15,7 @@ from termloom.functions.chars import (
     units,
     word_bag,
 )
+from termloom.session import materialize
 from termloom.sizes import fits_broadcast
 
 # Query words sent to the executors at a time; each brings one row per character.
@@ -71,29 +74,65 @@ def term_clusters(
     return similar_terms(words, query, top)
 
 
-def _sharing(words: DataFrame, queries: DataFrame) -> DataFrame:
-    """(q, term, sim) of the pairs with a character in common.
+def _queries(words: DataFrame, queries: DataFrame) -> DataFrame:
+    """(q, q_norm, counts, chars) per query word.
+
+    ``counts`` maps its characters to their counts. ``chars`` lists them as (cost, ch,
+    weight, n): n words hold the character, weight is its part of the squared norm, and
+    the cheapest characters per weight come first.
+    """
+    holders = char_vectors(words).select("ch")
+    chars = char_vectors(queries, "q")
+    known = F.broadcast(chars.select("ch").distinct())
+    held = holders.join(known, "ch", "left_semi").groupBy("ch").agg(F.count("*").alias("n"))
+    n = F.coalesce(F.col("n"), F.lit(0))
+    weight = F.col("c") * F.col("c")
+    ordered = (
+        chars.join(held, "ch", "left")
+        .groupBy("q")
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("ch", "c"))).alias("counts"),
+            F.sort_array(
+                F.collect_list(
+                    F.struct((n / weight).alias("cost"), "ch", weight.alias("weight"), n.alias("n"))
+                )
+            ).alias("chars"),
+        )
+    )
+    return char_norms(queries, "q").withColumnRenamed("norm", "q_norm").join(ordered, "q", "left")
+
+
+def _up_to(holds) -> Column:
+    """Leading entries of ``chars``: an entry stays if ``holds`` of those before it."""
+    return F.filter(
+        F.coalesce(F.col("chars"), F.expr("slice(chars, 1, 0)")),
+        lambda _, i: holds(F.slice("chars", F.lit(1), i)),
+    )
+
 
-    The words stay in the partitions their ``distinct`` left them in: the query
-    characters come by broadcast, and a pair is summed up where its word is.
+def _scored(words: DataFrame, probes: DataFrame) -> DataFrame:
+    """(q, term, sim) of the pairs whose word holds one of the ``probe`` characters of q.
+
+    The query side comes by broadcast. A pair is taken where its word holds the first of
+    the probes it has, so it appears once, and is scored in that row. Scores below the
+    ``floor`` of q, if it has one, cannot enter its list and go no further.
     """
-    left = (
-        _bags(words)
-        .withColumn("norm", _norm())
-        .select("term", "norm", "bag", F.explode_outer(F.array_distinct("bag")).alias("ch"))
-        .select("term", "norm", "ch", occurrences(F.col("bag"), F.col("ch")).alias("c"))
+    left = _bags(words).withColumn("norm", _norm())
+    left = left.select("term", "norm", "bag", F.explode_outer(F.array_distinct("bag")).alias("ch"))
+    right = probes.select(
+        "q", "q_norm", "counts", "floor", "probe", F.explode_outer("probe").alias("ch")
     )
-    right = (
-        _bags(queries, "q")
-        .withColumn("q_norm", _norm())
-        .select("q", "q_norm", "bag", F.explode_outer(F.array_distinct("bag")).alias("ch"))
-        .select("q", "q_norm", "ch", occurrences(F.col("bag"), F.col("ch")).alias("q_c"))
+    dot = F.aggregate(
+        "bag",
+        F.lit(0).cast("bigint"),
+        lambda acc, u: acc + F.coalesce(F.try_element_at("counts", u), F.lit(0)),
     )
+    sim = cosine(dot, F.col("q_norm"), F.col("norm"))
     return (
         left.join(F.broadcast(right), "ch")
-        .groupBy("term", "norm", "q", "q_norm")
-        .agg(F.sum(F.col("c") * F.col("q_c")).alias("dot"))
-        .select("q", "term", cosine(F.col("dot"), F.col("q_norm"), F.col("norm")).alias("sim"))
+        .filter(F.get(F.array_intersect("probe", "bag"), F.lit(0)) == F.col("ch"))
+        .filter(F.col("floor").isNull() | (sim >= F.col("floor")))
+        .select("q", "term", sim.alias("sim"))
     )
 
 
@@ -112,38 +151,83 @@ def _apart(words: DataFrame, queries: DataFrame, top: int) -> DataFrame:
     )
 
 
+def _first_ranks(scored: DataFrame, top: int) -> DataFrame:
+    order = (F.desc("sim"), F.asc("term"))
+    if top > TASK_LIMIT:
+        group = F.pmod(F.xxhash64("term"), F.lit(RANK_GROUPS))
+        within = F.row_number().over(W.partitionBy("q", group).orderBy(*order))
+        scored = scored.withColumn("rank", within).filter(F.col("rank") <= top).drop("rank")
+    place = F.row_number().over(W.partitionBy("q").orderBy(*order))
+    return (
+        scored.withColumn("rank", place)
+        .filter(F.col("rank") <= top)
+        .select("q", F.col("rank").cast("bigint").alias("rank"), "term", "sim")
+    )
+
+
+def _ranked_part(words: DataFrame, queries: DataFrame, top: int) -> DataFrame:
+    """The lists of one part of the queries, in two rounds.
+
+    A word without any of the characters S of q scores at most |q without S| / |q|.
+    The first round looks at the words that hold one of the cheapest characters, enough
+    of them for a full list. The last score of that list is a floor: the list is final
+    if words without those characters cannot reach it. For the other queries a second
+    round takes as many characters as the floor asks for, up to all.
+    """
+    known = materialize(_queries(words, queries), "queries")
+    enough = lambda before: ~F.exists(before, lambda x: x["n"] >= top)
+    seeds = known.withColumn("start", _up_to(enough))
+    probes = seeds.withColumn("probe", F.col("start.ch")).withColumn("floor", F.lit(None).cast("double"))
+    first = materialize(_first_ranks(_scored(words, probes), top), "first-round")
+    floors = first.groupBy("q").agg(F.count("*").alias("found"), F.min("sim").alias("last"))
+    # The margin covers rounding in the scores; it only ever adds characters.
+    reach = F.col("floor") * F.col("floor") * F.col("norm2") * F.lit(1 - 1e-9)
+    missed = lambda before: F.col("norm2") - F.aggregate(
+        before, F.lit(0).cast("bigint"), lambda acc, x: acc + x["weight"]
+    )
+    judged = (
+        seeds.join(floors, "q", "left")
+        .withColumn("floor", F.when(F.col("found") >= top, F.col("last")).otherwise(F.lit(0.0)))
+        .withColumn(
+            "norm2",
+            F.aggregate("chars", F.lit(0).cast("bigint"), lambda acc, x: acc + x["weight"]),
+        )
+        .withColumn("needed", _up_to(lambda before: missed(before) >= reach))
+        .withColumn("final", (F.col("floor") > 0) & (F.size("needed") <= F.size("start")))
+    )
+    judged = materialize(judged.select(*known.columns, "floor", "needed", "final"), "judged-queries")
+    done = first.join(F.broadcast(judged.filter("final").select("q")), "q", "left_semi")
+    left = judged.filter("NOT final")
+    if left.isEmpty():
+        return done
+    again = _scored(words, left.withColumn("probe", F.col("needed.ch")))
+    return done.unionByName(_first_ranks(again.unionByName(_apart(words, left, top)), top))
+
+
 def similar_terms_batch(
     words: DataFrame, queries: DataFrame, top: int, query_rows: int = QUERY_ROWS
 ) -> DataFrame:
     """(q, rank, term, sim): ``similar_terms`` for a table (q) of distinct query words.
 
-    ``queries`` is read several times: give it as a table. The query side is broadcast up to ``query_rows`` words. A longer table is cut by
-    hash into parts of about that size, and every part is scored.
+    Words and queries are written to tables first, as both are read several times.
+    The query side is broadcast up to ``query_rows`` words. A longer table is cut by
+    hash into parts of about that size, and every part is answered.
     """
     top = max(top, 0)
     if top == 0:
-        empty = words.limit(0)
-        return empty.select(
+        return words.limit(0).select(
             F.col("term").alias("q"),
             F.lit(0).cast("bigint").alias("rank"),
             "term",
             F.lit(0.0).alias("sim"),
         )
-    parts = 1
-    if not fits_broadcast(queries, query_rows):
-        parts = -(-queries.count() // query_rows)
-    scored = _apart(words, queries, top)
-    for i in range(parts):
-        part = queries if parts == 1 else queries.filter(F.pmod(F.xxhash64("q"), F.lit(parts)) == i)
-        scored = scored.unionByName(_sharing(words, part))
-    if top > TASK_LIMIT:
-        group = F.pmod(F.xxhash64("term"), F.lit(RANK_GROUPS))
-        scored = _first_ranks(scored.withColumn("_group", group), top, "q", "_group").drop("_group")
-    return _first_ranks(scored, top, "q").select(
-        "q", F.col("rank").cast("bigint").alias("rank"), "term", "sim"
+    words = materialize(words.select("term"), "words")
+    queries = materialize(queries.select("q"), "query-words")
+    if fits_broadcast(queries, query_rows):
+        return _ranked_part(words, queries, top)
+    parts = -(-queries.count() // query_rows)
+    part = F.pmod(F.xxhash64("q"), F.lit(parts))
+    return reduce(
+        DataFrame.unionByName,
+        [_ranked_part(words, queries.filter(part == i), top) for i in range(parts)],
     )
-
-
-def _first_ranks(scored: DataFrame, top: int, *groups: str) -> DataFrame:
-    place = F.row_number().over(W.partitionBy(*groups).orderBy(F.desc("sim"), F.asc("term")))
-    return scored.withColumn("rank", place).filter(F.col("rank") <= top)

@@ -270,6 +270,24 @@ def test_similar_terms_against_brute_force(spark):
     assert similar.similar_terms_batch(frame, table, 0).count() == 0
 
 
+def test_two_rounds_lose_no_similar_term(spark):
+    """Many words of uneven letters, so that most queries end before the last round."""
+    rng = random.Random(8)
+    letters, uneven = "etaoinshrdlucmfwypvbgkqjxz", [1 / (i + 1) for i in range(26)]
+    make = lambda longest: "".join(rng.choices(letters, uneven, k=rng.randint(1, longest)))
+    words = sorted({make(9) for _ in range(3000)})
+    queries = sorted({make(12) for _ in range(60)} | {"zzz", "zq", "eeee", "a", "€", "€e"})
+    table = spark.createDataFrame([(q,) for q in queries], "q string")
+    for top in (1, 5, 40):
+        found = defaultdict(list)
+        batch = similar.similar_terms_batch(vocabulary_of(spark, words), table, top)
+        for r in sorted(batch.collect(), key=lambda r: (r.q, r["rank"])):
+            found[r.q].append((r.term, r.sim))
+        for q in queries:
+            scores = sorted(((w, brute_cosine(q, w)) for w in words), key=lambda p: (-p[1], p[0]))
+            assert found[q] == scores[:top], q
+
+
 def test_cosine_properties(spark):
     words = vocabulary_of(spark, ["abc", "bca", "aabbcc", "xyz", "ab"])
     for q in ("abc", "ab"):
