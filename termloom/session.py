@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
-
-
 def build_session(app: str = "termloom", master: str | None = None, **conf) -> SparkSession:
     """A session with adaptive execution on; ``conf`` keys use ``__`` for dots.
 
@@ -32,17 +28,14 @@ def build_session(app: str = "termloom", master: str | None = None, **conf) -> S
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a folder of this machine.
+    Where it is unset, as in tests, it is set to a folder in the warehouse, which the
+    executors of a session share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="termloom-")
-    return _LOCAL_DIRS[app]
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def _session_dir(spark: SparkSession) -> str:
