@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from termloom.llm import decontaminate, packing, quality, token_counts, topk, toxicity, urls
+from termloom.llm import decontaminate, lm, minhash, packing, quality, suffix, token_counts, topk, toxicity, urls
 from termloom.llm.tables import read, ready
 
 TOKEN_LIMIT = 2048
@@ -14,6 +14,11 @@ TOKEN_LIMIT = 2048
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return minhash.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     counted = token_counts.tokens_of(token_counts.prefix_counts(read(spark, sf_dir, "documents")))
@@ -30,6 +35,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return lm.score_texts(read(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return packing.pack(read(spark, sf_dir, "documents"))
@@ -39,6 +49,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return suffix.repeated_bytes(read(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -50,11 +65,14 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_decontamination": op4_decontamination,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_packing": op6_packing,
     "op7_url_filter": op7_url_filter,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_top_k": op10_top_k,
 }

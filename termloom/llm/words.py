@@ -25,31 +25,34 @@ LOWER[65:91] += 32
 WORD = np.zeros(256, dtype=bool)
 WORD[48:58] = WORD[65:91] = WORD[97:123] = WORD[128:] = True
 
-_BASE = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
+_BASE = 0x9E3779B97F4A7C55  # bases are odd, so that they have inverses modulo 2**64
+_powers: dict[int, np.ndarray] = {}
 _SEGMENT = 1 << 20
 
 
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 ... base ** (n - 1) modulo 2**64."""
-    if len(_powers[base]) < n:
+    if base not in _powers or len(_powers[base]) < n:
         steps = np.full(max(n, _SEGMENT + 1), base, np.uint64)
         steps[0] = 1
         _powers[base] = np.cumprod(steps, dtype=np.uint64)
     return _powers[base][:n]
 
 
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
+def inverse_powers(n: int, base: int = _BASE) -> np.ndarray:
+    return powers(pow(base, -1, 1 << 64), n)
+
+
+def prefix_hashes(data: np.ndarray, base: int = _BASE) -> np.ndarray:
     """Polynomial hashes of all prefixes of ``data``, the empty one first."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(data)), out=out[1:])
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(base, len(data)), out=out[1:])
     return out
 
 
-def range_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def range_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
     """Hashes of data[start:end], whatever their place."""
-    return (prefix[ends] - prefix[starts]) * powers(_INVERSE, len(prefix))[starts]
+    return (prefix[ends] - prefix[starts]) * inverse_powers(len(prefix), base)[starts]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
