@@ -1,11 +1,10 @@
 """Language-model scores: a causal self-attention model on subword ids, with corpus counts.
 
-The probability of a word is a mixture of two estimates. One is its share of all training words, with
-some mass kept for new words; these counts cover the whole corpus. The other is the product of the
-probabilities of its subword ids under a small causal self-attention model, trained in numpy on a
-bounded sample of training documents (SAMPLE_DOCS). The model predicts a class of ids, frequent
-ids being classes of their own, and an id has its share of the training ids of its class; classes and
-shares cover the whole corpus too.
+The probability of a word is a mixture of three. One is the product of the probabilities of its subword
+ids under a small causal self-attention model, trained in numpy on a bounded sample of training documents
+(SAMPLE_DOCS). The model predicts a group of ids and a slot there; frequent ids have slots of their
+own, and the others their share of the training ids of their slot. The second is the word's share of all
+training words, the third its share of the text so far. Counts of words and ids cover the whole corpus.
 
 A text is scored in windows of two blocks: the positions of the second block attend to themselves and
 to the first, so that every id is scored once, with at least a block of context where the text has it.
@@ -36,10 +35,11 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 IDS = 50_257
 END_ID = 50_256
 END = b"\n"  # stands for the end token among words; no word holds it
-BLOCK, WIDTH, CLASSES, HEAD = 16, 16, 64, 40
-SHARE = 0.5  # of the word counts in the mixture
+BLOCK, WIDTH, GROUPS, SLOTS = 16, 16, 64, 32
+LEARNED_IDS = 8192  # of one text of the sample
+OWN, OWN_PLACES = 0.25, 100  # weight of the text's own words at most, and words until half of it
 _CACHE = 400_000
-_BATCH = 1 << 12  # positions computed at once
+_BATCH = 1 << 13  # positions computed at once
 
 
 class WordIds:
@@ -77,18 +77,45 @@ def text_words(raw: bytes) -> list[bytes]:
 # --- the model -------------------------------------------------------------------------------
 
 
-def id_classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The class of each id and the log of its share there. The HEAD most frequent ids are classes of
-    their own; the others are dealt, by falling frequency, into classes of about equal mass."""
+def id_groups(counts: np.ndarray, follow: tuple[np.ndarray, np.ndarray]) -> dict[str, np.ndarray]:
+    """Where the model finds each id: its group, its slot there, and the log of its share of the slot.
+
+    The most frequent ids have a slot of their own. Groups of equal size bring together ids that stand
+    before and after the same ids: the set is halved again and again along its main axis. ``follow`` are
+    ids and the ids after them in the sample. All other ids share the last slots, dealt by falling
+    frequency into slots of about equal mass.
+    """
+    own = GROUPS * (SLOTS - 1)
     order = np.lexsort((np.arange(len(counts)), -counts))
-    mass = counts[order].astype(np.float64) + 0.1
-    tail = np.cumsum(mass[HEAD:])
-    of = np.empty(len(counts), np.int64)
-    of[order[:HEAD]] = np.arange(HEAD)
-    of[order[HEAD:]] = HEAD + np.minimum((tail / tail[-1] * (CLASSES - HEAD)).astype(np.int64), CLASSES - HEAD - 1)
+    head, tail = order[:own], order[own:]
+    place = np.full(len(counts), own)
+    place[head] = np.arange(own)
+    rng = np.random.default_rng(3)
+    signs = rng.standard_normal((own + 1, 48)).astype(np.float32)
+    a, b = place[follow[0]], place[follow[1]]
+    table = np.zeros((own + 1, 96), np.float32)
+    for column in range(48):  # what follows and what precedes, projected at random
+        table[:, column] = np.bincount(a, signs[b, column], own + 1)
+        table[:, 48 + column] = np.bincount(b, signs[a, column], own + 1)
+    table /= np.sqrt(1.0 + np.bincount(a, minlength=own + 1) + np.bincount(b, minlength=own + 1))[:, None]
+    parts = [np.arange(own)]
+    while len(parts) < GROUPS:
+        halves = []
+        for part in parts:
+            x = table[part] - table[part].mean(axis=0)
+            axis = x @ np.linalg.eigh(x.T @ x)[1][:, -1]
+            by = part[np.lexsort((part, axis))]
+            halves += [by[: len(by) // 2], by[len(by) // 2 :]]
+        parts = halves
+    group, slot = np.empty(len(counts), np.int64), np.full(len(counts), SLOTS - 1)
+    for k, part in enumerate(parts):
+        group[head[part]], slot[head[part]] = k, np.arange(SLOTS - 1)
+    mass = np.cumsum(counts[tail] + 0.1)
+    group[tail] = np.minimum((mass / mass[-1] * GROUPS).astype(np.int64), GROUPS - 1)
     mass = counts + 0.1
-    total = np.bincount(of, mass, CLASSES)
-    return of, np.log(mass / total[of]).astype(np.float32)
+    total = np.bincount(group * SLOTS + slot, mass, GROUPS * SLOTS)
+    share = np.log(mass / total[group * SLOTS + slot]).astype(np.float32)
+    return {"group": group, "slot": slot, "share": share}
 
 
 def _initial() -> dict[str, np.ndarray]:
@@ -99,7 +126,8 @@ def _initial() -> dict[str, np.ndarray]:
         "e": put(IDS, d, scale=0.3), "q": put(d, d, scale=d**-0.5), "k": put(d, d, scale=d**-0.5),
         "v": put(d, d, scale=d**-0.5), "o": put(d, d, scale=d**-0.5), "at": put(BLOCK, 2 * BLOCK, scale=0.1),
         "u": put(d, 2 * d, scale=d**-0.5), "ub": np.zeros(2 * d, np.float32), "w": put(2 * d, d, scale=0.1),
-        "c": put(d, CLASSES, scale=0.1), "cb": np.zeros(CLASSES, np.float32),
+        "c": put(d, GROUPS, scale=0.1), "cb": np.zeros(GROUPS, np.float32),
+        "m": put(GROUPS, d, SLOTS, scale=0.1), "mb": np.zeros((GROUPS, SLOTS), np.float32),
     }
 
 
@@ -147,23 +175,46 @@ def _forward(p: dict, x: np.ndarray, first: np.ndarray) -> dict:
     return {"h": h, "q": q, "kb": kb, "vb": vb, "a": a, "weight": weight, "o": o, "g": g, "f": f, "z": z, "y": y}
 
 
-def class_log_probs(p: dict, x: np.ndarray, first: np.ndarray, target: np.ndarray) -> np.ndarray:
-    y = _forward(p, x, first)["y"]
-    own = y[np.arange(len(x)), target]
-    return own - np.log(np.exp(y, out=y).sum(axis=1))
+def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Positions of each group that has some."""
+    order = np.argsort(group.astype(np.uint8), kind="stable")
+    cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
+    for k in np.flatnonzero(np.diff(cuts)).tolist():
+        yield k, order[cuts[k] : cuts[k + 1]]
+
+
+def slot_log_probs(p: dict, x: np.ndarray, first: np.ndarray, group: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """Log probabilities of the groups of the targets and of their slots in these."""
+    t = _forward(p, x, first)
+    y, z = t["y"], t["z"]
+    out = y[np.arange(len(x)), group] - np.log(np.exp(y, out=y).sum(axis=1))
+    for k, at in _by_group(group):
+        l = np.minimum(z[at] @ p["m"][k] + p["mb"][k], _MOST)
+        own = l[np.arange(len(at)), slot[at]]
+        out[at] += own - np.log(np.exp(l, out=l).sum(axis=1))
+    return out
 
 
-def _gradients(p: dict, x: np.ndarray, first: np.ndarray, target: np.ndarray, real: np.ndarray) -> dict:
-    """Gradients of the mean class loss over the ``real`` positions; that of "e" is by position."""
+def _gradients(p: dict, x: np.ndarray, first: np.ndarray, group: np.ndarray, slot: np.ndarray, real: np.ndarray) -> dict:
+    """Gradients of the mean loss over the ``real`` positions; that of "e" is by position."""
     t = _forward(p, x, first)
     n, d = len(x), WIDTH
     a = t["a"] / t["weight"]
     dy = np.exp(t["y"])
     dy /= dy.sum(axis=1, keepdims=True)
-    dy[np.arange(n), target] -= 1
-    dy *= (real / max(1, int(real.sum()))).astype(dy.dtype)[:, None]
-    g = {"c": t["z"].T @ dy, "cb": dy.sum(axis=0)}
+    dy[np.arange(n), group] -= 1
+    part = (real / max(1, int(real.sum()))).astype(dy.dtype)[:, None]
+    dy *= part
+    g = {"c": t["z"].T @ dy, "cb": dy.sum(axis=0), "m": np.zeros_like(p["m"]), "mb": np.zeros_like(p["mb"])}
     dz = dy @ p["c"].T
+    for k, at in _by_group(group):
+        z = t["z"][at]
+        dl = np.exp(np.minimum(z @ p["m"][k] + p["mb"][k], _MOST))
+        dl /= dl.sum(axis=1, keepdims=True)
+        dl[np.arange(len(at)), slot[at]] -= 1
+        dl *= part[at]
+        g["m"][k], g["mb"][k] = z.T @ dl, dl.sum(axis=0)
+        dz[at] += dl @ p["m"][k].T
     df = dz @ p["w"].T
     df[t["f"] <= 0] = 0
     g["w"], g["u"], g["ub"] = t["f"].T @ dz, t["g"].T @ df, df.sum(axis=0)
@@ -183,8 +234,12 @@ def _gradients(p: dict, x: np.ndarray, first: np.ndarray, target: np.ndarray, re
     return g
 
 
-def train(docs: list[list[int]], classes: np.ndarray, epochs: int = 2, rate: float = 0.01) -> dict:
-    """Adam on the class loss of the sample's ids (each text with its end id)."""
+def train(docs: list[list[int]], counts: np.ndarray, epochs: int = 2, rate: float = 0.01) -> dict:
+    """The model of the sample's ids (each text with its end id), by Adam; ``counts`` are those of
+    all training ids."""
+    docs = [d[:LEARNED_IDS] for d in docs]
+    flat = np.array([i for d in docs for i in d] or [END_ID], np.int64)
+    where = id_groups(counts, (flat[:-1], flat[1:]))
     p = _initial()
     m = {k: np.zeros_like(v) for k, v in p.items()}
     s = {k: np.zeros_like(v) for k, v in p.items()}
@@ -195,14 +250,14 @@ def train(docs: list[list[int]], classes: np.ndarray, epochs: int = 2, rate: flo
         group: list[list[int]] = []
         for k in [*rng.permutation(len(docs)).tolist(), None]:
             if k is not None:
-                group.append(docs[k][:8192])  # a long text of the sample lends its first ids only
+                group.append(docs[k])
             if not group or (k is not None and sum(map(len, group)) < 4096):
                 continue
             x, first, target, places = inputs(group)
             group = []
             real = np.zeros(len(x), bool)
             real[places] = True
-            g = _gradients(p, x, first, classes[target], real)
+            g = _gradients(p, x, first, where["group"][target], where["slot"][target], real)
             step += 1
             lr = rate * min(1.0, step / 30) * max(0.05, 1 - step / (total + 1))
             fix = (1 - 0.99**step) ** 0.5 / (1 - 0.9**step)
@@ -215,7 +270,7 @@ def train(docs: list[list[int]], classes: np.ndarray, epochs: int = 2, rate: flo
                 m[name][at] = 0.9 * m[name][at] + 0.1 * grad
                 s[name][at] = 0.99 * s[name][at] + 0.01 * grad * grad
                 p[name][at] -= lr * fix * m[name][at] / (np.sqrt(s[name][at]) + 1e-8)
-    return p
+    return {"p": p, **where}
 
 
 def inputs(docs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -238,16 +293,42 @@ def _laid(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return x[:n], first, target, places
 
 
-def id_log_probs(p: dict, classes: np.ndarray, shares: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def id_log_probs(model: dict, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log probabilities of all ids of texts laid end to end (each has one at least)."""
     x, first, target, places = _laid(flat, lengths)
-    target = classes[target]
+    group, slot = model["group"][target], model["slot"][target]
     got = np.empty(len(x), np.float32)
     for low in range(0, len(x), _BATCH):  # with the block before, which a text may go on from
         begin = max(0, low - BLOCK)
         some = slice(begin, low + _BATCH)
-        got[low : low + _BATCH] = class_log_probs(p, x[some], first[some.start // BLOCK : some.stop // BLOCK], target[some])[low - begin :]
-    return got[places] + shares[flat]
+        blocks = first[begin // BLOCK : (low + _BATCH) // BLOCK]
+        got[low : low + _BATCH] = slot_log_probs(model["p"], x[some], blocks, group[some], slot[some])[low - begin :]
+    return got[places] + model["share"][flat]
+
+
+def seen_before(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each word stood earlier in its text, and how many words stood there."""
+    n = len(words)
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    order = np.lexsort((words, text))  # stable: by place within equal words
+    new = np.append(True, (np.diff(text[order]) != 0) | (np.diff(words[order]) != 0))[:n]
+    begin = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    before = np.empty(n, np.int64)
+    before[order] = np.arange(n) - begin
+    return before, np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def mixture(by_word, counts, n: int, once: int, before, place) -> np.ndarray:
+    """Natural log of the mixture of the model, the training shares and the words of the text so far.
+
+    The text's own words gain weight as it goes on. Of the rest, the model has a half and the share of
+    training tokens that occurred once, which is how often a new word is to be expected.
+    """
+    own = OWN * place / (place + OWN_PLACES)
+    model = min(0.9, 0.5 + once / n) if n else 1.0
+    told = own * before / np.maximum(place, 1) + (1 - own) * (1 - model) * counts / max(n, 1)
+    with np.errstate(divide="ignore"):
+        return np.logaddexp(np.log((1 - own) * model) + by_word, np.log(told))
 
 
 # --- the corpus ------------------------------------------------------------------------------
@@ -290,7 +371,7 @@ def _questions(buckets: int):
 
 
 def _count_words(asked: list[tuple]) -> tuple[list[bytes | None], list[int]]:
-    """For each chunk, the training count of its words; in all, training tokens and distinct ones."""
+    """For each chunk, the training count of its words; in all, training tokens, distinct ones, and those that occur once."""
     if not asked:
         return [], []
     distinct, inverse = np.unique(np.concatenate([a[1] for a in asked]), return_inverse=True)
@@ -300,7 +381,7 @@ def _count_words(asked: list[tuple]) -> tuple[list[bytes | None], list[int]]:
     for own, hashes, _ in asked:
         out.append(exchange.pack(own, total[inverse[at : at + len(own)]]))
         at += len(own)
-    return out, [int(total.sum()), int((total > 0).sum())]
+    return out, [int(total.sum()), int((total > 0).sum()), int((total == 1).sum())]
 
 
 def _id_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,7 +394,7 @@ def _id_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch({"id": pa.array(some, pa.int64()), "n": pa.array(total[some].astype(np.int64))})
 
 
-def _scores(model: dict, n: int, v: int):
+def _scores(model: dict, n: int, v: int, once: int):
     def finish(notes: tuple, answers: list[tuple]) -> pa.Table:
         ids, held, lengths, flat, piece_sizes, piece_ids = pickle.loads(pa.decompress(notes[0], notes[1], "zstd"))
         counts = np.zeros(len(piece_sizes), np.int64)
@@ -329,12 +410,9 @@ def _scores(model: dict, n: int, v: int):
         starts = np.cumsum(sizes) - sizes
         many = sizes[flat]
         at = np.repeat(starts[flat] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-        id_counts = sums(many)
-        got = id_log_probs(model["p"], model["classes"], model["shares"], piece_ids[at].astype(np.int64), id_counts)
+        got = id_log_probs(model, piece_ids[at].astype(np.int64), sums(many))
         by_word = np.add.reduceat(got.astype(np.float64), np.cumsum(many) - many) if len(many) else got
-        with np.errstate(divide="ignore"):
-            counted = np.log(SHARE * counts / (n + v) if n + v else np.zeros(len(counts)))[flat]
-        score = sums(np.logaddexp(np.log(1 - SHARE) + by_word, counted) / np.log(10))
+        score = sums(mixture(by_word, c, n, once, *seen_before(flat, lengths)) / np.log(10))
         return pa.table(
             {
                 "doc_id": pa.array(ids, pa.int64()),
@@ -350,12 +428,12 @@ def _scores(model: dict, n: int, v: int):
     return finish
 
 
-def _fit(classes: np.ndarray):
+def _fit(counts: np.ndarray):
     def run(table: pa.Table) -> pa.Table:
         coder = WordIds()
         texts = sorted(texts_of(table["text"]))
         docs = [[i for ids in coder(text_words(raw)) for i in ids] for raw in texts]
-        return pa.table({"model": pa.array([pickle.dumps(train(docs, classes))], pa.binary())})
+        return pa.table({"model": pa.array([pickle.dumps(train(docs, counts))], pa.binary())})
 
     return run
 
@@ -381,17 +459,16 @@ def score_texts(docs: DataFrame) -> DataFrame:
     id_counts = np.zeros(IDS)
     for r in found.collect():  # at most IDS rows
         id_counts[r["id"]] = r["n"]
-    classes, shares = id_classes(id_counts)
     drawn = docs.select("doc_id").filter(crc_fold("doc_id", FOLDS) != 0).distinct()
     drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", F.lit(1).alias("all"))
-    run = _fit(classes)
+    run = _fit(id_counts)
     trained = sample.groupBy("all").applyInArrow(lambda t: run(t), "model binary").first()
-    p = pickle.loads(trained["model"]) if trained else _initial()
-    model = spark.sparkContext.broadcast({"p": p, "classes": classes, "shares": shares})  # of fixed size
+    learned = pickle.loads(trained["model"]) if trained else train([], id_counts)
+    model = spark.sparkContext.broadcast(learned)  # its size is fixed by the parameters above
 
     def finish(own: tuple, answers: list[tuple]) -> pa.Table:
-        return _scores(model.value, totals.get(0, 0), totals.get(1, 0))(own, answers)
+        return _scores(model.value, *(totals.get(k, 0) for k in (0, 1, 2)))(own, answers)
 
     return exchange.receive(
         answered,
