@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from termloom.llm.words import LOWER, WORD, chunk_number, spans, text_bytes, words
 from termloom.session import materialize
+from termloom.sizes import broadcast_if_small
 
 WINDOW = 13
 SEGMENT_BYTES = 4 << 20
@@ -299,3 +300,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
         _digest(F.col("items")).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents, with all their columns, that are not contaminated.
+
+    Rows are told apart by doc_id and text, so rows that repeat in both stay or go together.
+    """
+    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")))
+    judged = contamination(docs.select(key.alias("doc_id"), "text"), benchmark)
+    bad = judged.filter("contaminated").select(F.col("doc_id").alias("_row")).distinct()
+    bad = broadcast_if_small(materialize(bad, "contaminated"))
+    return docs.withColumn("_row", key).join(bad, "_row", "left_anti").select(*docs.columns)

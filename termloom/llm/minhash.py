@@ -31,6 +31,7 @@ from termloom.llm.components import components
 from termloom.llm.tables import text_size
 from termloom.llm.words import LOWER, mix, spans, text_bytes, word_hashes, words
 from termloom.session import materialize
+from termloom.sizes import broadcast_if_small
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -319,3 +320,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classed = materialize(classed.select("uid", "doc_id", "class_uid"), "classes")
     names = classed.groupBy("class_uid").agg(F.min("doc_id").alias("class_id"))
     return classed.join(names, "class_uid").select("uid", "doc_id", "class_uid", "class_id")
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents, with all their columns, of which one of each class stays: the smallest doc_id.
+
+    Rows are told apart by doc_id and text, so rows that repeat in both stay or go together.
+    """
+    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")))
+    keyed = docs.select(key.alias("doc_id"), "text")
+    found = near_duplicates(keyed).select(F.col("doc_id").alias("_row"), "class_uid")
+    # Classes of one are left out before anything moves.
+    more = found.groupBy("class_uid").agg((F.count("*") > 1).alias("more")).filter("more").select("class_uid")
+    found = materialize(found.join(more, "class_uid"), "in-classes")
+    ids = docs.select(F.col("doc_id").cast("bigint").alias("_id"), key.alias("_row"))
+    named = found.join(ids, "_row")
+    stays = named.groupBy("class_uid").agg(F.min(F.struct("_id", "_row")).alias("first"))
+    gone = found.join(stays.select(F.col("first._row").alias("_row")), "_row", "left_anti").select("_row").distinct()
+    gone = broadcast_if_small(materialize(gone, "gone"))
+    return docs.withColumn("_row", key).join(gone, "_row", "left_anti").select(*docs.columns)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from termloom.llm import decontaminate, lm, minhash, packing, quality, suffix, token_counts, topk, toxicity, urls
 from termloom.llm.tables import read, ready
 
@@ -75,6 +76,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_top_k": op10_top_k,
+    "pipeline": corpus_pipeline.run,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
