@@ -56,7 +56,7 @@ def shingles(data: np.ndarray, rows: np.ndarray, size: int = SHINGLE) -> tuple[n
     sizes = np.diff(first)
     left = np.repeat(first[1:], sizes) - np.arange(n)  # words from here to the end of the text
     total = np.zeros(n, np.uint64)
-    for k in range(size):
+    for k in range(min(size, n)):
         part = np.zeros(n, np.uint64)
         part[: n - k] = h[k:]
         total += np.where(left > k, part, np.uint64(0)) * np.uint64(_MIX[k % len(_MIX)] + 2 * (k // len(_MIX)))
