@@ -96,6 +96,19 @@ def document_weights(
     return _weigh(vector.join(freqs, "term"), n_docs(corpus), idf_mode)
 
 
+def weights_by_freqs(
+    indexed: DataFrame, freqs: DataFrame, doc_id: int, field: str = CONTENTS, idf_mode: str = "default"
+) -> DataFrame:
+    """The weights of one document's terms from a stored table of frequencies.
+
+    Of ``indexed`` only that document's vector is read. ``freqs`` (field, term, df) has each term
+    once; the vector meets it where it is read.
+    """
+    vector = doc_terms(indexed, doc_id, field).drop("field")
+    own = freqs.filter(F.col("field") == field).select("term", "df")
+    return _weigh(own.join(broadcast_if_small(vector), "term"), n_docs(indexed), idf_mode)
+
+
 def best_terms(weights: DataFrame, order: str, top: int) -> DataFrame:
     """The first ``top`` terms of one document; none for zero or less."""
     return weights.select(*WEIGHT_COLUMNS).orderBy(*ranking(order)).limit(max(top, 0))

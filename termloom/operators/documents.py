@@ -8,25 +8,36 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from termloom.session import materialize
-from termloom.sizes import BROADCAST_ROWS, fits_broadcast
+from termloom.sizes import BROADCAST_ROWS, broadcast_if_small, fits_broadcast
 
 # monotonically_increasing_id: the task above these bits, the place in it below.
 _PLACE_BITS = 33
 
 
 def add_documents(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """All rows of both; a path met twice stays twice."""
-    return existing.unionByName(new)
+    """All rows of both; a path met twice stays twice. A field that only one side has is null in
+    the rows of the other."""
+    return existing.unionByName(new, allowMissingColumns=True)
 
 
 def last_per_key(new: DataFrame, key: str, order: str | None) -> DataFrame:
-    """One row per key: the one with the highest ``order``, or any if there is none.
+    """One row per key: the one with the highest ``order``, or the last row if there is none.
 
-    The rank limit applies in each task before the shuffle, so a key that fills
-    a third of the rows arrives as one row per task.
+    The keys are counted first, on their own. Only rows whose key repeats are ranked, so the
+    contents of the others never move; the rank limit applies in each task before the shuffle,
+    and a key that fills a third of the rows arrives as one row per task. ``new`` is read more
+    than once: without an ``order`` give it as a table.
     """
-    ranked = F.row_number().over(W.partitionBy(key).orderBy(F.desc(order or key)))
-    return new.withColumn("_rank", ranked).filter(F.col("_rank") == 1).drop("_rank")
+    counted = new.groupBy(key).count().filter("count > 1").select(key)
+    repeated = materialize(counted, "repeated-keys")
+    if repeated.isEmpty():
+        return new
+    placed = new.withColumn("_order", F.col(order) if order else F.monotonically_increasing_id())
+    ranked = F.row_number().over(W.partitionBy(key).orderBy(F.desc("_order")))
+    again = placed.join(broadcast_if_small(repeated), key, "left_semi")
+    last = again.withColumn("_rank", ranked).filter(F.col("_rank") == 1).drop("_rank", "_order")
+    # Rows without a key are kept as they are.
+    return without_keys(new, repeated, key).unionByName(last.select(*new.columns))
 
 
 def without_keys(
@@ -55,18 +66,20 @@ def upsert_documents(
     Only the keys of the new rows take part in the join, never their contents.
     """
     kept = without_keys(existing, new.select(key).distinct(), key, max_broadcast)
-    return kept.unionByName(last_per_key(new, key, order).select(*existing.columns))
+    return kept.unionByName(last_per_key(new, key, order), allowMissingColumns=True)
 
 
 def merge_partials(partials: Sequence[DataFrame]) -> DataFrame:
-    """Partial results of several roots in one; a path in two of them stays twice."""
-    return reduce(DataFrame.unionByName, partials)
+    """Partial results of several roots in one; a path in two of them stays twice, and a field
+    that some lack is null there."""
+    return reduce(add_documents, partials)
 
 
 def _numbered(placed: DataFrame, sizes: DataFrame, start: int) -> DataFrame:
     """doc_id = rows of the tasks before + place in the task, for rows with _place.
 
-    ``sizes`` has one row per task, so its window and its broadcast are small.
+    ``sizes`` has one row per task, so its window and its broadcast are small: a million tasks
+    are some 30 MB.
     """
     before = F.sum("_n").over(W.orderBy("_task").rowsBetween(W.unboundedPreceding, -1))
     shifts = sizes.select("_task", "_n", F.coalesce(before, F.lit(0)).alias("_shift"))

@@ -140,6 +140,8 @@ def doc_freq(
         parts.append(_terms_per_document(docs).select(F.lit(CONTENTS).alias("field"), "term"))
     if keywords:
         parts.append(keyword_terms(docs, keywords).select("field", "term"))
+    if not parts:
+        parts = [docs.select(F.lit("").alias("field"), F.lit("").alias("term")).limit(0)]
     rows = reduce(DataFrame.unionByName, parts)
     if only is not None:
         rows = rows.join(only, "term", "left_semi")

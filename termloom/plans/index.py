@@ -1,15 +1,20 @@
-"""A stored corpus: one Parquet table whose rows are documents with their vectors.
+"""A stored corpus: Parquet tables of documents with their vectors, and of their frequencies.
 
 A document's fields and its term vector are one row, so adding documents is one
 append, replacing them is one rewrite, and no join is needed to bring a document
-and its terms together. The table lives in a folder per version; a rewrite fills
-a new folder and readers move on once Spark has marked it complete.
+and its terms together. Rows are in doc_id order, so a read by doc_id skips row groups.
+
+A version is a folder with ``docs`` and ``doc_freq``, each with a folder per batch.
+A rewrite starts a new version and an append a new batch; readers take the newest version
+whose first batch Spark has marked complete. The frequencies of a batch are counted from its
+stored vectors; a reader sums them over batches, and reports ask them, not the corpus.
 """
 
 from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -26,21 +31,35 @@ OPEN_MODES = (CREATE, APPEND, CREATE_OR_APPEND)
 # In a document's order of fields. sizeKb is kept as a number only: it is neither
 # listed nor counted among the fields with terms.
 STORED_FIELDS = ("path", terms.CONTENTS, "lastModifiedTime", "lastModifiedTimeLucene")
-NOT_FIELDS = ("doc_id", "sizeKb", "n_tokens", "n_terms", "terms", "freqs", "positions")
+NOT_FIELDS = ("doc_id", "sizeKb", "modified", "n_tokens", "n_terms", "terms", "freqs", "positions")
 
 
-def _versions(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the complete versions in a folder, oldest first."""
+def _complete(spark: SparkSession, pattern: str, above: int) -> list[str]:
+    """Names of the folders ``above`` levels over the completion marks of a pattern, in order."""
     jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
+    root = jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "v*/_SUCCESS"))
-    names = [m.getPath().getParent().getName() for m in marks or []]
-    return sorted(int(n[1:]) for n in names)
+    names = []
+    for mark in fs.globStatus(root) or []:
+        path = mark.getPath()
+        for _ in range(above):
+            path = path.getParent()
+        names.append(path.getName())
+    return sorted(names)
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the complete versions in a folder, oldest first."""
+    return [int(n[1:]) for n in _complete(spark, f"{folder.rstrip('/')}/v*/docs/batch=000000", 3)]
+
 
+def _version_path(folder: str, version: int, table: str = "docs") -> str:
+    return f"{folder.rstrip('/')}/v{version:06d}/{table}"
 
-def _version_path(folder: str, version: int) -> str:
-    return f"{folder.rstrip('/')}/v{version:06d}"
+
+def _fields_of(columns: Sequence[str]) -> list[str]:
+    known = [f for f in STORED_FIELDS if f in columns]
+    return known + [c for c in columns if c not in known and c not in NOT_FIELDS]
 
 
 class TextIndex:
@@ -74,40 +93,65 @@ class TextIndex:
         found = _versions(spark, folder)
         if mode == APPEND and not found:
             raise FileNotFoundError(f"no index in {folder} to append to")
-        newest = found[-1] if found else 0
         if mode == CREATE and update:
             warnings.warn("update has no effect in CREATE mode; documents are added")
         fresh = mode == CREATE or not found
-        stored = None if fresh else spark.read.parquet(_version_path(folder, newest))
-        replaced = docs.select("path").distinct()
+        stored = None if fresh else cls(spark, folder)
+        version, batch = (found[-1] if found else 0) + 1, 0
+        if "doc_id" in docs.columns:
+            docs = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+        else:
+            docs = number_documents(docs, 0 if fresh else stored.next_doc_id())
         if update and not fresh:
-            docs = last_per_key(docs, "path", order)
-        if "doc_id" not in docs.columns:
-            docs = number_documents(docs, 0 if fresh else cls(spark, folder).next_doc_id())
-        new = terms.with_vectors(docs)
-        if fresh:
-            new.write.mode("overwrite").parquet(_version_path(folder, newest + 1))
-        elif update:
-            merged = without_keys(stored, replaced).unionByName(new.select(*stored.columns))
-            merged.write.mode("overwrite").parquet(_version_path(folder, newest + 1))
+            # One table gives both the rows and the keys that they replace.
+            docs = last_per_key(materialize(docs, "arrived"), "path", order)
+            kept = without_keys(stored.table, docs.select("path").distinct())
+            new = kept.unionByName(terms.with_vectors(docs), allowMissingColumns=True)
+            new = new.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
         else:
-            new.select(*stored.columns).write.mode("append").parquet(_version_path(folder, newest))
+            new = terms.with_vectors(docs)
+            if not fresh:
+                version, batch = stored.version, len(stored._batches("docs"))
+        path = f"{_version_path(folder, version)}/batch={batch:06d}"
+        new.write.mode("overwrite").parquet(path)
+        cls._write_freqs(spark.read.parquet(path), _version_path(folder, version, "doc_freq"), batch)
         return cls(spark, folder)
 
+    @staticmethod
+    def _write_freqs(rows: DataFrame, path: str, batch: int) -> None:
+        freqs = terms.doc_freq(rows, _fields_of(rows.columns))
+        ordered = freqs.repartitionByRange("field", "term").sortWithinPartitions("field", "term")
+        ordered.write.mode("overwrite").parquet(f"{path}/batch={batch:06d}")
+
+    def _batches(self, table: str) -> list[str]:
+        return _complete(self.spark, f"{_version_path(self.folder, self.version, table)}/batch=*", 1)
+
+    def vacuum(self, keep: int = 1) -> list[int]:
+        """Delete all but the newest ``keep`` versions; returns the numbers of those deleted.
+
+        Only when nobody reads the old ones any more.
+        """
+        old = _versions(self.spark, self.folder)[: -max(keep, 1)]
+        jvm = self.spark.sparkContext._jvm
+        for version in old:
+            path = jvm.org.apache.hadoop.fs.Path(_version_path(self.folder, version)).getParent()
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        return old
+
     def next_doc_id(self) -> int:
         """The number after the highest in use."""
         return self.table.agg(F.coalesce(F.max("doc_id"), F.lit(-1)) + 1).first()[0]
 
     @property
     def table(self) -> DataFrame:
-        return self.spark.read.parquet(_version_path(self.folder, self.version))
+        """All documents; a field that a batch lacks is null in its rows."""
+        rows = self.spark.read.option("mergeSchema", True).parquet(_version_path(self.folder, self.version))
+        return rows.drop("batch")
 
     @property
     def fields(self) -> list[str]:
         """Stored fields in document order: the known ones, then any others kept."""
-        columns = self.table.columns
-        known = [f for f in STORED_FIELDS if f in columns]
-        return known + [c for c in columns if c not in known and c not in NOT_FIELDS]
+        return _fields_of(self.table.columns)
 
     def corpus_size(self) -> DataFrame:
         return stats.corpus_size(self.table)
@@ -130,10 +174,27 @@ class TextIndex:
         return terms.term_vectors(self.table, field, positions=True)
 
     def doc_freq(self, fields: Sequence[str] | None = None) -> DataFrame:
-        return terms.doc_freq(self.table, self.fields if fields is None else fields)
+        """(field, term, df) as stored, summed over batches."""
+        names = self._batches("docs")
+        counted = set(self._batches("doc_freq"))
+        parts = []
+        if counted:
+            stored = self.spark.read.parquet(_version_path(self.folder, self.version, "doc_freq"))
+            parts.append(stored.select("field", "term", "df"))
+        for name in names:
+            if name not in counted:  # a writer stopped between the two tables
+                rows = self.spark.read.parquet(f"{_version_path(self.folder, self.version)}/{name}")
+                parts.append(terms.doc_freq(rows, _fields_of(rows.columns)))
+        freqs = reduce(DataFrame.unionByName, parts)
+        if fields is not None:
+            freqs = freqs.filter(F.col("field").isin(*fields))
+        if len(names) > 1:
+            freqs = freqs.groupBy("field", "term").agg(F.sum("df").alias("df"))
+        return freqs
 
     def vocabulary(self, field: str = terms.CONTENTS) -> DataFrame:
-        return terms.vocabulary(self.table, field)
+        rows = self.doc_freq([field]).select("term")
+        return rows if field in terms.VECTOR_FIELDS else rows.limit(0)
 
     def best_terms(
         self,
@@ -143,13 +204,11 @@ class TextIndex:
         top: int = 0,
         idf_mode: str = "default",
     ) -> DataFrame:
-        table = self.table
-        weights = best.document_weights(table, table, doc_id, field, idf_mode)
+        weights = best.weights_by_freqs(self.table, self.doc_freq([field]), doc_id, field, idf_mode)
         return best.best_terms(weights, order, top)
 
     def term_weights(self, idf_mode: str = "default") -> DataFrame:
-        freqs = materialize(terms.doc_freq(self.table), "doc-freq")
-        return best.term_weights(self.table, freqs, idf_mode)
+        return best.term_weights(self.table, self.doc_freq([terms.CONTENTS]), idf_mode)
 
     def best_terms_all(self, order: str = "tfxidf", top: int = 10, idf_mode: str = "default") -> DataFrame:
         return best.best_terms_all(self.term_weights(idf_mode), order, top)

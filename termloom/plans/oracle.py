@@ -82,27 +82,47 @@ _ONE = _similar("SELECT 'weather' AS q")
 _EVENTS = _similar("SELECT DISTINCT event_type AS q FROM events")
 _SIMILAR_TOP = f"WITH {_ONE} SELECT term, sim FROM sims ORDER BY sim DESC, term LIMIT 20"
 
-_EXISTING = f"SELECT {_PATH} AS path, {_WHOLE} AS contents FROM documents"
+_EXISTING = f"SELECT {_PATH} AS path, {_WHOLE} AS contents, lang, source FROM documents"
+
+
+def _again(version: int, labels: str) -> str:
+    text = f"(text || ' v{version}')"
+    return f"""
+SELECT {_PATH} AS path, {_joined(_lines(text))} AS contents, lang, source, {version} AS version
+FROM documents WHERE doc_id IN (SELECT doc_id FROM labels {labels})"""
+
+
 _NEW = f"""
-SELECT {_PATH} AS path, {_joined(_lines("(text || ' v2')"))} AS contents
-FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
-UNION ALL
-SELECT {_TALK_PATH} AS path, {_WHOLE} AS contents FROM conversations
+{_again(2, '')} UNION ALL {_again(3, 'WHERE toxic = 1')}
+UNION ALL SELECT {_TALK_PATH} AS path, {_WHOLE} AS contents, NULL AS lang, NULL AS source, 2 AS version
+FROM conversations
 """
 
 
-def _indexed(path: str, text: str, table: str) -> str:
+def _indexed(path: str, text: str, table: str, more: str = "", keywords: str = "NULL AS lang, NULL AS source") -> str:
     return f"""
 SELECT path, size AS "sizeKb", CAST(len(k) AS BIGINT) AS n_tokens,
-       CAST(len(list_distinct(k)) AS BIGINT) AS n_terms
-FROM (SELECT {path} AS path, CAST(strlen({text}) AS DOUBLE) AS size,
+       CAST(len(list_distinct(k)) AS BIGINT) AS n_terms, lang, source{more}
+FROM (SELECT {path} AS path, CAST(strlen({text}) AS DOUBLE) AS size, {text} AS text, {keywords},
              {_tokens(text)} AS k FROM {table})
 """
 
 
-_OF_DOCUMENTS = _indexed(_PATH, "text", "documents")
-_OF_TALK = _indexed(_TALK_PATH, "text", "conversations")
-_OF_WEB = _indexed("url", "html", "pages")
+_FIELDS = f""", {_WHOLE} AS contents,
+       array_to_string(list_transform(list_sort(list_distinct(k)),
+         lambda t: t || ':' || len(list_filter(k, lambda x: x = t))), ' ') AS vector"""
+
+
+def _parts(more: str) -> tuple[str, str, str]:
+    return (
+        _indexed(_PATH, "text", "documents", more, "lang, source"),
+        _indexed(_TALK_PATH, "text", "conversations", more),
+        _indexed("url", "html", "pages", more),
+    )
+
+
+_OF_DOCUMENTS, _OF_TALK, _OF_WEB = _parts("")
+_ALL_OF_DOCUMENTS, _ALL_OF_TALK, _ = _parts(_FIELDS)
 
 
 def _stats(field: str) -> str:
@@ -125,6 +145,14 @@ SELECT term, tf, df, idf, tfxidf FROM weights WHERE doc_id = (SELECT doc_id FROM
 ORDER BY {order} LIMIT 25"""
 
 
+def _best_of_all(order: str) -> str:
+    return f"""
+WITH {_TV}
+SELECT doc_id, rank, term, tf, df, idf, tfxidf FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY {order}) AS rank FROM weights)
+WHERE rank <= 5"""
+
+
 ORACLE: dict[str, str] = {
     "corpus_scan": f"""
 SELECT {_PATH} AS path, {_WHOLE} AS contents,
@@ -165,13 +193,14 @@ SELECT 'contents' AS field, term, df FROM dfs
 UNION ALL SELECT 'path', {_PATH} AS term, count(*) FROM documents GROUP BY term
 UNION ALL SELECT 'lang', lang, count(*) FROM documents GROUP BY lang
 UNION ALL SELECT 'source', source, count(*) FROM documents GROUP BY source""",
-    "add_documents": f"{_EXISTING} UNION ALL {_NEW}",
+    "add_documents": f"{_EXISTING} UNION ALL SELECT path, contents, lang, source FROM ({_NEW})",
     "upsert_documents": f"""
 WITH existing AS ({_EXISTING}), new AS ({_NEW})
-SELECT path, contents FROM existing ANTI JOIN new USING (path)
-UNION ALL SELECT path, contents FROM new""",
-    "write_mode_create": _OF_DOCUMENTS,
-    "write_mode_append": f"{_OF_DOCUMENTS} UNION ALL {_OF_TALK}",
+SELECT path, contents, lang, source FROM existing ANTI JOIN new USING (path)
+UNION ALL SELECT path, contents, lang, source FROM (
+  SELECT *, row_number() OVER (PARTITION BY path ORDER BY version DESC) AS place FROM new) WHERE place = 1""",
+    "write_mode_create": _ALL_OF_DOCUMENTS,
+    "write_mode_append": f"{_ALL_OF_DOCUMENTS} UNION ALL {_ALL_OF_TALK}",
     "merge_partials": f"{_OF_DOCUMENTS} UNION ALL {_OF_TALK} UNION ALL {_OF_WEB}",
     "list_fields": f"""
 WITH met AS (
@@ -192,12 +221,9 @@ WITH {_TV} SELECT doc_id, term, freq, positions FROM tv WHERE doc_id = (SELECT d
     "best_terms_tf": _best("tf DESC, term"),
     "best_terms_df": _best("df DESC, tf DESC, term"),
     "best_terms_tfidf": _best("tfxidf DESC, df DESC, tf DESC, term"),
-    "best_terms_all_docs": f"""
-WITH {_TV}
-SELECT doc_id, rank, term, tf, df, idf, tfxidf FROM (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tfxidf DESC, df DESC, tf DESC, term) AS rank
-  FROM weights)
-WHERE rank <= 5""",
+    "best_terms_all_docs": _best_of_all("tfxidf DESC, df DESC, tf DESC, term"),
+    "best_terms_all_docs_tf": _best_of_all("tf DESC, term"),
+    "best_terms_all_docs_df": _best_of_all("df DESC, tf DESC, term"),
     "char_vectors": f"WITH {_VOC} SELECT term, ch, c FROM chars",
     "char_norms": f"WITH {_VOC} SELECT term, norm FROM norms",
     "char_cosine": f"WITH {_ONE} SELECT term, sim FROM sims",

@@ -14,7 +14,7 @@ from termloom.operators import fields as stats
 from termloom.operators import similar_terms as similar
 from termloom.operators import term_vectors as terms
 from termloom.plans.index import APPEND, CREATE, TextIndex
-from termloom.session import materialize, new_folder
+from termloom.session import new_folder
 from termloom.sources.tables import read_table, table_corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,24 @@ def document_path() -> Column:
     return F.concat(F.lit("/corpus/"), "lang", F.lit("/"), "source", F.lit("/"), "doc_id", suffix)
 
 
+# Indexes of this session, by application and tables: a report asks the index that is there.
+_indexes: dict[tuple[str, str], str] = {}
+
+
+def stored_index(spark: SparkSession, sf_dir: str) -> TextIndex:
+    """The index of the documents, written when first asked for."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key in _indexes:
+        try:
+            return TextIndex(spark, _indexes[key])
+        except FileNotFoundError:  # its folder was cleaned up
+            del _indexes[key]
+    folder = new_folder(spark, "index")
+    index = TextIndex.write(corpus(spark, sf_dir), folder, CREATE)
+    _indexes[key] = folder
+    return index
+
+
 def corpus(spark: SparkSession, sf_dir: str, **choices) -> DataFrame:
     """The documents, ready for the analysis of their texts."""
     rows = read_table(spark, _file(sf_dir, "documents"), ("doc_id", "text", "lang", "source"), "doc_id")
@@ -62,20 +80,19 @@ def web(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delivery(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """An existing document table, and a batch: new texts for the documents that
-    have a label, and all conversation turns."""
-    existing = _plain_corpus(spark, sf_dir).select("path", "contents")
-    labels = spark.read.parquet(_file(sf_dir, "labels")).select("doc_id")
+    """An existing document table, and a batch: all conversation turns, and new texts for the
+    documents that have a label, two of them for toxic ones. ``version`` tells which is later."""
+    existing = _plain_corpus(spark, sf_dir).drop("doc_id", "sizeKb")
+    labels = spark.read.parquet(_file(sf_dir, "labels"))
     rows = spark.read.parquet(_file(sf_dir, "documents"))
-    again = rows.join(labels, "doc_id", "left_semi").withColumn("text", F.concat("text", F.lit(" v2")))
-    new = table_corpus(again, document_path()).select("path", "contents")
-    return existing, new.unionByName(talk(spark, sf_dir).select("path", "contents"))
-
-
-def vectors(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFrame:
-    """The term vectors of the corpus, as a table."""
-    analysed = terms.with_vectors(corpus(spark, sf_dir), positions)
-    return materialize(analysed.drop("path", "contents", "sizeKb", "lang", "source"), "vectors")
+    batches = []
+    for version, some in ((2, labels), (3, labels.filter("toxic = 1"))):
+        again = rows.join(some.select("doc_id"), "doc_id", "left_semi")
+        again = again.withColumn("text", F.concat("text", F.lit(f" v{version}")))
+        new = table_corpus(again, document_path(), keep=("lang", "source")).drop("doc_id", "sizeKb")
+        batches.append(new.withColumn("version", F.lit(version)))
+    turns = talk(spark, sf_dir).select("path", "contents").withColumn("version", F.lit(2))
+    return existing, upkeep.merge_partials([*batches, turns])
 
 
 def richest_document(table: DataFrame) -> int:
@@ -145,40 +162,46 @@ def doc_freq(spark, sf_dir):
 
 
 def add_documents(spark, sf_dir):
-    return upkeep.add_documents(*delivery(spark, sf_dir))
+    return upkeep.add_documents(*delivery(spark, sf_dir)).drop("version")
 
 
 def upsert_documents(spark, sf_dir):
-    return upkeep.upsert_documents(*delivery(spark, sf_dir))
+    return upkeep.upsert_documents(*delivery(spark, sf_dir), order="version").drop("version")
 
 
-_INDEXED = ("path", "contents", "sizeKb")
+def _with_vector_text(table: DataFrame) -> DataFrame:
+    """Documents of an index with all their fields, and their vectors as "term:freq ..."."""
+    cells = F.transform(F.arrays_zip("terms", "freqs"), lambda t: F.concat(t["terms"], F.lit(":"), t["freqs"]))
+    kept = [c for c in ("lang", "source") if c in table.columns]
+    return table.select(
+        "path", "contents", "sizeKb", "n_tokens", "n_terms", *kept, F.array_join(cells, " ").alias("vector")
+    )
 
 
 def write_mode_create(spark, sf_dir):
     """An index of the conversations, started anew with the documents."""
     folder = new_folder(spark, "index")
     TextIndex.write(talk(spark, sf_dir), folder, CREATE)
-    index = TextIndex.write(corpus(spark, sf_dir).select("doc_id", *_INDEXED), folder, CREATE)
-    return index.table.select("path", "sizeKb", "n_tokens", "n_terms")
+    index = TextIndex.write(corpus(spark, sf_dir), folder, CREATE)
+    return _with_vector_text(index.table)
 
 
 def write_mode_append(spark, sf_dir):
     """An index of the documents, to which the conversations are added."""
     folder = new_folder(spark, "index")
-    TextIndex.write(corpus(spark, sf_dir).select("doc_id", *_INDEXED), folder, CREATE)
+    TextIndex.write(corpus(spark, sf_dir), folder, CREATE)
     index = TextIndex.write(talk(spark, sf_dir), folder, APPEND)
-    return index.table.select("path", "sizeKb", "n_tokens", "n_terms")
+    return _with_vector_text(index.table)
 
 
 def merge_partials(spark, sf_dir):
     parts = [corpus(spark, sf_dir), talk(spark, sf_dir), web(spark, sf_dir)]
-    merged = upkeep.merge_partials([terms.with_counts(p.select(*_INDEXED)) for p in parts])
-    return merged.select("path", "sizeKb", "n_tokens", "n_terms")
+    merged = upkeep.merge_partials([terms.with_counts(p) for p in parts])
+    return merged.select("path", "sizeKb", "n_tokens", "n_terms", "lang", "source")
 
 
 def list_fields(spark, sf_dir):
-    return stats.list_fields(_plain_corpus(spark, sf_dir), FIELDS)
+    return stored_index(spark, sf_dir).list_fields()
 
 
 def field_stats(spark, sf_dir):
@@ -186,7 +209,7 @@ def field_stats(spark, sf_dir):
 
 
 def field_stats_all(spark, sf_dir):
-    return stats.field_stats(terms.with_counts(corpus(spark, sf_dir)), FIELDS)
+    return stored_index(spark, sf_dir).field_stats()
 
 
 def corpus_size(spark, sf_dir):
@@ -194,32 +217,30 @@ def corpus_size(spark, sf_dir):
 
 
 def doc_terms(spark, sf_dir):
-    table = vectors(spark, sf_dir, positions=True)
-    rows = best.doc_terms(table, richest_document(table), positions=True)
+    """The vector of the richest document: only that text is analysed with positions."""
+    docs = corpus(spark, sf_dir)
+    own = docs.filter(F.col("doc_id") == richest_document(terms.with_counts(docs)))
+    rows = best.doc_terms(terms.with_vectors(own), richest_document(terms.with_counts(own)), positions=True)
     return rows.select("doc_id", "term", "freq", _positions_as_text())
 
 
 def _best_terms(order: str) -> Query:
     def query(spark, sf_dir):
-        table = vectors(spark, sf_dir)
-        weights = best.document_weights(table, table, richest_document(table))
-        return best.best_terms(weights, order, TOP_OF_DOCUMENT)
+        index = stored_index(spark, sf_dir)
+        return index.best_terms(richest_document(index.table), order=order, top=TOP_OF_DOCUMENT)
 
     return query
 
 
-def _all_weights(spark, sf_dir) -> DataFrame:
-    table = vectors(spark, sf_dir)
-    freqs = materialize(terms.doc_freq(table), "doc-freq")
-    return best.term_weights(table, freqs)
+def term_weights(spark, sf_dir):
+    return stored_index(spark, sf_dir).term_weights()
 
 
-def term_weights(spark, sf_dir):
-    return _all_weights(spark, sf_dir)
+def _best_of_all(order: str) -> Query:
+    return lambda spark, sf_dir: stored_index(spark, sf_dir).best_terms_all(order, TOP_OF_EACH)
 
 
-def best_terms_all_docs(spark, sf_dir):
-    return best.best_terms_all(_all_weights(spark, sf_dir), "tfxidf", TOP_OF_EACH)
+best_terms_all_docs = _best_of_all("tfxidf")
 
 
 def char_vectors(spark, sf_dir):
@@ -280,6 +301,8 @@ QUERIES: dict[str, Query] = {
     "best_terms_df": _best_terms("df"),
     "best_terms_tfidf": _best_terms("tfxidf"),
     "best_terms_all_docs": best_terms_all_docs,
+    "best_terms_all_docs_tf": _best_of_all("tf"),
+    "best_terms_all_docs_df": _best_of_all("df"),
     "char_vectors": char_vectors,
     "char_norms": char_norms,
     "char_cosine": char_cosine,

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from termloom.functions.names import file_name, has_extension
 from termloom.plans.index import CREATE_OR_APPEND, TextIndex
+from termloom.session import materialize
 from termloom.sources.files import file_documents
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -40,8 +41,10 @@ def start_indexing(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        # The batch is read from its files once; all that follows reads the table.
+        batch = materialize(batch, "arrived")
         if not batch.isEmpty():
-            TextIndex.write(batch, folder, CREATE_OR_APPEND, update, order="lastModifiedTime")
+            TextIndex.write(batch, folder, CREATE_OR_APPEND, update, order="modified")
 
     return (
         docs.writeStream.option("checkpointLocation", checkpoint)

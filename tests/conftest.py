@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from termloom.session import build_session  # noqa: E402
+from termloom.session import build_session, drop_tables  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -16,7 +16,7 @@ TABLES = (
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
@@ -24,9 +24,11 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_tables(session)
     session.stop()
 
 

@@ -1,9 +1,13 @@
 """Files, the stored index and the stream of files."""
 
+import datetime
+import glob
 import os
 import warnings
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from termloom import TextIndex
 from termloom.plans.index import APPEND, CREATE, CREATE_OR_APPEND
@@ -76,14 +80,90 @@ def test_scan_numbers_its_files(spark, tree):
     assert set(by_name(found)) == set(by_name(scan_files(spark, [root, single])))
 
 
-def test_manifest_brings_back_empty_files(spark, tree):
-    root, _, _ = tree
-    seen = [r.path for r in scan_files(spark, [root]).collect()]
-    empty = seen[0].rsplit("/docs/", 1)[0] + "/docs/empty.txt"
-    manifest = spark.createDataFrame([(p,) for p in seen + [empty]], "path string")
+def test_manifest_adds_only_what_the_scan_lacks(spark, tree):
+    root, _, put = tree
+    seen = by_name(scan_files(spark, [root]))
+    plain = lambda name: f"{root}/{name}"
+    # One listed file, given with and without its scheme; an empty file; a hidden one; one of another kind.
+    rows = [(seen["a.txt"].path,), (plain("a.txt"),), (plain("empty.txt"),), (plain(".hidden.txt"),), (plain("other.c"),)]
+    manifest = spark.createDataFrame(rows, "path string")
     found = by_name(scan_files(spark, [root], manifest=manifest))
+    assert set(found) == set(seen) | {"empty.txt", ".hidden.txt", "other.c"}
     assert found["empty.txt"].contents == "" and found["empty.txt"].sizeKb == 0.0
-    assert len(found) == len(seen) + 1
+    assert all(tuple(found[n]) == tuple(seen[n]) for n in seen)
+    assert found["empty.txt"].path == seen["a.txt"].path.replace("a.txt", "empty.txt")
+    some = by_name(scan_files(spark, [root], extensions=[".txt"], manifest=manifest))
+    assert "other.c" not in some and "empty.txt" in some
+
+
+def test_manifest_with_lengths_and_times(spark, tree):
+    root, _, _ = tree
+    seen = by_name(scan_files(spark, [root]))
+    stamp = datetime.datetime(2020, 1, 2, 3, 4, 30)
+    rows = [(f"{root}/empty.txt", 0, stamp), (f"{root}/unreadable.txt", 5, stamp)]
+    manifest = spark.createDataFrame(rows, "path string, length bigint, modificationTime timestamp")
+    found = by_name(scan_files(spark, [root], manifest=manifest))
+    assert set(found) == set(seen) | {"empty.txt"}
+    assert found["empty.txt"].lastModifiedTimeLucene is not None
+
+
+def test_appended_fields_are_kept(spark, tmp_path):
+    plain = spark.createDataFrame([("/a", "one two"), ("/b", "two")], "path string, contents string")
+    more = spark.createDataFrame([("/c", "three two", "en")], "path string, contents string, lang string")
+    for k, parts in enumerate(([plain, more], [more, plain])):
+        folder = str(tmp_path / f"index{k}")
+        TextIndex.write(parts[0], folder)
+        index = TextIndex.write(parts[1], folder, APPEND)
+        assert {(r.path, r.lang) for r in index.table.collect()} == {("/a", None), ("/b", None), ("/c", "en")}
+        assert "lang" in index.fields
+        freqs = {(r.field, r.term): r.df for r in index.doc_freq().collect()}
+        assert freqs["contents", "two"] == 3 and freqs["lang", "en"] == 1
+        # Replacing keeps them too.
+        index = TextIndex.write(plain.filter("path = '/a'"), folder, update=True)
+        assert {(r.path, r.lang) for r in index.table.collect()} == {("/a", None), ("/b", None), ("/c", "en")}
+        assert index.doc_freq(["contents"]).filter("term = 'two'").first()["df"] == 3
+
+
+def test_later_times_win_whatever_their_text(spark, tmp_path):
+    """...:30.12 is later than ...:30, although its text sorts first."""
+    rows = [("/a", "old", "2020-01-01 00:00:30"), ("/a", "new", "2020-01-01 00:00:30.12"), ("/b", "b", None)]
+    batch = spark.createDataFrame(rows, "path string, contents string, t string").withColumn("modified", F.col("t").cast("timestamp"))
+    folder = str(tmp_path / "index")
+    TextIndex.write(batch.limit(0).drop("t"), folder)
+    index = TextIndex.write(batch.drop("t"), folder, update=True, order="modified")
+    assert {r.path: r.contents for r in index.table.collect()} == {"/a": "new", "/b": "b"}
+
+
+def test_vacuum_leaves_the_newest(spark, tmp_path):
+    docs = spark.createDataFrame([("/a", "one")], "path string, contents string")
+    folder = str(tmp_path / "index")
+    for _ in range(3):
+        index = TextIndex.write(docs, folder, CREATE)
+    assert index.vacuum() == [1, 2]
+    assert TextIndex(spark, folder).version == 3 and index.vacuum() == []
+
+
+def test_one_document_is_read_without_the_rest(spark, tmp_path):
+    """Rows are stored by doc_id, and reports read neither other vectors nor the corpus."""
+    docs = spark.range(2000).selectExpr("1999 - id AS doc_id", "concat('/', id) AS path", "concat('word', id) AS contents")
+    # So little would be one file.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = TextIndex.write(docs, str(tmp_path / "index"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{tmp_path}/index/v000001/docs/*/*.parquet")]
+    bounds = []
+    for meta in files:
+        for g in range(meta.num_row_groups):
+            column = next(meta.row_group(g).column(c) for c in range(meta.num_columns) if meta.row_group(g).column(c).path_in_schema == "doc_id")
+            bounds.append((column.statistics.min, column.statistics.max))
+    assert len(bounds) > 1 and sum(a <= 700 <= b for a, b in bounds) == 1
+    report = index.best_terms(700, top=5)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "terms#" in line]
+    assert scans and all("EqualTo(doc_id,700)" in line for line in scans)
+    assert [r.term for r in report.collect()] == ["word1299"]
 
 
 def test_index_modes(spark, tree, tmp_path):
