@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from termloom.llm import decontaminate, lm, minhash, packing, quality, suffix, token_counts, topk, toxicity, urls
+from termloom.llm import decontaminate, lm, minhash, oracle, packing, quality, suffix, token_counts, topk, toxicity, urls
 from termloom.llm.tables import read, ready
 
 TOKEN_LIMIT = 2048
@@ -79,4 +79,6 @@ LLM_QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
 }
 
-LLM_ORACLE: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+LLM_ORACLE: dict[str, str] = {"op4_decontamination": oracle.OP4, "op10_top_k": oracle.OP10}
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

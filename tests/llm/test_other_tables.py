@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from termloom.llm import topk, urls
 from termloom.llm.components import components
-from termloom.llm.queries import LLM_QUERIES
+from termloom.llm.queries import LLM_ORACLE, LLM_QUERIES
 
 PAGES = "page_id bigint, url string, host string, score string"
 
@@ -166,6 +166,15 @@ def test_registered():
     assert numbers == set(range(1, 11)) and "pipeline" in LLM_QUERIES
 
 
+@pytest.mark.parametrize("name", list(LLM_ORACLE))
+def test_query_equals_sql(spark, duck, sf_dir, name):
+    df = LLM_QUERIES[name](spark, sf_dir)
+    found = Counter(map(tuple, df.collect()))
+    cursor = duck.execute(LLM_ORACLE[name])
+    order = [[d[0] for d in cursor.description].index(c) for c in df.columns]
+    assert found == Counter(tuple(r[k] for k in order) for r in cursor.fetchall())
+
+
 def test_pipeline_stages(spark, sf_dir):
     """Each stage keeps rows of its input with the columns of documents; the last packs all of them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
