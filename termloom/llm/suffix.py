@@ -101,12 +101,21 @@ def _questions(buckets: int):
         for i, j in _chunks(offsets):
             block, rows = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
             _, _, place, own = anchors(block, rows)
-            doc = np.searchsorted(rows, place, side="right") - 1
             distinct, inverse = np.unique(own, return_inverse=True)
-            many = np.bincount(inverse, minlength=len(distinct))
-            asks = [(b, exchange.pack(at.astype(np.uint32), distinct[at], many[at].astype(np.uint32))) for b, at in exchange.by_bucket(distinct, buckets)]
-            places = (place - rows[doc]).astype(np.int32)
-            yield asks, exchange.pack(ids[i:j], hashes[i:j], doc.astype(np.int32), places, inverse.astype(np.uint32))
+            twice = np.bincount(inverse, minlength=len(distinct)) > 1
+            # Four bytes of a hash and its bucket; a chance collision only sends a context too many.
+            asks, number, begin = [], np.empty(len(distinct), np.uint32), {}
+            at_most = 0
+            for b, at in exchange.by_bucket(distinct, buckets):
+                asks.append((b, exchange.pack(b, distinct[at].astype(np.uint32), np.packbits(twice[at]))))
+                number[at], begin[b] = np.arange(at_most, at_most + len(at)), at_most
+                at_most += len(at)
+            many = np.diff(np.searchsorted(place, rows)).astype(np.uint32)
+            # Anchors stand less than a string apart.
+            steps = np.diff(place - np.repeat(rows[:-1], many), prepend=0)
+            first = (np.cumsum(many) - many)[many > 0]
+            steps[first] = place[first] - rows[:-1][many > 0]
+            yield asks, exchange.pack(ids[i:j], hashes[i:j], many, steps.astype(np.uint8), number[inverse], begin, at_most)
 
     return chunk
 
@@ -115,24 +124,25 @@ def _repeated(asked: list[tuple]) -> tuple[list[bytes | None], list[int]]:
     """For each chunk, which of its distinct anchors occur more than once in the corpus."""
     if not asked:
         return [], []
-    hashes = np.concatenate([a[1] for a in asked])
-    distinct, inverse = np.unique(hashes, return_inverse=True)
-    total = np.bincount(inverse, np.concatenate([a[2] for a in asked]), len(distinct))
-    again = (total > 1)[inverse]
+    distinct, inverse = np.unique(np.concatenate([a[1] for a in asked]), return_inverse=True)
+    again = (np.bincount(inverse, minlength=len(distinct)) > 1)[inverse]
     out, at = [], 0
-    for own, _, _ in asked:
-        some = own[again[at : at + len(own)]]
-        at += len(own)
-        out.append(exchange.pack(some) if len(some) else None)
+    for bucket, hashes, twice in asked:
+        some = np.flatnonzero(again[at : at + len(hashes)] | np.unpackbits(twice, count=len(hashes)).astype(bool))
+        at += len(hashes)
+        out.append(exchange.pack(bucket, some.astype(np.uint32)) if len(some) else None)
     return out, []
 
 
 def _to_documents(notes: tuple, answers: list[tuple]) -> pa.Table:
-    ids, hashes, doc, places, inverse = notes
-    again = np.zeros(int(inverse.max(initial=0)) + 1, bool)
-    for (some,) in answers:
-        again[some] = True
-    kept = again[inverse] if len(inverse) else np.zeros(0, bool)
+    ids, hashes, many, steps, number, begin, at_most = notes
+    again = np.zeros(at_most, bool)
+    for bucket, some in answers:
+        again[begin[bucket] + some.astype(np.int64)] = True
+    doc = np.repeat(np.arange(len(ids)), many)
+    total = np.concatenate([[0], np.cumsum(steps.astype(np.int64))])
+    places = total[1:] - np.repeat(total[np.cumsum(many.astype(np.int64)) - many], many)
+    kept = again[number] if len(number) else np.zeros(0, bool)
     doc, places = doc[kept], places[kept]
     own, cuts = np.unique(doc, return_index=True)
     cuts = np.append(cuts, len(doc))
@@ -162,7 +172,7 @@ def _context_batches(buckets: int, span: int):
         for batch in batches:
             ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             data, offsets = text_bytes(batch.column(2))
-            lists = batch.column(3).to_pylist()
+            lists = batch.column(batch.schema.get_field_index("places")).to_pylist()
             for i, j in _chunks(offsets):
                 block, rows = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 first, last, place, own = anchors(block, rows)
@@ -412,7 +422,7 @@ def _kept_batches(span: int):
 
 
 def remove_repeats(docs: DataFrame, row: list[str], span: int = SPAN) -> DataFrame:
-    """``row`` columns (as a struct), n_bytes, n_removed, n_spans, kept_sha256, kept_text of each document.
+    """``row`` columns (as a struct; none of them the text), n_bytes, n_removed, n_spans, kept_sha256, kept_text of each document.
 
     Bytes are those of the whole UTF-8 text; a null text is empty and keeps nothing. A byte goes if a
     string of ``span`` bytes that covers it starts earlier too: in a document with a smaller doc_id, or
@@ -436,7 +446,8 @@ def remove_repeats(docs: DataFrame, row: list[str], span: int = SPAN) -> DataFra
     )
     # Rows that repeat have the same anchors; one of them brings its places for all.
     found = found.groupBy("id", "hash").agg(F.max("places").alias("places"))
-    sent = keyed.select("id", "hash", "text").join(found, ["id", "hash"]).select("id", "hash", "text", "places")
+    # Both joins move the same columns of the documents by the same key, so that they move once.
+    sent = keyed.join(found, ["id", "hash"]).select("id", "hash", "text", "row", "places")
     contexts = sent.mapInArrow(_context_batches(buckets, span), exchange.ROWS)
     removed_in = _removed_of(span)
     starts = contexts.groupBy("bucket").applyInArrow(lambda t: removed_in(t), "id bigint, hash bigint, starts binary")
