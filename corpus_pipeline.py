@@ -33,14 +33,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of long strings that start earlier in the corpus too.
 
-    n_chars follows the text. A document of which nothing is left stays, with an empty text.
+    n_chars follows the text; a null text becomes empty. A document of which nothing is left stays, with an empty text.
     """
     ready(spark)
-    found = suffix.remove_repeats(docs, docs.columns)
-    changed = F.col("n_removed") > 0
-    columns = {c: F.col(f"row.{c}") for c in docs.columns}
-    columns["text"] = F.when(changed, F.col("kept_text")).otherwise(F.col("row.text"))
-    columns["n_chars"] = F.when(changed, F.length("kept_text")).otherwise(F.col("row.n_chars")).cast("bigint")
+    found = suffix.remove_repeats(docs, [c for c in docs.columns if c != "text"])
+    columns = {c: F.col(f"row.{c}") for c in docs.columns if c != "text"} | {"text": F.col("kept_text")}
+    length = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("row.n_chars"))
+    columns["n_chars"] = length.cast("bigint")
     return found.select(*(columns[c].alias(c) for c in docs.columns))
 
 
