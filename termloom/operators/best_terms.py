@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from termloom.functions.weights import idf, tf
 from termloom.operators.term_vectors import CONTENTS, doc_freq, term_vectors
-from termloom.sizes import BROADCAST_ROWS, broadcast_if_small
+from termloom.sizes import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small
 
 WEIGHT_COLUMNS = ("term", "tf", "df", "idf", "tfxidf")
 
@@ -56,10 +56,13 @@ def attach_doc_freq(vectors: DataFrame, freqs: DataFrame, max_broadcast: int = B
     if "field" in freqs.columns:
         freqs = freqs.filter(F.col("field") == CONTENTS)
     freqs = freqs.select("term", "df")
-    found = freqs.agg(F.count("*").alias("terms"), F.sum("df").alias("rows")).first()
-    if found["terms"] <= max_broadcast:
+    size = F.coalesce(F.sum(F.octet_length("term")), F.lit(0))
+    found = freqs.agg(F.count("*").alias("terms"), F.sum("df").alias("rows"), size.alias("bytes")).first()
+    if found["terms"] <= max_broadcast and found["bytes"] <= BROADCAST_BYTES:
         return vectors.join(F.broadcast(freqs), "term")
-    is_common = F.col("df") * max_broadcast >= F.lit(found["rows"])
+    # Long terms (over a kilobyte there is none) lower the number that may be broadcast.
+    most = min(max_broadcast, max(1, BROADCAST_BYTES * found["terms"] // max(found["bytes"], 1)), BROADCAST_BYTES >> 10)
+    is_common = F.col("df") * most >= F.lit(found["rows"])
     common = freqs.filter(is_common)
     rare = freqs.filter(~is_common)
     by_broadcast = vectors.join(F.broadcast(common), "term")

@@ -15,19 +15,15 @@ SPREAD_BYTES_PER_CORE = 32 << 20
 SPREAD_TASKS_PER_CORE = 3
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows and its texts BROADCAST_BYTES bytes.
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows and its texts ``max_bytes`` bytes.
 
-    Reads no more than one row past the limit.
+    One aggregate, combined in each task: no row leaves its task for it.
     """
-    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t == "string"]
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
     width = sum(texts, F.lit(0)).cast("bigint")
-    found = (
-        df.limit(max_rows + 1)
-        .agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
-        .first()
-    )
-    return found["rows"] <= max_rows and found["bytes"] <= BROADCAST_BYTES
+    found = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return found["rows"] <= max_rows and found["bytes"] <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
