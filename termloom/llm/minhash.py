@@ -12,7 +12,7 @@ changes is not torn apart by its changes. Similarity is the weighted Jaccard of
    consistent weighted sampling; two vectors agree in a sample with their similarity as probability, so
    a pair at 0.8 misses every band once in 40,000 times.
 3. In a bucket (vectors that agree in a band) members are compared with a few leaders, one in the first
-   round, twice as many in each next, until all pairs of the bucket that are not connected yet have
+   round, four times as many in each next, until all pairs of the bucket that are not connected yet have
    been compared. So buckets of thousands of copies cost one comparison per member, and no link is lost.
 4. Classes are the connected components of the verified links.
 """
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,8 @@ _SALTS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E377
 _MIX = (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _SLICE = 1 << 13
 _DOCUMENTS = (
-    "uid bigint, doc_id bigint, sig binary, hashes binary, weights binary, total double, bands array<bigint>"
+    "uid bigint, doc_id bigint, sig binary, hashes binary, weights binary, shared double, total double, "
+    "bands array<bigint>"
 )
 
 
@@ -207,14 +209,14 @@ def _documents(n_docs: int):
         bounds = np.searchsorted(doc, np.arange(len(ids) + 1))
         once = float(idf(np.array([1]), n_docs)[0])
         base = ((chunk >> 32) << 33) | ((chunk & 0xFFFFF) << 13)
-        columns: dict[str, list] = {k: [] for k in ("uid", "doc_id", "sig", "hashes", "weights", "total", "bands")}
+        columns: dict[str, list] = {k: [] for k in ("uid", "doc_id", "sig", "hashes", "weights", "shared", "total", "bands")}
         seen: dict[bytes, list[int]] = {}
         for k, (i, size, mark) in enumerate(zip(ids, sizes.tolist(), marks)):
             a, b = bounds[k], bounds[k + 1]
             uid = base | k
             rest = size - int(tf[a:b].sum())  # shingles that no other document has
             shared = float(weights[a:b].sum())
-            row = [uid, i, None, None, None, None, None]
+            row = [uid, i, *[None] * 6]
             if mark is not None:  # no words: alike only if equal
                 row[2] = mark
             elif shared >= THRESHOLD * (shared + rest * once) - 1e-9:
@@ -224,10 +226,10 @@ def _documents(n_docs: int):
                     own = mix(np.arange(1, rest + 1, dtype=np.uint64) * np.uint64(_MIX[2]) + mix(np.array([uid], np.uint64)))
                     h = np.concatenate([hashes[a:b], own])
                     seen[sig] = band_keys(samples(h, np.concatenate([weights[a:b], np.full(rest, once)]))).tolist()
-                row[2:] = [sig, *vector, shared + rest * once, seen[sig]]
+                row[2:] = [sig, *vector, shared, shared + rest * once, seen[sig]]
             for name, value in zip(columns, row):
                 columns[name].append(value)
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.list_(pa.int64()))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.list_(pa.int64()))
         return pa.table({name: pa.array(v, kind) for (name, v), kind in zip(columns.items(), kinds)})
 
     return finish
@@ -241,15 +243,15 @@ def weighted_jaccard(hashes_a, weights_a, total_a, hashes_b, weights_b, total_b)
 
 
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ("a", "b", "ra", "rb")
     for batch in batches:
-        a, b = [], []
+        kept = []
         for r in batch.to_pylist():
             left = np.frombuffer(r["ha"], "<u8"), np.frombuffer(r["wa"], "<f4"), r["ta"]
             right = np.frombuffer(r["hb"], "<u8"), np.frombuffer(r["wb"], "<f4"), r["tb"]
             if weighted_jaccard(*left, *right) >= THRESHOLD - 1e-6:
-                a.append(r["a"])
-                b.append(r["b"])
-        yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                kept.append([r[n] for n in names])
+        yield pa.record_batch([pa.array([k[i] for k in kept], pa.int64()) for i in range(4)], list(names))
 
 
 def _verified(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -257,39 +259,55 @@ def _verified(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
         names = [F.col("uid").alias(k), *(F.col(c).alias(c[0] + k) for c in ("hashes", "weights", "total"))]
         return vectors.select(*names)
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify_batches, "a bigint, b bigint")
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    return met.mapInArrow(_verify_batches, "a bigint, b bigint, ra bigint, rb bigint")
 
 
 def link_buckets(vectors: DataFrame) -> DataFrame | None:
-    """(node, root) of the vectors (uid, hashes, weights, total, bands) that have links; None for none."""
-    members = vectors.select("uid", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg((F.min("uid") != F.max("uid")).alias("more")).filter("more").select("bucket")
-    members = materialize(members.join(shared, "bucket"), "members").withColumn("done", F.lit(False))
-    members, rooted, links, leaders_of = materialize(members, "members"), None, None, 1
+    """Links (a, b) between the vectors (uid, hashes, weights, shared, total, bands); None if no two may be alike.
+
+    ``root`` labels what is known to be connected: each round, a vector takes the smallest label among
+    those it is linked to. Vectors with one label need no comparison; labels that lag behind only cost some.
+    """
+    members = vectors.select("uid", "shared", "total", F.explode("bands").alias("bucket"), F.col("uid").alias("root"))
+    state = members.withColumn("done", F.lit(False))
+    found: list[DataFrame] = []
+    compared: list[DataFrame] = []
+    leaders = 1
     while True:
-        state = members
-        if rooted is not None:
-            state = state.join(rooted.withColumnRenamed("node", "uid"), "uid", "left")
-        else:
-            state = state.withColumn("root", F.lit(None).cast("bigint"))
-        state = state.withColumn("root", F.coalesce("root", "uid"))
-        # Pairs are open where two members of different components have not led yet.
+        # A bucket is open while members with different labels have not led yet.
         open_ = state.filter("not done").groupBy("bucket").agg((F.min("root") != F.max("root")).alias("more"))
         state = materialize(state.join(open_.filter("more").select("bucket"), "bucket"), "open")
         if state.isEmpty():
-            return rooted
-        slot = F.pmod(F.xxhash64("uid"), F.lit(leaders_of))
-        led = state.filter("not done").groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("uid", "root")).alias("l"))
-        led = materialize(led.select("bucket", F.col("l.uid").alias("leader"), F.col("l.root").alias("its")), "leaders")
-        met = state.join(led, "bucket").filter(F.col("root") != F.col("its"))
-        pairs = met.select(F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")).distinct()
-        found = materialize(_verified(pairs, vectors), "links")
-        links = found if links is None else links.unionByName(found)
-        rooted = components(links)
+            return reduce(DataFrame.unionByName, found) if found else None
+        slot = F.pmod(F.xxhash64("uid"), F.lit(leaders))
+        led = state.filter("not done").groupBy("bucket", slot.alias("slot")).agg(
+            F.min(F.struct("uid", "root", "shared", "total")).alias("l")
+        )
+        names = {"leader": "uid", "its": "root", "its_shared": "shared", "its_total": "total"}
+        led = materialize(led.select("bucket", *(F.col(f"l.{c}").alias(n) for n, c in names.items())), "leaders")
+        # What both share with others bounds what they can share with each other.
+        most = F.least("shared", "its_shared")
+        able = most >= THRESHOLD * (F.col("total") + F.col("its_total") - most) - 1e-6
+        # A member that has led its bucket has met all others there.
+        met = state.filter("not done").join(led, "bucket").filter(able & (F.col("root") != F.col("its")))
+        first = F.col("uid") < F.col("leader")
+        sides = [F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("uid", "leader"), ("leader", "uid"), ("root", "its"), ("its", "root"))]
+        pairs = met.select(*(c.alias(n) for c, n in zip(sides, ("a", "b", "ra", "rb")))).distinct()
+        if compared:  # in another bucket
+            pairs = pairs.join(reduce(DataFrame.unionByName, compared), ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        compared.append(pairs.select("a", "b"))
+        links = materialize(_verified(pairs, vectors), "links")
+        found.append(links.select("a", "b"))
+        told = links.select(F.col("a").alias("uid"), F.col("rb").alias("new"))
+        told = told.unionByName(links.select(F.col("b").alias("uid"), F.col("ra").alias("new")))
+        told = told.groupBy("uid").agg(F.min("new").alias("new"))
+        state = state.join(told, "uid", "left").withColumn("root", F.least("root", "new")).drop("new")
         now = led.select("bucket", F.col("leader").alias("uid"), F.lit(True).alias("led"))
-        state = state.drop("root").join(now, ["bucket", "uid"], "left")
-        members = materialize(state.select("uid", "bucket", (F.col("done") | F.coalesce("led", F.lit(False))).alias("done")), "members")
-        leaders_of *= 2
+        state = state.join(now, ["bucket", "uid"], "left")
+        state = state.select("uid", "shared", "total", "bucket", "root", (F.col("done") | F.coalesce("led", F.lit(False))).alias("done"))
+        leaders *= 4
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -309,14 +327,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     alike = documents.filter(F.col("sig").isNotNull()).groupBy("sig").agg(F.min("uid").alias("first"))
     alike = materialize(alike, "alike")
     vectors = documents.filter(F.col("hashes").isNotNull()).join(alike.select(F.col("first").alias("uid")), "uid")
-    vectors = materialize(vectors.select("uid", "hashes", "weights", "total", "bands"), "vectors")
-    rooted = link_buckets(vectors)
+    vectors = materialize(vectors.select("uid", "hashes", "weights", "shared", "total", "bands"), "vectors")
+    links = link_buckets(vectors)
     named = documents.select("uid", "doc_id", "sig").join(alike, "sig", "left")
     named = named.select("uid", "doc_id", F.coalesce("first", "uid").alias("node"))
-    if rooted is None:
+    if links is None:
         classed = named.withColumn("class_uid", F.col("node"))
     else:
-        classed = named.join(rooted, "node", "left").withColumn("class_uid", F.coalesce("root", "node"))
+        classed = named.join(components(links), "node", "left").withColumn("class_uid", F.coalesce("root", "node"))
     classed = materialize(classed.select("uid", "doc_id", "class_uid"), "classes")
     names = classed.groupBy("class_uid").agg(F.min("doc_id").alias("class_id"))
     return classed.join(names, "class_uid").select("uid", "doc_id", "class_uid", "class_id")
