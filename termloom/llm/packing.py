@@ -45,12 +45,10 @@ def _piece_batches(capacity: int, with_ids: bool):
                 while stop < len(raws) and (stop == at or size + len(raws[stop]) <= _BLOCK):
                     size += len(raws[stop])
                     stop += 1
-                split = [r.split() for r in raws[at:stop]]
-                encoder.learn([p for s in split for p in s])
                 rows: list[tuple] = []
                 ids: list[bytes] = []
-                for doc, parts in zip(docs[at:stop], split):
-                    whole = b"".join(encoder.ids(parts)) + end
+                for doc, found in zip(docs[at:stop], encoder.text_ids(raws[at:stop])):
+                    whole = found + end
                     for k, a in enumerate(range(0, len(whole), width)):
                         some = whole[a : a + width]
                         crc = zlib.crc32(some)

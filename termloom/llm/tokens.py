@@ -1,47 +1,121 @@
 """Exact token ids of whole texts through a cache of the pieces between white space.
 
 The tokenizer drops white space and never joins characters across it, so a text's ids
-are those of its pieces in order. Pieces repeat; each is encoded once per worker and the
-cache is emptied when it reaches CACHE entries, which bounds its memory.
+are those of its pieces in order. A piece of ASCII and common accented letters falls into
+words and signs as the tokenizer's own pattern says; other pieces go to the tokenizer whole.
+New words are encoded many at a time with spaces between them: the last token of a word, and
+only that, is marked as a word end in the vocabulary, which tells the words apart again.
+Pieces and words are encoded once per worker; a cache is emptied at CACHE entries, which
+bounds its memory.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE = 400_000
+CACHE = 400_000  # pieces, and twice as many words
+_WORD_END = "</w>"
+
+# Characters for which lower-casing and splitting here is what the tokenizer does.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PLAIN_TEXT = re.compile("[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+_SPLIT_TEXT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\t-\r 0-9{_LETTERS}]+")
+_SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
 
 
 class PieceEncoder:
-    """ids(text): little-endian unsigned 32-bit ids as bytes, for bytes of UTF-8."""
+    """ids(pieces): little-endian unsigned 32-bit ids as bytes, for pieces of UTF-8."""
 
     def __init__(self, path: str | None = None):
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(VOCABULARY))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in coded]
 
-    def learn(self, parts: list[bytes]) -> None:
-        """Encode the parts that the cache lacks."""
-        new = list(set(parts).difference(self.known))
-        if len(self.known) + len(new) > CACHE:
-            self.known = {}
-            new = list(set(parts))
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            coded = self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)
-            self.known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(some, coded))
+    def _learn_words(self, new: list[str]) -> None:
+        """Encode words and runs of signs; letters by the thousand, others one by one."""
+        letters = [w for w in new if w.isalpha()]
+        for at in range(0, len(letters), 1000):
+            some = letters[at : at + 1000]
+            ids = self._encode([" ".join(some)])[0]
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):  # not told apart by word ends
+                self.words.update((w, x.tobytes()) for w, x in zip(some, self._encode(some)))
+                continue
+            raw, cuts = ids.tobytes(), (4 * ends).tolist()
+            self.words.update((w, raw[a:b]) for w, a, b in zip(some, [0, *cuts[:-1]], cuts))
+        others = [w for w in new if not w.isalpha()]
+        self.words.update((w, x.tobytes()) for w, x in zip(others, self._encode(others)))
+
+    def learn(self, new: set[bytes]) -> None:
+        """Encode pieces that the cache lacks."""
+        plain: list[tuple[bytes, list[str]]] = []
+        whole: list[bytes] = []
+        for piece in new:
+            text = piece.decode()
+            if _PLAIN.fullmatch(text) and "<|" not in text:
+                plain.append((piece, _SPLIT.findall(text.lower())))
+            else:
+                whole.append(piece)
+        words = {w for _, found in plain for w in found}
+        if len(self.words) + len(words) > 2 * CACHE:
+            self.words = {}
+        self._learn_words(list(words.difference(self.words)))
+        known = self.words
+        self.known.update((piece, b"".join([known[w] for w in found])) for piece, found in plain)
+        for at in range(0, len(whole), 10_000):
+            some = whole[at : at + 10_000]
+            self.known.update((p, x.tobytes()) for p, x in zip(some, self._encode([p.decode() for p in some])))
 
     def ids(self, parts: list[bytes]) -> list[bytes]:
         """The ids of each part."""
-        try:
-            return [self.known[p] for p in parts]
-        except KeyError:
-            self.learn(parts)
-            return [self.known[p] for p in parts]
+        found = list(map(self.known.get, parts))
+        if None in found:
+            new = {p for p, x in zip(parts, found) if x is None}
+            if len(self.known) + len(new) > CACHE:
+                self.known, new = {}, set(parts)
+            self.learn(new)
+            found = list(map(self.known.__getitem__, parts))
+        return found
+
+    def text_ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of whole texts. Plain ones are split into words at once, others into pieces."""
+        split: list[list] = []
+        for raw in texts:
+            text = raw.decode()
+            plain = _PLAIN_TEXT.fullmatch(text) and "<|" not in text
+            split.append(_SPLIT_TEXT.findall(text.lower()) if plain else raw.split())
+        is_plain = [bool(s) and isinstance(s[0], str) for s in split]
+        flat = [w for s, p in zip(split, is_plain) if p for w in s]
+        words = list(map(self.words.get, flat))
+        if None in words:
+            new = {w for w, x in zip(flat, words) if x is None}
+            if len(self.words) + len(new) > 2 * CACHE:
+                self.words, new = {}, set(flat)
+            self._learn_words(list(new))
+            words = list(map(self.words.__getitem__, flat))
+        out, at = [], 0
+        for found, plain in zip(split, is_plain):
+            if plain:
+                out.append(b"".join(words[at : at + len(found)]))
+                at += len(found)
+            else:
+                out.append(b"".join(self.ids(found)))
+        return out
 
     def count(self, text: bytes) -> int:
         """Tokens of a short text, past the cache."""
