@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -27,11 +29,22 @@ def text_size(docs: DataFrame, text: str = "text") -> tuple[int, int]:
     return found["rows"], found["bytes"]
 
 
-def ready(spark: SparkSession) -> None:
-    """Let the workers of this session import the package where it is not installed."""
-    import os
+BATCH_ROWS = 1000  # rows that go to a Python worker at once, some megabytes of documents
+# Large arrays go back to the system when they are freed, instead of staying with an idle worker.
+_WORKER_MEMORY = {
+    "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(16 << 20),
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
 
+
+def ready(spark: SparkSession) -> None:
+    """Prepare the workers of this session: small batches, memory that is given back, and the
+    package on their path where it is not installed."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
+    environment.update(_WORKER_MEMORY)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
