@@ -269,10 +269,11 @@ def link_buckets(vectors: DataFrame) -> DataFrame | None:
     ``root`` labels what is known to be connected: each round, a vector takes the smallest label among
     those it is linked to. Vectors with one label need no comparison; labels that lag behind only cost some.
     """
-    members = vectors.select("uid", "shared", "total", F.explode("bands").alias("bucket"), F.col("uid").alias("root"))
-    state = members.withColumn("done", F.lit(False))
+    members = vectors.select("uid", "shared", "total", "bands", F.posexplode("bands").alias("band", "bucket"))
+    # Two vectors meet in the first bucket that they share: the one without a common bucket before it.
+    members = members.withColumn("before", F.slice("bands", F.lit(1), F.col("band"))).drop("bands", "band")
+    state = members.withColumn("root", F.col("uid")).withColumn("done", F.lit(False))
     found: list[DataFrame] = []
-    compared: list[DataFrame] = []
     leaders = 1
     while True:
         # A bucket is open while members with different labels have not led yet.
@@ -282,22 +283,20 @@ def link_buckets(vectors: DataFrame) -> DataFrame | None:
             return reduce(DataFrame.unionByName, found) if found else None
         slot = F.pmod(F.xxhash64("uid"), F.lit(leaders))
         led = state.filter("not done").groupBy("bucket", slot.alias("slot")).agg(
-            F.min(F.struct("uid", "root", "shared", "total")).alias("l")
+            F.min(F.struct("uid", "root", "shared", "total", "before")).alias("l")
         )
-        names = {"leader": "uid", "its": "root", "its_shared": "shared", "its_total": "total"}
+        names = {"leader": "uid", "its": "root", "its_shared": "shared", "its_total": "total", "its_before": "before"}
         led = materialize(led.select("bucket", *(F.col(f"l.{c}").alias(n) for n, c in names.items())), "leaders")
         # What both share with others bounds what they can share with each other.
         most = F.least("shared", "its_shared")
         able = most >= THRESHOLD * (F.col("total") + F.col("its_total") - most) - 1e-6
         # A member that has led its bucket has met all others there.
-        met = state.filter("not done").join(led, "bucket").filter(able & (F.col("root") != F.col("its")))
+        met = state.filter("not done").join(led, "bucket").filter(
+            able & (F.col("root") != F.col("its")) & ~F.arrays_overlap("before", "its_before")
+        )
         first = F.col("uid") < F.col("leader")
         sides = [F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("uid", "leader"), ("leader", "uid"), ("root", "its"), ("its", "root"))]
         pairs = met.select(*(c.alias(n) for c, n in zip(sides, ("a", "b", "ra", "rb")))).distinct()
-        if compared:  # in another bucket
-            pairs = pairs.join(reduce(DataFrame.unionByName, compared), ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        compared.append(pairs.select("a", "b"))
         links = materialize(_verified(pairs, vectors), "links")
         found.append(links.select("a", "b"))
         told = links.select(F.col("a").alias("uid"), F.col("rb").alias("new"))
@@ -306,7 +305,7 @@ def link_buckets(vectors: DataFrame) -> DataFrame | None:
         state = state.join(told, "uid", "left").withColumn("root", F.least("root", "new")).drop("new")
         now = led.select("bucket", F.col("leader").alias("uid"), F.lit(True).alias("led"))
         state = state.join(now, ["bucket", "uid"], "left")
-        state = state.select("uid", "shared", "total", "bucket", "root", (F.col("done") | F.coalesce("led", F.lit(False))).alias("done"))
+        state = state.select("uid", "shared", "total", "before", "bucket", "root", (F.col("done") | F.coalesce("led", F.lit(False))).alias("done"))
         leaders *= 4
 
 
