@@ -13,6 +13,9 @@ belongs to one anchor and equal strings meet in the group of their anchor's hash
    binary search over polynomial prefix hashes. Extensions of neighbours are then checked byte by
    byte; if hashes ever collide, the group is sorted anew with another base. The strings that reach
    ``o`` bytes back are equal where both extensions suffice, and all but the earliest start go.
+4. The anchor nearest to an end of a shared passage has another context in each document. Anchors
+   with more than MANY places are therefore not sorted as groups: their strings are dealt one by one,
+   by a cryptographic digest of 128 bits, and each chunk sends a string once, at its earliest place.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from termloom.llm.words import inverse_powers, mix, prefix_hashes, range_hashes,
 
 SPAN = 100
 GRAM = 32
+MANY = 4096  # places of an anchor beyond which its strings are dealt one by one
 _PLACE = np.uint64((1 << 20) - 1)
 _BLOCK = 1 << 18
 _FIRST = -(1 << 63)  # stands for a null id, before all others
@@ -102,12 +106,13 @@ def _questions(buckets: int):
             block, rows = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
             _, _, place, own = anchors(block, rows)
             distinct, inverse = np.unique(own, return_inverse=True)
-            twice = np.bincount(inverse, minlength=len(distinct)) > 1
+            times = np.bincount(inverse, minlength=len(distinct))
+            twice = times > 1
             # Four bytes of a hash and its bucket; a chance collision only sends a context too many.
             asks, number, begin = [], np.empty(len(distinct), np.uint32), {}
             at_most = 0
             for b, at in exchange.by_bucket(distinct, buckets):
-                asks.append((b, exchange.pack(b, distinct[at].astype(np.uint32), np.packbits(twice[at]))))
+                asks.append((b, exchange.pack(b, distinct[at].astype(np.uint32), np.packbits(twice[at]), times[at][twice[at]].astype(np.uint32))))
                 number[at], begin[b] = np.arange(at_most, at_most + len(at)), at_most
                 at_most += len(at)
             many = np.diff(np.searchsorted(place, rows)).astype(np.uint32)
@@ -120,29 +125,43 @@ def _questions(buckets: int):
     return chunk
 
 
-def _repeated(asked: list[tuple]) -> tuple[list[bytes | None], list[int]]:
-    """For each chunk, which of its distinct anchors occur more than once in the corpus."""
-    if not asked:
-        return [], []
-    distinct, inverse = np.unique(np.concatenate([a[1] for a in asked]), return_inverse=True)
-    again = (np.bincount(inverse, minlength=len(distinct)) > 1)[inverse]
-    out, at = [], 0
-    for bucket, hashes, twice in asked:
-        some = np.flatnonzero(again[at : at + len(hashes)] | np.unpackbits(twice, count=len(hashes)).astype(bool))
-        at += len(hashes)
-        out.append(exchange.pack(bucket, some.astype(np.uint32)) if len(some) else None)
-    return out, []
+def _repeated(many: int):
+    def decide(asked: list[tuple]) -> tuple[list[bytes | None], list[int]]:
+        """For each chunk, which of its distinct anchors occur more than once in the corpus, and which more than ``many`` times."""
+        if not asked:
+            return [], []
+        distinct, inverse = np.unique(np.concatenate([a[1] for a in asked]), return_inverse=True)
+        times = np.ones(len(inverse), np.int64)
+        at = 0
+        for _, hashes, twice, more in asked:
+            times[at + np.flatnonzero(np.unpackbits(twice, count=len(hashes)))] = more
+            at += len(hashes)
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, inverse, times)
+        total = total[inverse]
+        out, at = [], 0
+        for bucket, hashes, _, _ in asked:
+            own = total[at : at + len(hashes)]
+            some = np.flatnonzero(own > 1)
+            at += len(hashes)
+            out.append(exchange.pack(bucket, some.astype(np.uint32), np.packbits(own[some] > many)) if len(some) else None)
+        return out, []
+
+    return decide
 
 
 def _to_documents(notes: tuple, answers: list[tuple]) -> pa.Table:
     ids, hashes, many, steps, number, begin, at_most = notes
-    again = np.zeros(at_most, bool)
-    for bucket, some in answers:
+    again, often = np.zeros(at_most, bool), np.zeros(at_most, bool)
+    for bucket, some, heavy in answers:
         again[begin[bucket] + some.astype(np.int64)] = True
+        often[begin[bucket] + some.astype(np.int64)] = np.unpackbits(heavy, count=len(some)).astype(bool)
     doc = np.repeat(np.arange(len(ids)), many)
     total = np.concatenate([[0], np.cumsum(steps.astype(np.int64))])
     places = total[1:] - np.repeat(total[np.cumsum(many.astype(np.int64)) - many], many)
     kept = again[number] if len(number) else np.zeros(0, bool)
+    # The places of anchors with very many are told by their complements.
+    places = np.where(often[number], ~places, places) if len(number) else places
     doc, places = doc[kept], places[kept]
     own, cuts = np.unique(doc, return_index=True)
     cuts = np.append(cuts, len(doc))
@@ -152,11 +171,54 @@ def _to_documents(notes: tuple, answers: list[tuple]) -> pa.Table:
     )
 
 
+def _names(raw: bytes, span: int) -> bytes:
+    """Digests of 16 bytes of all strings of a context."""
+    name = hashlib.blake2b
+    return b"".join([name(raw[i : i + span], digest_size=16).digest() for i in range(len(raw) - span + 1)])
+
+
+def _earliest(names: np.ndarray, doc: np.ndarray, start: np.ndarray, text_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of strings with equal names, those at the earliest place (one for each text there), and those at later places."""
+    order = np.lexsort((text_hash, start, doc, names[:, 1], names[:, 0]))
+    names, doc, start, text_hash = names[order], doc[order], start[order], text_hash[order]
+    new = np.append(True, (names[1:] != names[:-1]).any(axis=1))[: len(order)]
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    later = (doc != doc[lead]) | (start != start[lead])
+    first = ~later & (new | np.append(True, text_hash[1:] != text_hash[:-1])[: len(order)])
+    return order[first], order[later]
+
+
+def _add_starts(out: dict[tuple[int, int], list], doc: np.ndarray, text_hash: np.ndarray, start: np.ndarray) -> None:
+    """Add single starts to ``out``, joined to runs."""
+    order = np.lexsort((start, text_hash, doc))
+    doc, text_hash, start = doc[order], text_hash[order], start[order]
+    new = np.append(True, (np.diff(doc) != 0) | (np.diff(text_hash) != 0) | (np.diff(start) > 1))[: len(order)]
+    head = np.flatnonzero(new)
+    last = np.append(head[1:], len(order))[: len(head)] - 1
+    for d, h, a, b in zip(doc[head].tolist(), text_hash[head].tolist(), start[head].tolist(), start[last].tolist()):
+        out.setdefault((d, h), []).append((a, b))
+
+
 def _context_batches(buckets: int, span: int):
-    def flush(pool: dict, removed: dict) -> pa.RecordBatch:
+    def split(pool: dict, removed: dict) -> list[tuple[int, int, int, bytes]]:
+        """Rows for the strings of contexts of anchors with very many places, each string once."""
+        if not pool:
+            return []
+        names = np.frombuffer(b"".join([_names(raw, span) for raw, _ in pool]), "<u8").reshape(-1, 2)
+        sizes = np.array([len(raw) - span + 1 for raw, _ in pool], np.int64)
+        heads = np.repeat(np.array([v[:3] for v in pool.values()], np.int64), sizes, axis=0)
+        doc, start, text_hash = heads.T
+        start = start + np.arange(len(start)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        first, later = _earliest(names, doc, start, text_hash)
+        _add_starts(removed, doc[later], text_hash[later], start[later])
+        names, doc, start, text_hash = names[first], doc[first], start[first].astype(np.int32), text_hash[first]
+        found = exchange.by_bucket(names[:, 0], buckets)
+        return [(b, 0, exchange.ASK, exchange.pack(names[at], doc[at], start[at], text_hash[at])) for b, at in found]
+
+    def flush(pool: dict, often: dict, removed: dict) -> pa.RecordBatch:
         keys = list(pool)
         own = np.array([pool[k][3] for k in keys], np.uint64)
-        rows = []
+        rows = split(often, removed)
         for b, at in exchange.by_bucket(own, buckets) if keys else ():
             some = [(pool[keys[i]], keys[i]) for i in at.tolist()]
             heads = np.array([[c[0], c[1], c[2], k[1]] for c, k in some], np.int64)
@@ -167,6 +229,7 @@ def _context_batches(buckets: int, span: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool: dict[tuple[bytes, int], tuple] = {}
+        often: dict[tuple[bytes, int], tuple] = {}
         removed: dict[tuple[int, int], list] = {}
         size = 0
         for batch in batches:
@@ -176,28 +239,33 @@ def _context_batches(buckets: int, span: int):
             for i, j in _chunks(offsets):
                 block, rows = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 first, last, place, own = anchors(block, rows)
-                wanted = np.concatenate([np.frombuffer(p, "<i4") + rows[k] for k, p in enumerate(lists[i:j])])
+                told = [np.frombuffer(p, "<i4").astype(np.int64) for p in lists[i:j]]
+                wanted = np.concatenate([np.where(p < 0, ~p, p) + rows[k] for k, p in enumerate(told)])
+                heavy = np.concatenate(told) < 0
+                by = np.argsort(wanted, kind="stable")
                 kept = np.isin(place, wanted)
                 first, last, place, own = first[kept], last[kept], place[kept], own[kept]
+                heavy = heavy[by][np.searchsorted(wanted[by], place)]
                 doc = np.searchsorted(rows, place, side="right") - 1
                 begin = first - rows[doc]
                 raw = block.tobytes()
-                for f, n, off, d, s, h in zip(first.tolist(), (last - first + 1).tolist(), (place - first).tolist(), doc.tolist(), begin.tolist(), own.tolist()):
+                for f, n, off, d, s, h, o in zip(first.tolist(), (last - first + 1).tolist(), (place - first).tolist(), doc.tolist(), begin.tolist(), own.tolist(), heavy.tolist()):
                     key = (raw[f : f + n + span - 1], off)
                     new = (ids[i + d], s, hashes[i + d], h)
-                    old = pool.setdefault(key, new)
+                    same = often if o else pool
+                    old = same.setdefault(key, new)
                     if old is not new:
                         if new[:2] < old[:2]:
-                            pool[key], new = new, old
-                            old = pool[key]
+                            same[key], new = new, old
+                            old = same[key]
                         if old[:2] < new[:2]:  # else the same place in a row that repeats
                             removed.setdefault((new[0], new[2]), []).append((new[1], new[1] + n - 1))
                     else:
-                        size += n + span
+                        size += n * span if o else n + span
                 if size > exchange.CHUNK_BYTES:
-                    yield flush(pool, removed)
-                    pool, removed, size = {}, {}, 0
-        yield flush(pool, removed)
+                    yield flush(pool, often, removed)
+                    pool, often, removed, size = {}, {}, {}, 0
+        yield flush(pool, often, removed)
 
     return run
 
@@ -329,12 +397,16 @@ def _removed_of(span: int):
     def run(table: pa.Table) -> pa.Table:
         out: dict[tuple[int, int], list] = {}
         pool: dict[tuple[bytes, int], tuple] = {}
+        strings: list[tuple] = []
         for kind, payload in zip(table["kind"].to_pylist(), table["payload"].to_pylist()):
             parts = pickle.loads(payload)
             if kind == exchange.NOTE:
                 for doc, runs in parts[0]:
                     out.setdefault(doc, []).extend(runs)
                 continue
+            if len(parts) == 4:
+                strings.append(parts)
+                continue
             hashes, heads, raws = parts
             for h, (doc, s, text_hash, off), raw in zip(hashes.tolist(), heads.tolist(), raws):
                 new = (doc, s, text_hash, h)
@@ -344,6 +416,10 @@ def _removed_of(span: int):
                         pool[raw, off], new, old = new, old, new
                     if old[:2] < new[:2]:
                         out.setdefault((new[0], new[2]), []).append((new[1], new[1] + len(raw) - span))
+        if strings:
+            names, doc, start, text_hash = (np.concatenate(c) for c in zip(*strings))
+            _, later = _earliest(names, doc, start, text_hash)
+            _add_starts(out, doc[later], text_hash[later], start[later])
         keys = list(pool)
         own = np.array([pool[k][3] for k in keys], np.uint64)
         by_hash = np.argsort(own, kind="stable")
@@ -421,7 +497,20 @@ def _kept_batches(span: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, row: list[str], span: int = SPAN) -> DataFrame:
+def _sent(keyed: DataFrame, buckets: int, span: int, many: int) -> DataFrame:
+    """What goes to the buckets: contexts, strings of anchors with more than ``many`` places, and starts that go already."""
+    asked = exchange.ask(keyed.select("id", "hash", "text"), _questions(buckets), buckets)
+    found = exchange.receive(
+        exchange.answer(asked, _repeated(many)), _to_documents, "id bigint, hash bigint, places binary"
+    )
+    # Rows that repeat have the same anchors; one of them brings its places for all.
+    found = found.groupBy("id", "hash").agg(F.max("places").alias("places"))
+    # Both joins move the same columns of the documents by the same key, so that they move once.
+    sent = keyed.join(found, ["id", "hash"]).select("id", "hash", "text", "row", "places")
+    return sent.mapInArrow(_context_batches(buckets, span), exchange.ROWS)
+
+
+def remove_repeats(docs: DataFrame, row: list[str], span: int = SPAN, many: int = MANY) -> DataFrame:
     """``row`` columns (as a struct; none of them the text), n_bytes, n_removed, n_spans, kept_sha256, kept_text of each document.
 
     Bytes are those of the whole UTF-8 text; a null text is empty and keeps nothing. A byte goes if a
@@ -440,15 +529,7 @@ def remove_repeats(docs: DataFrame, row: list[str], span: int = SPAN) -> DataFra
         text.alias("text"),
         F.struct(*row).alias("row"),
     )
-    asked = exchange.ask(keyed.select("id", "hash", "text"), _questions(buckets), buckets)
-    found = exchange.receive(
-        exchange.answer(asked, _repeated), _to_documents, "id bigint, hash bigint, places binary"
-    )
-    # Rows that repeat have the same anchors; one of them brings its places for all.
-    found = found.groupBy("id", "hash").agg(F.max("places").alias("places"))
-    # Both joins move the same columns of the documents by the same key, so that they move once.
-    sent = keyed.join(found, ["id", "hash"]).select("id", "hash", "text", "row", "places")
-    contexts = sent.mapInArrow(_context_batches(buckets, span), exchange.ROWS)
+    contexts = _sent(keyed, buckets, span, many)
     removed_in = _removed_of(span)
     starts = contexts.groupBy("bucket").applyInArrow(lambda t: removed_in(t), "id bigint, hash bigint, starts binary")
     starts = starts.groupBy("id", "hash").agg(F.collect_list("starts").alias("starts"))

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import regex
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from termloom.llm import decontaminate, lm, minhash, packing, quality, suffix, token_counts, toxicity
@@ -214,6 +215,38 @@ def test_suffix_dedup(documents, texts, empty, monkeypatch, chunk_bytes):
     assert suffix.repeated_bytes(empty).collect() == []
 
 
+@pytest.mark.parametrize("many", [0, 1, 3])
+def test_strings_of_frequent_anchors_are_dealt_one_by_one(documents, texts, many):
+    expected = repeats(texts)
+    rows = suffix.remove_repeats(documents, ["doc_id"], many=many)
+    rows = rows.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert Counter(map(tuple, rows)) == Counter(
+        (i, *expected[suffix._FIRST if i is None else i, raw(t)]) for i, t in texts
+    )
+
+
+def test_a_passage_of_a_third_of_all_documents_spreads(spark):
+    rnd = random.Random(6)
+    prose = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = prose(250)
+    texts = [(k, prose(150) + (passage if k % 3 == 0 else "") + prose(150)) for k in range(900)]
+    docs = spark.createDataFrame(texts, EMPTY)
+    keyed = docs.selectExpr("doc_id id", "xxhash64(text) hash", "text", "struct(doc_id) row")
+
+    def largest(many):
+        sent = suffix._sent(keyed, 64, 100, many)
+        return sorted(r.n for r in sent.groupBy("bucket").agg(F.sum(F.length("payload")).alias("n")).collect())
+
+    alone, spread = largest(1 << 30), largest(40)
+    assert alone[-1] > 20 * np.median(alone)  # all contexts of the anchors at the ends
+    assert spread[-1] < 4 * np.median(spread)
+    expected = repeats(texts)
+    rows = suffix.remove_repeats(docs, ["doc_id"], many=40).collect()
+    assert {(r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == {
+        (i, *expected[i, raw(t)]) for i, t in texts
+    }
+
+
 def test_long_texts_are_cut_without_loss(spark, monkeypatch):
     monkeypatch.setattr(suffix, "_BLOCK", 300)
     rnd = random.Random(1)
