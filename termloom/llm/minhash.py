@@ -340,19 +340,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents, with all their columns, of which one of each class stays: the smallest doc_id.
+    """The documents, with all their columns, of which one row of each class stays: the smallest doc_id.
 
-    Rows are told apart by doc_id and text, so rows that repeat in both stay or go together.
+    Of rows that repeat in doc_id and text one stays; where their other columns differ, the one that is
+    first by these as JSON. Null texts are empty ones here.
     """
     key = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")))
     keyed = docs.select(key.alias("doc_id"), "text")
-    found = near_duplicates(keyed).select(F.col("doc_id").alias("_row"), "class_uid")
+    # One row for each key and how often it occurs, combined in each task before the shuffle.
+    found = near_duplicates(keyed).groupBy(F.col("doc_id").alias("_row"))
+    found = found.agg(F.min("class_uid").alias("class_uid"), F.count("*").alias("_n"))
+    found = materialize(found, "keys")
     # Classes of one are left out before anything moves.
-    more = found.groupBy("class_uid").agg((F.count("*") > 1).alias("more")).filter("more").select("class_uid")
+    more = found.groupBy("class_uid").agg((F.sum("_n") > 1).alias("more")).filter("more").select("class_uid")
     found = materialize(found.join(more, "class_uid"), "in-classes")
     ids = docs.select(F.col("doc_id").cast("bigint").alias("_id"), key.alias("_row"))
+    ids = ids.groupBy("_row").agg(F.min("_id").alias("_id"))
     named = found.join(ids, "_row")
-    stays = named.groupBy("class_uid").agg(F.min(F.struct("_id", "_row")).alias("first"))
-    gone = found.join(stays.select(F.col("first._row").alias("_row")), "_row", "left_anti").select("_row").distinct()
+    stays = named.groupBy("class_uid").agg(F.min(F.struct("_id", "_row", "_n")).alias("first"))
+    stays = materialize(stays.select("first._row", "first._n"), "stays")
+    again = materialize(stays.filter("_n > 1").select("_row"), "again")
+    gone = found.join(stays, "_row", "left_anti").select("_row").unionByName(again)
     gone = broadcast_if_small(materialize(gone, "gone"))
-    return docs.withColumn("_row", key).join(gone, "_row", "left_anti").select(*docs.columns)
+    rows = docs.withColumn("_row", key)
+    once = rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    if again.isEmpty():
+        return once
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    by = F.to_json(F.struct(*others)) if others else F.lit("")
+    repeated = rows.join(broadcast_if_small(again), "_row", "left_semi")
+    repeated = repeated.groupBy("_row").agg(F.min_by(F.struct(*docs.columns), by).alias("_kept"))
+    return once.unionByName(repeated.select("_kept.*"))

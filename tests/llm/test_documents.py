@@ -330,6 +330,20 @@ def test_one_of_each_class_stays(spark):
     assert sorted(r.doc_id for r in kept) == [1, 2, 4]
 
 
+def test_one_of_rows_that_repeat_stays(spark):
+    near = [f"w{k}" for k in range(100)]
+    one, two = " ".join(near), " ".join(near[:99])
+    texts = [(3, one, "b"), (1, two, "c"), (1, two, "a"), (1, two, "a"), (3, one, "b"), (2, "quite another text", "x")]
+    texts += [(5, "on its own, often", "y")] * 300 + [(None, None, "z"), (None, "", "w"), (6, "alone", None)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string")
+    kept = minhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    rows = Counter((r.doc_id, r.text or "", r.lang) for r in kept.collect())
+    assert rows == Counter(
+        [(1, two, "a"), (2, "quite another text", "x"), (5, "on its own, often", "y"), (None, "", "w"), (6, "alone", None)]
+    )
+
+
 def test_groups_with_few_links_are_compared_to_the_end(spark):
     """A chain: neighbours are alike, the ends are not; and many texts that only share half."""
     words = [f"w{k}" for k in range(400)]
