@@ -1,8 +1,10 @@
 """Language-model scores: a causal self-attention model on subword ids, with corpus counts.
 
 The probability of a word is a mixture of three. One is the product of the probabilities of its subword
-ids under a small causal self-attention model, trained in numpy on a bounded sample of training documents
-(SAMPLE_DOCS). The model predicts a group of ids and a slot there; frequent ids have slots of their
+ids under a small causal self-attention model, trained in numpy on all training documents: it begins on a
+few (SAMPLE_DOCS), then ROUNDS parts of the corpus follow. In a round, each task goes on from the model so
+far with its share of the part, and the weights are averaged, those of an id by how often a task met it.
+Each training text is taken once and whole, long ones in windows of LEARNED_IDS. The model predicts a group of ids and a slot there; frequent ids have slots of their
 own, and the others their share of the training ids of their slot. The second is the word's share of all
 training words, the third its share of the text so far. Counts of words and ids cover the whole corpus.
 
@@ -22,6 +24,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from termloom.llm import exchange
@@ -36,7 +39,10 @@ IDS = 50_257
 END_ID = 50_256
 END = b"\n"  # stands for the end token among words; no word holds it
 BLOCK, WIDTH, GROUPS, SLOTS = 16, 16, 64, 32
-LEARNED_IDS = 8192  # of one text of the sample
+LEARNED_IDS = 8192  # of one window of a text
+ROUNDS, ROUND_RATE, STEP_IDS = 4, 0.004, 4096
+_SHARDS = 256  # tasks of a round at most
+_PARTS = 16  # parts in which sums over tasks are formed
 OWN, OWN_PLACES = 0.25, 100  # weight of the text's own words at most, and words until half of it
 _CACHE = 400_000
 _BATCH = 1 << 13  # positions computed at once
@@ -77,27 +83,43 @@ def text_words(raw: bytes) -> list[bytes]:
 # --- the model -------------------------------------------------------------------------------
 
 
-def id_groups(counts: np.ndarray, follow: tuple[np.ndarray, np.ndarray]) -> dict[str, np.ndarray]:
+def _places(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids by falling frequency, and the place of each among the most frequent (the same for all others)."""
+    own = GROUPS * (SLOTS - 1)
+    order = np.lexsort((np.arange(len(counts)), -counts))
+    place = np.full(len(counts), own)
+    place[order[:own]] = np.arange(own)
+    return order, place
+
+
+def _pairs(place: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """How often each place stands before each other."""
+    n = GROUPS * (SLOTS - 1) + 1
+    at = place[flat]
+    return np.bincount(at[:-1] * n + at[1:], minlength=n * n)
+
+
+def neighbours(pairs: np.ndarray) -> np.ndarray:
+    """For each place, what follows and what precedes it, projected at random, and how much that is."""
+    n = GROUPS * (SLOTS - 1) + 1
+    table = pairs.reshape(n, n).astype(np.float64)
+    signs = np.random.default_rng(3).standard_normal((n, 48))
+    many = table.sum(axis=0) + table.sum(axis=1)
+    return np.concatenate([table @ signs, table.T @ signs, many[:, None]], axis=1)
+
+
+def id_groups(counts: np.ndarray, sums: np.ndarray) -> dict[str, np.ndarray]:
     """Where the model finds each id: its group, its slot there, and the log of its share of the slot.
 
     The most frequent ids have a slot of their own. Groups of equal size bring together ids that stand
-    before and after the same ids: the set is halved again and again along its main axis. ``follow`` are
-    ids and the ids after them in the sample. All other ids share the last slots, dealt by falling
-    frequency into slots of about equal mass.
+    before and after the same ids: the set is halved again and again along its main axis. ``sums`` are the
+    ``neighbours`` in all training texts. All other ids share the last slots, dealt by falling frequency
+    into slots of about equal mass.
     """
     own = GROUPS * (SLOTS - 1)
-    order = np.lexsort((np.arange(len(counts)), -counts))
+    order, _ = _places(counts)
     head, tail = order[:own], order[own:]
-    place = np.full(len(counts), own)
-    place[head] = np.arange(own)
-    rng = np.random.default_rng(3)
-    signs = rng.standard_normal((own + 1, 48)).astype(np.float32)
-    a, b = place[follow[0]], place[follow[1]]
-    table = np.zeros((own + 1, 96), np.float32)
-    for column in range(48):  # what follows and what precedes, projected at random
-        table[:, column] = np.bincount(a, signs[b, column], own + 1)
-        table[:, 48 + column] = np.bincount(b, signs[a, column], own + 1)
-    table /= np.sqrt(1.0 + np.bincount(a, minlength=own + 1) + np.bincount(b, minlength=own + 1))[:, None]
+    table = (sums[:, :-1] / np.sqrt(1.0 + sums[:, -1:])).astype(np.float32)
     parts = [np.arange(own)]
     while len(parts) < GROUPS:
         halves = []
@@ -234,43 +256,73 @@ def _gradients(p: dict, x: np.ndarray, first: np.ndarray, group: np.ndarray, slo
     return g
 
 
-def train(docs: list[list[int]], counts: np.ndarray, epochs: int = 2, rate: float = 0.01) -> dict:
-    """The model of the sample's ids (each text with its end id), by Adam; ``counts`` are those of
-    all training ids."""
+class Learner:
+    """Weights that learn by Adam."""
+
+    def __init__(self, p: dict, where: dict):
+        self.p = {k: v.copy() for k, v in p.items()}
+        self.where = where
+        self.m = {k: np.zeros_like(v) for k, v in p.items()}
+        self.s = {k: np.zeros_like(v) for k, v in p.items()}
+        self.met = np.zeros(IDS)  # how often each id was an input
+        self.step = 0
+
+    def learn(self, docs: list, rate: float) -> None:
+        """One step on some texts of ids."""
+        x, first, target, places = inputs(docs)
+        real = np.zeros(len(x), bool)
+        real[places] = True
+        group, slot = self.where["group"][target], self.where["slot"][target]
+        g = _gradients(self.p, x, first, group, slot, real)
+        self.met += np.bincount(x[places], minlength=IDS)
+        self.step += 1
+        lr = rate * min(1.0, self.step / 30)
+        fix = (1 - 0.99**self.step) ** 0.5 / (1 - 0.9**self.step)
+        own, inverse = np.unique(x, return_inverse=True)
+        by = np.argsort(inverse, kind="stable")
+        rows = np.add.reduceat(g["e"][by], np.searchsorted(inverse[by], np.arange(len(own))))
+        p, m, s = self.p, self.m, self.s
+        for name, grad in g.items():
+            at = own if name == "e" else slice(None)
+            grad = rows if name == "e" else grad
+            m[name][at] = 0.9 * m[name][at] + 0.1 * grad
+            s[name][at] = 0.99 * s[name][at] + 0.01 * grad * grad
+            p[name][at] -= lr * fix * m[name][at] / (np.sqrt(s[name][at]) + 1e-8)
+
+
+def train(docs: list[list[int]], counts: np.ndarray, epochs: int = 2, rate: float = 0.01, where: dict | None = None) -> dict:
+    """A model of texts of ids (each with its end id; their first LEARNED_IDS); ``counts`` are those of
+    all training ids, ``where`` their groups (formed from these texts if not given)."""
     docs = [d[:LEARNED_IDS] for d in docs]
-    flat = np.array([i for d in docs for i in d] or [END_ID], np.int64)
-    where = id_groups(counts, (flat[:-1], flat[1:]))
-    p = _initial()
-    m = {k: np.zeros_like(v) for k, v in p.items()}
-    s = {k: np.zeros_like(v) for k, v in p.items()}
+    if where is None:
+        flat = np.array([i for d in docs for i in d] or [END_ID], np.int64)
+        where = id_groups(counts, neighbours(_pairs(_places(counts)[1], flat)))
+    learner = Learner(_initial(), where)
     rng = np.random.default_rng(5)
-    step = 0
-    total = epochs * max(1, sum(map(len, docs)) // 4096)
+    total = epochs * max(1, sum(map(len, docs)) // STEP_IDS)
     for _ in range(epochs):
         group: list[list[int]] = []
         for k in [*rng.permutation(len(docs)).tolist(), None]:
             if k is not None:
                 group.append(docs[k])
-            if not group or (k is not None and sum(map(len, group)) < 4096):
+            if not group or (k is not None and sum(map(len, group)) < STEP_IDS):
                 continue
-            x, first, target, places = inputs(group)
+            learner.learn(group, rate * max(0.05, 1 - (learner.step + 1) / (total + 1)))
             group = []
-            real = np.zeros(len(x), bool)
-            real[places] = True
-            g = _gradients(p, x, first, where["group"][target], where["slot"][target], real)
-            step += 1
-            lr = rate * min(1.0, step / 30) * max(0.05, 1 - step / (total + 1))
-            fix = (1 - 0.99**step) ** 0.5 / (1 - 0.9**step)
-            own, inverse = np.unique(x, return_inverse=True)
-            by = np.argsort(inverse, kind="stable")
-            rows = np.add.reduceat(g["e"][by], np.searchsorted(inverse[by], np.arange(len(own))))
-            for name, grad in g.items():
-                at = own if name == "e" else slice(None)
-                grad = rows if name == "e" else grad
-                m[name][at] = 0.9 * m[name][at] + 0.1 * grad
-                s[name][at] = 0.99 * s[name][at] + 0.01 * grad * grad
-                p[name][at] -= lr * fix * m[name][at] / (np.sqrt(s[name][at]) + 1e-8)
-    return {"p": p, **where}
+    return {"p": learner.p, **where}
+
+
+def _rows(p: dict) -> np.ndarray:
+    """All weights in rows of WIDTH, those of the ids first."""
+    return np.concatenate([p[k].reshape(-1, WIDTH) for k in p])
+
+
+def _from_rows(rows: np.ndarray, like: dict) -> dict:
+    out, at = {}, 0
+    for k, v in like.items():
+        n = v.size // WIDTH
+        out[k], at = rows[at : at + n].reshape(v.shape).astype(np.float32), at + n
+    return out
 
 
 def inputs(docs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -394,10 +446,125 @@ def _id_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch({"id": pa.array(some, pa.int64()), "n": pa.array(total[some].astype(np.int64))})
 
 
+def _ids_of(notes: tuple) -> tuple[list, list, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a chunk: doc ids, held, words in each text, all words as numbers, ids in each of them, ids in each text, all ids in order."""
+    ids, held, lengths, flat, piece_sizes, piece_ids = pickle.loads(pa.decompress(notes[0], notes[1], "zstd"))
+    sizes = piece_sizes.astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    many = sizes[flat]
+    at = np.repeat(starts[flat] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+    begins = np.cumsum(lengths) - lengths
+    in_text = np.add.reduceat(many, begins) if len(begins) else many[:0]
+    return ids, held, lengths, flat, many, in_text, piece_ids[at].astype(np.int64)
+
+
+def _training_windows(payload: bytes) -> list[np.ndarray]:
+    """The ids of a chunk's training texts, long ones cut into windows."""
+    _, held, _, _, _, in_text, flat = _ids_of(pickle.loads(payload))
+    ends = np.cumsum(in_text)
+    out = []
+    for h, a, b in zip(held, (ends - in_text).tolist(), ends.tolist()):
+        if not h:
+            out += [flat[k : min(k + LEARNED_IDS, b)] for k in range(a, b, LEARNED_IDS)]
+    return out
+
+
+def _sum_rows(index: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    """A task's share in a sum of rows, in parts."""
+    task = TaskContext.get().partitionId()
+    parts = [index % _PARTS == k for k in range(_PARTS)]
+    payloads = [exchange.pack(index[some] // _PARTS, values[some]) for some in parts]
+    return pa.record_batch(
+        {"part": pa.array(range(_PARTS), pa.int32()), "task": pa.array([task] * _PARTS, pa.int64()), "payload": pa.array(payloads, pa.binary())}
+    )
+
+
+def _summed(found: DataFrame, n: int, width: int) -> np.ndarray:
+    """The sum over all tasks (n rows), always in the same order; n is fixed by the parameters above."""
+
+    def add(table: pa.Table) -> pa.Table:
+        shares = sorted(zip(table["task"].to_pylist(), table["payload"].to_pylist()))
+        total = np.zeros((-(-n // _PARTS), width))
+        for _, payload in shares:
+            index, values = pickle.loads(payload)
+            total[index] += values
+        return pa.table({"part": table["part"].slice(0, 1), "payload": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros((n, width))
+    for r in found.groupBy("part").applyInArrow(lambda t: add(t), "part int, payload binary").collect():
+        total = np.frombuffer(r["payload"]).reshape(-1, width)
+        out[r["part"] :: _PARTS] = total[: len(range(r["part"], n, _PARTS))]
+    return out
+
+
+_SUMS = "part int, task bigint, payload binary"
+
+
+def _neighbour_batches(place: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for payload in batch.column(0).to_pylist():
+                windows = _training_windows(payload)
+                if windows:
+                    pairs = _pairs(place, np.concatenate(windows))
+                    total = pairs if total is None else np.add(total, pairs, out=total)
+        if total is not None:
+            sums = neighbours(total)
+            yield _sum_rows(np.arange(len(sums)), sums)
+
+    return run
+
+
+def _round_batches(model, rate: float):
+    """Goes on from the model with the texts of a task; tells, for each row of weights that it met, how
+    often, and the change times that."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = model.value["p"]
+        learner = Learner(p, model.value)
+        group, size = [], 0
+        rng = np.random.default_rng(7)
+        for batch in batches:
+            for payload in batch.column(0).to_pylist():
+                windows = _training_windows(payload)
+                for k in rng.permutation(len(windows)).tolist():
+                    group.append(windows[k])
+                    size += len(windows[k])
+                    if size >= STEP_IDS:
+                        learner.learn(group, rate)
+                        group, size = [], 0
+        if group:
+            learner.learn(group, rate)
+        if learner.step:
+            change = _rows(learner.p).astype(np.float64) - _rows(p)
+            met = np.full(len(change), learner.met.sum())
+            met[:IDS] = learner.met
+            some = np.flatnonzero(met)
+            yield _sum_rows(some, np.concatenate([change * met[:, None], met[:, None]], axis=1)[some])
+
+    return run
+
+
+def learn_corpus(notes: DataFrame, model: dict) -> dict:
+    """The model after all training texts, in ROUNDS parts of the chunks."""
+    spark = notes.sparkSession
+    for k in range(ROUNDS):
+        part = notes.filter(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == k).select("payload").coalesce(_SHARDS)
+        sent = spark.sparkContext.broadcast(model)
+        rows = _rows(model["p"])
+        found = part.mapInArrow(_round_batches(sent, ROUND_RATE / 2**k), _SUMS)
+        sums = _summed(found, len(rows), WIDTH + 1)
+        rows = rows + sums[:, :-1] / np.maximum(sums[:, -1:], 1)
+        model = model | {"p": _from_rows(rows, model["p"])}
+        sent.unpersist()
+    return model
+
+
 def _scores(model: dict, n: int, v: int, once: int):
     def finish(notes: tuple, answers: list[tuple]) -> pa.Table:
-        ids, held, lengths, flat, piece_sizes, piece_ids = pickle.loads(pa.decompress(notes[0], notes[1], "zstd"))
-        counts = np.zeros(len(piece_sizes), np.int64)
+        ids, held, lengths, flat, many, in_text, pieces = _ids_of(notes)
+        counts = np.zeros(int(flat.max(initial=0)) + 1, np.int64)
         for own, some in answers:
             counts[own] = some
         ends = np.cumsum(lengths)
@@ -405,12 +572,7 @@ def _scores(model: dict, n: int, v: int, once: int):
         sums = lambda x: np.add.reduceat(x, begins) if len(begins) else x[:0]
         c = counts[flat]
         base = sums(np.log10((counts + 0.1) / (n + 0.1 * (v + 1)))[flat])
-        # The ids of all words in order.
-        sizes = piece_sizes.astype(np.int64)
-        starts = np.cumsum(sizes) - sizes
-        many = sizes[flat]
-        at = np.repeat(starts[flat] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-        got = id_log_probs(model, piece_ids[at].astype(np.int64), sums(many))
+        got = id_log_probs(model, pieces, in_text)
         by_word = np.add.reduceat(got.astype(np.float64), np.cumsum(many) - many) if len(many) else got
         score = sums(mixture(by_word, c, n, once, *seen_before(flat, lengths)) / np.log(10))
         return pa.table(
@@ -428,12 +590,12 @@ def _scores(model: dict, n: int, v: int, once: int):
     return finish
 
 
-def _fit(counts: np.ndarray):
+def _fit(counts: np.ndarray, where: dict):
     def run(table: pa.Table) -> pa.Table:
         coder = WordIds()
         texts = sorted(texts_of(table["text"]))
         docs = [[i for ids in coder(text_words(raw)) for i in ids] for raw in texts]
-        return pa.table({"model": pa.array([pickle.dumps(train(docs, counts))], pa.binary())})
+        return pa.table({"model": pa.array([pickle.dumps(train(docs, counts, where=where))], pa.binary())})
 
     return run
 
@@ -454,17 +616,20 @@ def score_texts(docs: DataFrame) -> DataFrame:
     asked = exchange.ask(rows, _questions(buckets), buckets)
     answered = materialize(exchange.answer(asked, _count_words), "word-counts")
     totals = exchange.totals_of(answered)
-    notes = answered.filter(F.col("kind") == exchange.NOTE).select("payload")
-    found = notes.mapInArrow(_id_batches, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    notes = answered.filter(F.col("kind") == exchange.NOTE).select("chunk", "payload")
+    found = notes.select("payload").mapInArrow(_id_batches, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     id_counts = np.zeros(IDS)
     for r in found.collect():  # at most IDS rows
         id_counts[r["id"]] = r["n"]
     drawn = docs.select("doc_id").filter(crc_fold("doc_id", FOLDS) != 0).distinct()
     drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", F.lit(1).alias("all"))
-    run = _fit(id_counts)
+    told = notes.select("payload").coalesce(_SHARDS).mapInArrow(_neighbour_batches(_places(id_counts)[1]), _SUMS)
+    where = id_groups(id_counts, _summed(told, GROUPS * (SLOTS - 1) + 1, 97))
+    run = _fit(id_counts, where)
     trained = sample.groupBy("all").applyInArrow(lambda t: run(t), "model binary").first()
-    learned = pickle.loads(trained["model"]) if trained else train([], id_counts)
+    learned = pickle.loads(trained["model"]) if trained else train([], id_counts, where=where)
+    learned = learn_corpus(notes, learned)
     model = spark.sparkContext.broadcast(learned)  # its size is fixed by the parameters above
 
     def finish(own: tuple, answers: list[tuple]) -> pa.Table:

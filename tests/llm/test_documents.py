@@ -386,6 +386,34 @@ def test_language_model(documents, texts, empty, monkeypatch):
     assert lm.score_texts(empty).collect() == []
 
 
+def test_language_model_learns_from_all_texts_to_their_ends(spark):
+    """Of all texts but those of the first sample, and of places after LEARNED_IDS of a long text."""
+    from termloom.llm import exchange
+    from termloom.llm.tables import held_out
+
+    known = np.random.default_rng(1).permutation([w for w in "one two three four five six seven eight".split()] * 2000)
+    docs = spark.createDataFrame([(k, "red green blue") for k in range(1, 1500)] + [(5000, " ".join(known) + " violet")], EMPTY)
+    rows = docs.select("doc_id", held_out("doc_id", lm.FOLDS).alias("held"), "text")
+    notes = exchange.ask(rows, lm._questions(4), 4).filter(F.col("kind") == exchange.NOTE).select("chunk", "payload")
+    windows = [w for r in notes.collect() for w in lm._training_windows(r.payload)]
+    held = sum(zlib.crc32(str(k).encode()) % 10 == 0 for k in [*range(1, 1500), 5000])
+    coder = lm.WordIds()
+    ids = [sum(coder(lm.text_words(raw(t))), []) for i, t in docs.collect() if zlib.crc32(str(i).encode()) % 10]
+    assert max(map(len, ids)) > lm.LEARNED_IDS and len(ids) == 1500 - held
+    assert Counter(i for w in windows for i in w.tolist()) == Counter(i for x in ids for i in x)
+    assert max(map(len, windows)) <= lm.LEARNED_IDS
+    counts = np.bincount([i for x in ids for i in x], minlength=lm.IDS)
+    model = lm.train([], counts)
+    learned = lm.learn_corpus(notes, model)
+    moved = np.flatnonzero((learned["p"]["e"] != model["p"]["e"]).any(axis=1))
+    assert set(moved) == set(np.flatnonzero(counts))  # every id of the corpus, and no other
+    flat = np.array(ids[0])
+    score = lambda m: lm.id_log_probs(m, flat, np.array([len(flat)])).sum()
+    assert score(learned) > score(model)
+    again = lm.learn_corpus(notes, model)
+    assert all(np.array_equal(learned["p"][k], again["p"][k]) for k in model["p"])
+
+
 def test_language_model_is_causal_and_sums_to_one():
     counts = np.ones(lm.IDS)
     model = lm.train([[5, 6, 7, 5, 6, 7, lm.END_ID]] * 20, counts, epochs=2)
