@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from termloom.llm import decontaminate, lm, minhash, oracle, packing, quality, suffix, token_counts, topk, toxicity, urls
+from termloom.llm import decontaminate, lm, minhash, mixture, negatives, oracle, packing, quality, suffix
+from termloom.llm import token_counts, topk, toxicity, urls, whitening
 from termloom.llm.tables import read, ready
 
 TOKEN_LIMIT = 2048
@@ -65,6 +66,20 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return negatives.hard_negatives(read(spark, sf_dir, "embeddings"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.taken(read(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_counts": op2_token_counts,
@@ -76,9 +91,17 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_top_k": op10_top_k,
+    "op11_whitening": op11_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_source_mix": op13_source_mix,
     "pipeline": corpus_pipeline.run,
 }
 
-LLM_ORACLE: dict[str, str] = {"op4_decontamination": oracle.OP4, "op10_top_k": oracle.OP10}
+LLM_ORACLE: dict[str, str] = {
+    "op4_decontamination": oracle.OP4,
+    "op10_top_k": oracle.OP10,
+    "op12_hard_negatives": oracle.OP12,
+    "op13_source_mix": oracle.OP13,
+}
 if corpus_pipeline.ORACLE_SQL is not None:
     LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
