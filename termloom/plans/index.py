@@ -19,8 +19,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from termloom.operators import best_terms as best
+from termloom.operators import clusters
 from termloom.operators import fields as stats
 from termloom.operators import similar_terms as similar
+from termloom.operators import term_documents as shared
 from termloom.operators import term_vectors as terms
 from termloom.operators.documents import last_per_key, number_documents, without_keys
 from termloom.session import materialize
@@ -218,3 +220,14 @@ class TextIndex:
 
     def similar_terms_batch(self, queries: DataFrame, top: int, field: str = terms.CONTENTS) -> DataFrame:
         return similar.similar_terms_batch(self.vocabulary(field), queries, top)
+
+    def term_doc_vectors(self, rep: str = "tfxidf", idf_mode: str = "default") -> DataFrame:
+        return shared.term_doc_vectors(self.table, self.doc_freq([terms.CONTENTS]), rep, idf_mode)
+
+    def similar_by_documents(
+        self, queries: DataFrame, top: int, rep: str = "tfxidf", idf_mode: str = "default"
+    ) -> DataFrame:
+        return shared.similar_by_documents(self.table, self.doc_freq([terms.CONTENTS]), queries, top, rep, idf_mode)
+
+    def term_kmeans(self, k: int, rep: str = "tfxidf", idf_mode: str = "default", **choices) -> DataFrame:
+        return clusters.term_kmeans(self.term_doc_vectors(rep, idf_mode), k, **choices)

@@ -153,6 +153,24 @@ SELECT doc_id, rank, term, tf, df, idf, tfxidf FROM (
 WHERE rank <= 5"""
 
 
+_WEIGHT = {"bin": "CAST(1 AS DOUBLE)", "tf": "tf", "tfxidf": "tfxidf"}
+
+
+def _by_documents(rep: str) -> str:
+    return f"""
+WITH {_TV},
+asked AS (SELECT term FROM dfs ORDER BY df DESC, term LIMIT 300),
+w AS (SELECT term, doc_id, {_WEIGHT[rep]} AS weight FROM weights),
+norms AS (SELECT term, sqrt(sum(weight * weight)) AS norm FROM w GROUP BY term),
+dots AS (SELECT a.term AS q, b.term, sum(a.weight * b.weight) AS dot
+         FROM w a JOIN asked USING (term) JOIN w b ON a.doc_id = b.doc_id GROUP BY a.term, b.term),
+sims AS (SELECT q, d.term, CASE WHEN n.norm * m.norm = 0 THEN 0 ELSE round(dot / (n.norm * m.norm), 9) END AS sim
+         FROM dots d JOIN norms n ON n.term = d.term JOIN norms m ON m.term = d.q)
+SELECT q, rank, term, sim FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY sim DESC, term) AS rank FROM sims)
+WHERE rank <= 20"""
+
+
 ORACLE: dict[str, str] = {
     "corpus_scan": f"""
 SELECT {_PATH} AS path, {_WHOLE} AS contents,
@@ -234,4 +252,11 @@ WITH {_EVENTS}
 SELECT q, rank, term, sim FROM (
   SELECT *, row_number() OVER (PARTITION BY q ORDER BY sim DESC, term) AS rank FROM sims)
 WHERE rank <= 20""",
+    **{
+        f"term_doc_vectors_{rep}": f"WITH {_TV} SELECT term, doc_id, {weight} AS weight FROM weights"
+        for rep, weight in _WEIGHT.items()
+    },
+    "similar_by_documents": _by_documents("tfxidf"),
+    "similar_by_documents_bin": _by_documents("bin"),
+    "similar_by_documents_tf": _by_documents("tf"),
 }

@@ -23,6 +23,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 EXTENSIONS = (".txt", ".c")
 TOP_LINES, BOTTOM_LINES = 3, 2
 TOP_OF_DOCUMENT, TOP_OF_EACH, TOP_SIMILAR = 25, 5, 20
+QUERY_TERMS = 300  # the terms of most documents, as query words
+CLUSTERS = 20
 QUERY_WORD = "weather"
 KEYWORDS = ("path", "lang", "source")
 FIELDS = ("path", terms.CONTENTS, "lang", "source")
@@ -270,6 +272,28 @@ def similar_terms_batch(spark, sf_dir):
     return similar.similar_terms_batch(vocabulary(spark, sf_dir), words, TOP_SIMILAR)
 
 
+def _term_doc_vectors(rep: str) -> Query:
+    return lambda spark, sf_dir: stored_index(spark, sf_dir).term_doc_vectors(rep)
+
+
+def frequent_terms(index: TextIndex) -> DataFrame:
+    """Query words (q): the terms that most documents hold."""
+    freqs = index.doc_freq([terms.CONTENTS])
+    return freqs.orderBy(F.desc("df"), "term").limit(QUERY_TERMS).select(F.col("term").alias("q"))
+
+
+def _similar_by_documents(rep: str) -> Query:
+    def query(spark, sf_dir):
+        index = stored_index(spark, sf_dir)
+        return index.similar_by_documents(frequent_terms(index), TOP_SIMILAR, rep)
+
+    return query
+
+
+def term_kmeans(spark, sf_dir):
+    return stored_index(spark, sf_dir).term_kmeans(CLUSTERS)
+
+
 QUERIES: dict[str, Query] = {
     "corpus_scan": corpus_scan,
     "file_extension": file_extension,
@@ -309,4 +333,11 @@ QUERIES: dict[str, Query] = {
     "similar_terms": similar_terms,
     "term_clusters_as_is": term_clusters_as_is,
     "similar_terms_batch": similar_terms_batch,
+    "term_doc_vectors_bin": _term_doc_vectors("bin"),
+    "term_doc_vectors_tf": _term_doc_vectors("tf"),
+    "term_doc_vectors_tfxidf": _term_doc_vectors("tfxidf"),
+    "similar_by_documents": _similar_by_documents("tfxidf"),
+    "similar_by_documents_bin": _similar_by_documents("bin"),
+    "similar_by_documents_tf": _similar_by_documents("tf"),
+    "term_kmeans": term_kmeans,
 }

@@ -13,11 +13,14 @@ def table(columns, rows):
     return [columns[i] for i in order], sorted((tuple(r[i] for i in order) for r in rows), key=repr)
 
 
+WITHOUT_SQL = {"term_kmeans"}  # rounds until nothing changes; tested in test_term_documents.py
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - WITHOUT_SQL == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(ORACLE))
 def test_query_equals_sql(spark, duck, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     found = table(df.columns, [tuple(r) for r in df.collect()])
