@@ -190,6 +190,9 @@ FROM (SELECT doc_id, {_lines('text')} AS l FROM documents)""",
     "top_bottom_lines": f"""
 SELECT doc_id, {_joined('list_concat(l[1:3], list_reverse(l[4:])[1:2])')} AS contents
 FROM (SELECT doc_id, {_lines('text')} AS l FROM documents)""",
+    "scan_lines": f"""
+SELECT {_PATH} AS path, {_joined('list_concat(l[1:3], list_reverse(l[4:])[1:2])')} AS contents
+FROM (SELECT doc_id, lang, source, {_lines('text')} AS l FROM documents)""",
     "file_size": """
 SELECT doc_id, CAST(strlen(text) AS DOUBLE) AS "sizeKb" FROM documents""",
     "minute_stamp": "SELECT event_id, strftime(ts, '%Y%m%d%H%M') AS stamp FROM events",

@@ -16,6 +16,7 @@ from termloom.operators import term_vectors as terms
 from termloom.plans.index import APPEND, CREATE, TextIndex
 from termloom.session import new_folder
 from termloom.sources.tables import read_table, table_corpus
+from termloom.sources.walk import has_entries, scan_all, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,8 +113,36 @@ def _plain_corpus(spark: SparkSession, sf_dir: str, **choices) -> DataFrame:
     return table_corpus(rows, document_path(), keep=("lang", "source"), **choices)
 
 
+# Folders of documents as files, as for the indexes above.
+_folders: dict[tuple[str, str], str] = {}
+
+
+def written_corpus(spark: SparkSession, sf_dir: str) -> str:
+    """A folder in the shared place with a file for each document, at its path; written when first asked for."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key in _folders and has_entries(_folders[key]):
+        return _folders[key]
+    rows = read_table(spark, _file(sf_dir, "documents"), ("doc_id", "text", "lang", "source"), "doc_id")
+    folder = new_folder(spark, "files")
+    write_files(rows.select(document_path().alias("path"), "text"), folder)
+    _folders[key] = folder
+    return folder
+
+
+def _scanned(spark: SparkSession, sf_dir: str, **choices) -> DataFrame:
+    folder = written_corpus(spark, sf_dir)
+    rows = scan_all(spark, [f"{folder}/corpus"], **choices)
+    return rows.withColumn("path", F.concat(F.lit("/corpus/"), F.substring_index("path", "/corpus/", -1)))
+
+
 def corpus_scan(spark, sf_dir):
-    return _plain_corpus(spark, sf_dir).select("path", "contents", "sizeKb")
+    """The documents as files, listed and read by tasks."""
+    return _scanned(spark, sf_dir).select("path", "contents", "sizeKb")
+
+
+def scan_lines(spark, sf_dir):
+    """The first and last lines of the documents as files, of which only these lines are read."""
+    return _scanned(spark, sf_dir, top=TOP_LINES, bottom=BOTTOM_LINES).select("path", "contents")
 
 
 def file_extension(spark, sf_dir):
@@ -296,6 +325,7 @@ def term_kmeans(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "corpus_scan": corpus_scan,
+    "scan_lines": scan_lines,
     "file_extension": file_extension,
     "extension_filter": extension_filter,
     "whole_content": _content(),
