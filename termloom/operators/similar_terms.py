@@ -16,10 +16,16 @@ from termloom.functions.chars import (
     word_bag,
 )
 from termloom.session import materialize
-from termloom.sizes import fits_broadcast
+from termloom.sizes import fits_broadcast, spread
 
-# Query words sent to the executors at a time; each brings one row per character.
+# Query words that are broadcast at most; each brings one row per character. More of them are dealt with the
+# words by character and salt.
 QUERY_ROWS = 10_000
+SALTS = 64
+
+# Similarities that the rounds look down to; what no round settles is scored against all words it shares a
+# character with.
+FLOORS = (0.85, 0.6, 0.3)
 
 # A rank limit up to this size is applied in each task before the shuffle (the
 # default of spark.sql.optimizer.windowGroupLimitThreshold). For longer lists the
@@ -75,13 +81,13 @@ def term_clusters(
 
 
 def _queries(words: DataFrame, queries: DataFrame) -> DataFrame:
-    """(q, q_norm, counts, chars) per query word.
+    """(q, q_norm, counts, chars) per query word; ``words`` come with their bags.
 
     ``counts`` maps its characters to their counts. ``chars`` lists them as (cost, ch,
     weight, n): n words hold the character, weight is its part of the squared norm, and
     the cheapest characters per weight come first.
     """
-    holders = char_vectors(words).select("ch")
+    holders = words.select(F.explode_outer(F.array_distinct("bag")).alias("ch")).filter("ch IS NOT NULL")
     chars = char_vectors(queries, "q")
     known = F.broadcast(chars.select("ch").distinct())
     held = holders.join(known, "ch", "left_semi").groupBy("ch").agg(F.count("*").alias("n"))
@@ -110,18 +116,37 @@ def _up_to(holds) -> Column:
     )
 
 
-def _scored(words: DataFrame, probes: DataFrame) -> DataFrame:
-    """(q, term, sim) of the pairs whose word holds one of the ``probe`` characters of q.
+def _mask(bag: Column) -> Column:
+    """The characters of a bag as 64 bits; two characters may share one."""
+    bit = lambda u: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(u), F.lit(64)).cast("int"))
+    return F.aggregate(F.array_distinct(bag), F.lit(0).cast("bigint"), lambda m, u: m.bitwiseOR(bit(u)))
+
+
+def _known_words(words: DataFrame) -> DataFrame:
+    """(term, bag, square, norm, mask) of every word."""
+    bags = _bags(words).withColumn("square", squared_norm(F.col("bag")))
+    return bags.withColumns({"norm": F.sqrt(F.col("square").cast("double")), "mask": _mask(F.col("bag"))})
+
 
-    The query side comes by broadcast. A pair is taken where its word holds the first of
-    the probes it has, so it appears once, and is scored in that row. Scores below the
-    ``floor`` of q, if it has one, cannot enter its list and go no further.
+def _scored(known: DataFrame, probes: DataFrame, small: bool) -> DataFrame:
+    """(q, term, sim) of the pairs with a score of ``floor`` or more whose word holds one of the ``probe`` characters of q.
+
+    A pair is taken where its word holds the first of the probes it has, so it appears once. Of a word with score f
+    against q, the characters of q that it lacks weigh (1 - f * f) |q|**2 at most, and its own that q lacks
+    (1 - f * f) of its own square. Each weighs 1 or more, so counts of bits tell most pairs from the join at once.
     """
-    left = _bags(words).withColumn("norm", _norm())
-    left = left.select("term", "norm", "bag", F.explode_outer(F.array_distinct("bag")).alias("ch"))
-    right = probes.select(
-        "q", "q_norm", "counts", "floor", "probe", F.explode_outer("probe").alias("ch")
-    )
+    left = known.withColumn("ch", F.explode_outer(F.array_distinct("bag")))
+    right = probes.select("q", "q_norm", "q_square", "q_mask", "counts", "floor", F.col("probe.ch").alias("probe"))
+    right = right.withColumn("spare", (1 - F.col("floor") * F.col("floor")) * F.lit(1 + 1e-9))
+    right = right.withColumn("ch", F.explode_outer("probe"))
+    if small:
+        met = left.join(F.broadcast(right), "ch")
+    else:
+        right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        left = left.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(SALTS)).cast("int"))
+        met = left.join(right, ["ch", "salt"])
+    lacks = lambda a, b: F.bit_count(F.col(a).bitwiseAND(F.bitwise_not(F.col(b))))
+    near = (lacks("q_mask", "mask") <= F.col("spare") * F.col("q_square")) & (lacks("mask", "q_mask") <= F.col("spare") * F.col("square"))
     dot = F.aggregate(
         "bag",
         F.lit(0).cast("bigint"),
@@ -129,9 +154,9 @@ def _scored(words: DataFrame, probes: DataFrame) -> DataFrame:
     )
     sim = cosine(dot, F.col("q_norm"), F.col("norm"))
     return (
-        left.join(F.broadcast(right), "ch")
+        met.filter(near)
         .filter(F.get(F.array_intersect("probe", "bag"), F.lit(0)) == F.col("ch"))
-        .filter(F.col("floor").isNull() | (sim >= F.col("floor")))
+        .filter(sim >= F.col("floor"))
         .select("q", "term", sim.alias("sim"))
     )
 
@@ -165,53 +190,16 @@ def _first_ranks(scored: DataFrame, top: int) -> DataFrame:
     )
 
 
-def _ranked_part(words: DataFrame, queries: DataFrame, top: int) -> DataFrame:
-    """The lists of one part of the queries, in two rounds.
-
-    A word without any of the characters S of q scores at most |q without S| / |q|.
-    The first round looks at the words that hold one of the cheapest characters, enough
-    of them for a full list. The last score of that list is a floor: the list is final
-    if words without those characters cannot reach it. For the other queries a second
-    round takes as many characters as the floor asks for, up to all.
-    """
-    known = materialize(_queries(words, queries), "queries")
-    enough = lambda before: ~F.exists(before, lambda x: x["n"] >= top)
-    seeds = known.withColumn("start", _up_to(enough))
-    probes = seeds.withColumn("probe", F.col("start.ch")).withColumn("floor", F.lit(None).cast("double"))
-    first = materialize(_first_ranks(_scored(words, probes), top), "first-round")
-    floors = first.groupBy("q").agg(F.count("*").alias("found"), F.min("sim").alias("last"))
-    # The margin covers rounding in the scores; it only ever adds characters.
-    reach = F.col("floor") * F.col("floor") * F.col("norm2") * F.lit(1 - 1e-9)
-    missed = lambda before: F.col("norm2") - F.aggregate(
-        before, F.lit(0).cast("bigint"), lambda acc, x: acc + x["weight"]
-    )
-    judged = (
-        seeds.join(floors, "q", "left")
-        .withColumn("floor", F.when(F.col("found") >= top, F.col("last")).otherwise(F.lit(0.0)))
-        .withColumn(
-            "norm2",
-            F.aggregate("chars", F.lit(0).cast("bigint"), lambda acc, x: acc + x["weight"]),
-        )
-        .withColumn("needed", _up_to(lambda before: missed(before) >= reach))
-        .withColumn("final", (F.col("floor") > 0) & (F.size("needed") <= F.size("start")))
-    )
-    judged = materialize(judged.select(*known.columns, "floor", "needed", "final"), "judged-queries")
-    done = first.join(F.broadcast(judged.filter("final").select("q")), "q", "left_semi")
-    left = judged.filter("NOT final")
-    if left.isEmpty():
-        return done
-    again = _scored(words, left.withColumn("probe", F.col("needed.ch")))
-    return done.unionByName(_first_ranks(again.unionByName(_apart(words, left, top)), top))
-
-
 def similar_terms_batch(
     words: DataFrame, queries: DataFrame, top: int, query_rows: int = QUERY_ROWS
 ) -> DataFrame:
     """(q, rank, term, sim): ``similar_terms`` for a table (q) of distinct query words.
 
-    Words and queries are written to tables first, as both are read several times.
-    The query side is broadcast up to ``query_rows`` words. A longer table is cut by
-    hash into parts of about that size, and every part is answered.
+    A word without any of the characters S of q scores at most |q without S| / |q|. To find all words that score f
+    or more, it is enough to look at those that hold one of the cheapest characters that leave less than f. Each
+    round takes the queries that are not settled yet down to the next of FLOORS; a list is final if
+    it is full, as no other word scores as much. The last round looks at all characters and fills up
+    with words that share none. Words and queries are written to tables first, as rounds read them.
     """
     top = max(top, 0)
     if top == 0:
@@ -221,13 +209,23 @@ def similar_terms_batch(
             "term",
             F.lit(0.0).alias("sim"),
         )
-    words = materialize(words.select("term"), "words")
+    known = materialize(_known_words(spread(words.select("term"))), "words")
     queries = materialize(queries.select("q"), "query-words")
-    if fits_broadcast(queries, query_rows):
-        return _ranked_part(words, queries, top)
-    parts = -(-queries.count() // query_rows)
-    part = F.pmod(F.xxhash64("q"), F.lit(parts))
-    return reduce(
-        DataFrame.unionByName,
-        [_ranked_part(words, queries.filter(part == i), top) for i in range(parts)],
-    )
+    small = fits_broadcast(queries, query_rows)
+    asked = _queries(known, queries).withColumn("q_mask", _mask(units(F.col("q"))))
+    weigh = lambda entries: F.aggregate(entries, F.lit(0).cast("bigint"), lambda acc, x: acc + x["weight"])
+    asked = materialize(asked.withColumn("q_square", F.coalesce(weigh("chars"), F.lit(0).cast("bigint"))), "queries")
+    lists = []
+    for floor in FLOORS:
+        # The margin covers rounding in the scores; it only ever adds characters.
+        reach = F.lit(floor * floor * (1 - 1e-9)) * F.col("q_square")
+        probes = asked.withColumn("floor", F.lit(floor)).withColumn("probe", _up_to(lambda before: F.col("q_square") - weigh(before) >= reach))
+        found = materialize(_first_ranks(_scored(known, probes, small), top), "round")
+        full = found.filter(F.col("rank") == top).select("q")
+        full = F.broadcast(full) if small else full
+        lists.append(found.join(full, "q", "left_semi"))
+        asked = materialize(asked.join(full, "q", "left_anti"), "queries")
+        if asked.isEmpty():
+            return reduce(DataFrame.unionByName, lists)
+    rest = _scored(known, asked.withColumn("floor", F.lit(0.0)).withColumn("probe", F.col("chars")), small)
+    return reduce(DataFrame.unionByName, [*lists, _first_ranks(rest.unionByName(_apart(known, asked, top)), top)])

@@ -79,7 +79,9 @@ sims AS (SELECT b.q, a.term,
 
 
 _ONE = _similar("SELECT 'weather' AS q")
-_EVENTS = _similar("SELECT DISTINCT event_type AS q FROM events")
+_MANY = _similar(f"""SELECT event_type AS q FROM events UNION
+SELECT * FROM (SELECT term FROM (SELECT DISTINCT doc_id, unnest({_tokens('text')}) AS term FROM documents)
+               GROUP BY term ORDER BY count(*) DESC, term LIMIT 300)""")
 _SIMILAR_TOP = f"WITH {_ONE} SELECT term, sim FROM sims ORDER BY sim DESC, term LIMIT 20"
 
 _EXISTING = f"SELECT {_PATH} AS path, {_WHOLE} AS contents, lang, source FROM documents"
@@ -251,7 +253,7 @@ WITH {_TV} SELECT doc_id, term, freq, positions FROM tv WHERE doc_id = (SELECT d
     "similar_terms": _SIMILAR_TOP,
     "term_clusters_as_is": _SIMILAR_TOP,
     "similar_terms_batch": f"""
-WITH {_EVENTS}
+WITH {_MANY}
 SELECT q, rank, term, sim FROM (
   SELECT *, row_number() OVER (PARTITION BY q ORDER BY sim DESC, term) AS rank FROM sims)
 WHERE rank <= 20""",

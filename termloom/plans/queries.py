@@ -274,31 +274,37 @@ def _best_of_all(order: str) -> Query:
 best_terms_all_docs = _best_of_all("tfxidf")
 
 
+def stored_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The terms of the stored index; no text is analysed for them."""
+    return stored_index(spark, sf_dir).vocabulary()
+
+
 def char_vectors(spark, sf_dir):
-    return similar.char_vectors(vocabulary(spark, sf_dir))
+    return similar.char_vectors(stored_vocabulary(spark, sf_dir))
 
 
 def char_norms(spark, sf_dir):
-    return similar.char_norms(vocabulary(spark, sf_dir))
+    return similar.char_norms(stored_vocabulary(spark, sf_dir))
 
 
 def char_cosine(spark, sf_dir):
-    return similar.char_cosine(vocabulary(spark, sf_dir), QUERY_WORD)
+    return similar.char_cosine(stored_vocabulary(spark, sf_dir), QUERY_WORD)
 
 
 def similar_terms(spark, sf_dir):
-    return similar.similar_terms(vocabulary(spark, sf_dir), QUERY_WORD, TOP_SIMILAR)
+    return stored_index(spark, sf_dir).similar_terms(QUERY_WORD, TOP_SIMILAR)
 
 
 def term_clusters_as_is(spark, sf_dir):
-    return similar.term_clusters(vocabulary(spark, sf_dir), QUERY_WORD, TOP_SIMILAR)
+    return similar.term_clusters(stored_vocabulary(spark, sf_dir), QUERY_WORD, TOP_SIMILAR)
 
 
 def similar_terms_batch(spark, sf_dir):
-    """Query words: the event types."""
+    """Query words: the terms of most documents, and all event types."""
+    index = stored_index(spark, sf_dir)
     events = spark.read.parquet(_file(sf_dir, "events"))
-    words = events.select(F.col("event_type").alias("q")).distinct()
-    return similar.similar_terms_batch(vocabulary(spark, sf_dir), words, TOP_SIMILAR)
+    words = frequent_terms(index).unionByName(events.select(F.col("event_type").alias("q"))).distinct()
+    return index.similar_terms_batch(words, TOP_SIMILAR)
 
 
 def _term_doc_vectors(rep: str) -> Query:

@@ -288,6 +288,17 @@ def test_two_rounds_lose_no_similar_term(spark):
             assert found[q] == scores[:top], q
 
 
+def test_few_pairs_are_scored(spark, sf_dir, monkeypatch):
+    """Hundreds of words of the vocabulary against all of it: the rounds score a twentieth of the pairs at most."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "text AS contents")
+    words = similar.materialize(terms.vocabulary(docs), "vocabulary")
+    queries = words.orderBy(F.xxhash64("term")).limit(300).select(F.col("term").alias("q"))
+    scored, plain = [], similar._scored
+    monkeypatch.setattr(similar, "_scored", lambda *a: scored.append(plain(*a)) or scored[-1])
+    similar.similar_terms_batch(words, queries, 20).collect()
+    assert 0 < sum(df.count() for df in scored) < 0.05 * 300 * words.count()
+
+
 def test_cosine_properties(spark):
     words = vocabulary_of(spark, ["abc", "bca", "aabbcc", "xyz", "ab"])
     for q in ("abc", "ab"):
