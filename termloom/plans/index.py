@@ -1,13 +1,16 @@
 """A stored corpus: Parquet tables of documents with their vectors, and of their frequencies.
 
 A document's fields and its term vector are one row, so adding documents is one
-append, replacing them is one rewrite, and no join is needed to bring a document
-and its terms together. Rows are in doc_id order, so a read by doc_id skips row groups.
-
-A version is a folder with ``docs`` and ``doc_freq``, each with a folder per batch.
-A rewrite starts a new version and an append a new batch; readers take the newest version
-whose first batch Spark has marked complete. The frequencies of a batch are counted from its
-stored vectors; a reader sums them over batches, and reports ask them, not the corpus.
+append, and no join is needed to bring a document and its terms together. Rows of a batch are in
+doc_id order, so a read by doc_id skips row groups.
+
+A version is a folder with ``docs`` and ``doc_freq``, each with a folder per batch. CREATE starts a
+new version; all else adds a batch. Readers take the newest version whose first batch Spark has marked
+complete, and of it the complete batches only. A batch that replaces documents comes with the list of
+their paths (``replaced``): readers leave out rows of earlier batches with these paths, and its
+frequencies hold, with a minus, those of the rows replaced. So an update writes in proportion to itself.
+The frequencies of a batch are counted from its stored vectors; a reader sums them over batches,
+and reports ask them, not the corpus.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ import warnings
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from termloom.operators import best_terms as best
@@ -24,8 +28,9 @@ from termloom.operators import fields as stats
 from termloom.operators import similar_terms as similar
 from termloom.operators import term_documents as shared
 from termloom.operators import term_vectors as terms
-from termloom.operators.documents import last_per_key, number_documents, without_keys
+from termloom.operators.documents import last_per_key, number_documents
 from termloom.session import materialize
+from termloom.sizes import broadcast_if_small
 
 CREATE, APPEND, CREATE_OR_APPEND = "CREATE", "APPEND", "CREATE_OR_APPEND"
 OPEN_MODES = (CREATE, APPEND, CREATE_OR_APPEND)
@@ -38,8 +43,13 @@ NOT_FIELDS = ("doc_id", "sizeKb", "modified", "n_tokens", "n_terms", "terms", "f
 
 def _complete(spark: SparkSession, pattern: str, above: int) -> list[str]:
     """Names of the folders ``above`` levels over the completion marks of a pattern, in order."""
+    return _named(spark, f"{pattern}/_SUCCESS", above)
+
+
+def _named(spark: SparkSession, pattern: str, above: int = 0) -> list[str]:
+    """Names of the folders ``above`` levels over what fits a pattern, in order."""
     jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    root = jvm.org.apache.hadoop.fs.Path(pattern)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = []
     for mark in fs.globStatus(root) or []:
@@ -55,10 +65,25 @@ def _versions(spark: SparkSession, folder: str) -> list[int]:
     return [int(n[1:]) for n in _complete(spark, f"{folder.rstrip('/')}/v*/docs/batch=000000", 3)]
 
 
+def _next_version(spark: SparkSession, folder: str) -> int:
+    """A number that no version has, complete or not."""
+    return max([int(n[1:]) for n in _named(spark, f"{folder.rstrip('/')}/v*")], default=0) + 1
+
+
 def _version_path(folder: str, version: int, table: str = "docs") -> str:
     return f"{folder.rstrip('/')}/v{version:06d}/{table}"
 
 
+def _store(rows: DataFrame, path: str) -> None:
+    """Write a table where there is none: of two writers of one batch the second fails, and nothing is lost."""
+    try:
+        rows.write.mode("errorifexists").parquet(path)
+    except AnalysisException as found:
+        if "PATH_ALREADY_EXISTS" not in str(found):
+            raise
+        raise FileExistsError(f"another writer has begun {path}") from found
+
+
 def _fields_of(columns: Sequence[str]) -> list[str]:
     known = [f for f in STORED_FIELDS if f in columns]
     return known + [c for c in columns if c not in known and c not in NOT_FIELDS]
@@ -99,34 +124,84 @@ class TextIndex:
             warnings.warn("update has no effect in CREATE mode; documents are added")
         fresh = mode == CREATE or not found
         stored = None if fresh else cls(spark, folder)
-        version, batch = (found[-1] if found else 0) + 1, 0
         if "doc_id" in docs.columns:
             docs = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
         else:
             docs = number_documents(docs, 0 if fresh else stored.next_doc_id())
-        if update and not fresh:
+        if fresh:
+            path = _version_path(folder, _next_version(spark, folder))
+            _store(terms.with_vectors(docs), f"{path}/batch=000000")
+            stored = cls(spark, folder)
+            stored._write_freqs()
+            return stored
+        keys = None
+        if update:
             # One table gives both the rows and the keys that they replace.
             docs = last_per_key(materialize(docs, "arrived"), "path", order)
-            kept = without_keys(stored.table, docs.select("path").distinct())
-            new = kept.unionByName(terms.with_vectors(docs), allowMissingColumns=True)
-            new = new.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-        else:
-            new = terms.with_vectors(docs)
-            if not fresh:
-                version, batch = stored.version, len(stored._batches("docs"))
-        path = f"{_version_path(folder, version)}/batch={batch:06d}"
-        new.write.mode("overwrite").parquet(path)
-        cls._write_freqs(spark.read.parquet(path), _version_path(folder, version, "doc_freq"), batch)
-        return cls(spark, folder)
-
-    @staticmethod
-    def _write_freqs(rows: DataFrame, path: str, batch: int) -> None:
-        freqs = terms.doc_freq(rows, _fields_of(rows.columns))
+            keys = docs.select("path").filter("path IS NOT NULL").distinct()
+        stored._add_batch(terms.with_vectors(docs), keys)
+        return stored
+
+    def _path(self, table: str, batch: str = "") -> str:
+        return f"{_version_path(self.folder, self.version, table)}/{batch}".rstrip("/")
+
+    def _add_batch(self, rows: DataFrame, keys: DataFrame | None = None, freqs: DataFrame | None = None) -> None:
+        """Store rows with vectors as a further batch. The list of paths that they replace comes first, so that
+        it is there when the mark of the rows completes the batch."""
+        used = [_named(self.spark, self._path(t, "batch=*")) for t in ("docs", "replaced")]
+        batch = f"batch={max(int(n[len('batch='):]) for names in used for n in names) + 1:06d}"
+        if keys is not None:
+            _store(keys, self._path("replaced", batch))
+        _store(rows, self._path("docs", batch))
+        self._write_freqs(freqs)
+
+    def _write_freqs(self, freqs: DataFrame | None = None) -> None:
+        """The frequencies of the newest batch, counted from it if they are not given."""
+        names = self._batches("docs")
+        freqs = self._batch_freqs(names) if freqs is None else freqs
         ordered = freqs.repartitionByRange("field", "term").sortWithinPartitions("field", "term")
-        ordered.write.mode("overwrite").parquet(f"{path}/batch={batch:06d}")
+        _store(ordered, self._path("doc_freq", names[-1]))
+
+    def _batch_freqs(self, names: list[str]) -> DataFrame:
+        """(field, term, df) of the last of these batches, less those of the rows that it replaces."""
+        rows = self.spark.read.parquet(self._path("docs", names[-1]))
+        freqs = terms.doc_freq(rows, _fields_of(rows.columns))
+        if names[-1] not in self._batches("replaced"):
+            return freqs
+        keys = self.spark.read.parquet(self._path("replaced", names[-1]))
+        old = self._live(names[:-1]).join(broadcast_if_small(keys), "path", "left_semi")
+        less = terms.doc_freq(old, _fields_of(old.columns)).withColumn("df", -F.col("df"))
+        both = freqs.unionByName(less).groupBy("field", "term").agg(F.sum("df").alias("df"))
+        return both.filter(F.col("df") != 0)
+
+    @classmethod
+    def merge(cls, spark: SparkSession, sources: Sequence[str], folder: str) -> "TextIndex":
+        """Add the indexes in the folders ``sources`` to the one in ``folder``, or start it with them.
+
+        Vectors and frequencies are taken as stored: no text is analysed again. Documents of a source keep their
+        order and get numbers after those before; a path met twice stays twice.
+        """
+        found = _versions(spark, folder)
+        target = cls(spark, folder) if found else None
+        start = target.next_doc_id() if target else 0
+        rows, freqs = [], []
+        for source in sources:
+            index = cls(spark, source)
+            rows.append(index.table.withColumn("doc_id", F.col("doc_id") + F.lit(start)))
+            freqs.append(index.doc_freq().select("field", "term", "df"))
+            start += index.next_doc_id()
+        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+        summed = reduce(DataFrame.unionByName, freqs).groupBy("field", "term").agg(F.sum("df").alias("df"))
+        if target is None:
+            _store(every, f"{_version_path(folder, _next_version(spark, folder))}/batch=000000")
+            target = cls(spark, folder)
+            target._write_freqs(summed)
+        else:
+            target._add_batch(every, freqs=summed)
+        return target
 
     def _batches(self, table: str) -> list[str]:
-        return _complete(self.spark, f"{_version_path(self.folder, self.version, table)}/batch=*", 1)
+        return _complete(self.spark, self._path(table, "batch=*"), 1)
 
     def vacuum(self, keep: int = 1) -> list[int]:
         """Delete all but the newest ``keep`` versions; returns the numbers of those deleted.
@@ -144,11 +219,23 @@ class TextIndex:
         """The number after the highest in use."""
         return self.table.agg(F.coalesce(F.max("doc_id"), F.lit(-1)) + 1).first()[0]
 
+    def _live(self, names: Sequence[str]) -> DataFrame:
+        """Rows of these batches that no later one of them replaces."""
+        read = self.spark.read.option("mergeSchema", True)
+        rows = read.option("basePath", self._path("docs")).parquet(*(self._path("docs", n) for n in names))
+        later = [n for n in self._batches("replaced") if n in names]
+        if later:
+            lists = self.spark.read.option("basePath", self._path("replaced"))
+            keys = lists.parquet(*(self._path("replaced", n) for n in later))
+            keys = keys.groupBy(F.col("path").alias("again")).agg(F.max("batch").alias("until"))
+            gone = (F.col("path") == F.col("again")) & (F.col("batch") < F.col("until"))
+            rows = rows.join(broadcast_if_small(keys), gone, "left_anti")
+        return rows.drop("batch")
+
     @property
     def table(self) -> DataFrame:
         """All documents; a field that a batch lacks is null in its rows."""
-        rows = self.spark.read.option("mergeSchema", True).parquet(_version_path(self.folder, self.version))
-        return rows.drop("batch")
+        return self._live(self._batches("docs"))
 
     @property
     def fields(self) -> list[str]:
@@ -179,19 +266,15 @@ class TextIndex:
         """(field, term, df) as stored, summed over batches."""
         names = self._batches("docs")
         counted = set(self._batches("doc_freq"))
-        parts = []
-        if counted:
-            stored = self.spark.read.parquet(_version_path(self.folder, self.version, "doc_freq"))
-            parts.append(stored.select("field", "term", "df"))
-        for name in names:
-            if name not in counted:  # a writer stopped between the two tables
-                rows = self.spark.read.parquet(f"{_version_path(self.folder, self.version)}/{name}")
-                parts.append(terms.doc_freq(rows, _fields_of(rows.columns)))
+        stored = [self._path("doc_freq", n) for n in names if n in counted]
+        parts = [self.spark.read.parquet(*stored).select("field", "term", "df")] if stored else []
+        # A writer may have stopped between the two tables.
+        parts += [self._batch_freqs(names[: k + 1]) for k, n in enumerate(names) if n not in counted]
         freqs = reduce(DataFrame.unionByName, parts)
         if fields is not None:
             freqs = freqs.filter(F.col("field").isin(*fields))
         if len(names) > 1:
-            freqs = freqs.groupBy("field", "term").agg(F.sum("df").alias("df"))
+            freqs = freqs.groupBy("field", "term").agg(F.sum("df").alias("df")).filter(F.col("df") > 0)
         return freqs
 
     def vocabulary(self, field: str = terms.CONTENTS) -> DataFrame:

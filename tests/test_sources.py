@@ -10,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from termloom import TextIndex
+from termloom.operators import term_vectors as terms
+from termloom.plans import index as index_module
 from termloom.plans.index import APPEND, CREATE, CREATE_OR_APPEND
 from termloom.sources.files import scan_files
 from termloom.streaming.ingest import arriving_files, start_indexing
@@ -134,6 +136,66 @@ def test_later_times_win_whatever_their_text(spark, tmp_path):
     assert {r.path: r.contents for r in index.table.collect()} == {"/a": "new", "/b": "b"}
 
 
+def contents_freqs(index):
+    return {r.term: r.df for r in index.doc_freq(["contents"]).collect()}
+
+
+def test_updates_write_only_themselves(spark, tmp_path):
+    folder = str(tmp_path / "index")
+    first = spark.createDataFrame([(f"/{k}", f"word common old{k % 3}") for k in range(200)], "path string, contents string")
+    index = TextIndex.write(first, folder)
+    new = spark.createDataFrame([("/1", "word fresh"), ("/2", "word"), ("/x", "more common"), ("/2", "later word")], "path string, contents string")
+    index = TextIndex.write(new.coalesce(1), folder, update=True)
+    assert index.version == 1
+    written = spark.read.parquet(f"{folder}/v000001/docs/batch=000001")
+    assert written.count() == 3
+    rows = {r.path: r.contents for r in index.table.collect()}
+    assert len(rows) == 201 == index.table.count() and rows["/2"] == "later word" and rows["/1"] == "word fresh"
+    again = spark.createDataFrame([("/1", "last"), ("/x", "common")], "path string, contents string")
+    index = TextIndex.write(again, folder, update=True)
+    fresh = TextIndex.write(index.table.select("path", "contents"), str(tmp_path / "fresh"))
+    assert contents_freqs(index) == contents_freqs(fresh)
+    assert "fresh" not in contents_freqs(index) and "more" not in contents_freqs(index)
+    assert {r.term for r in index.vocabulary().collect()} == set(contents_freqs(index))
+    assert index.corpus_size().first()[0] == 201 and index.best_terms_all("tf", 1).count() == 201
+    # A writer that stopped before the frequencies: they are counted from the rows.
+    (tmp_path / "index/v000001/doc_freq/batch=000002/_SUCCESS").unlink()
+    assert contents_freqs(TextIndex(spark, folder)) == contents_freqs(fresh)
+
+
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    folder = str(tmp_path / "index")
+    docs = spark.createDataFrame([("/a", "one")], "path string, contents string")
+    TextIndex.write(docs, folder)
+    TextIndex.write(docs.withColumn("path", F.lit("/b")), folder, APPEND)
+    (tmp_path / "index/v000001/docs/batch=000001/_SUCCESS").unlink()
+    index = TextIndex(spark, folder)
+    assert [r.path for r in index.table.collect()] == ["/a"] and contents_freqs(index) == {"one": 1}
+    # The next writer takes another number; a second writer of one batch gets an error.
+    index = TextIndex.write(docs.withColumn("path", F.lit("/c")), folder, APPEND)
+    assert sorted(r.path for r in index.table.collect()) == ["/a", "/c"]
+    with pytest.raises(FileExistsError):
+        index_module._store(docs, f"{folder}/v000001/docs/batch=000002")
+
+
+def test_merge_of_stored_indexes(spark, tmp_path, monkeypatch):
+    texts = [["one two two", "two"], ["three", "one", ""], ["two four"]]
+    folders = []
+    for k, some in enumerate(texts):
+        docs = spark.createDataFrame([(f"/{k}/{i}", t, "en") for i, t in enumerate(some)], "path string, contents string, lang string")
+        folders.append(str(tmp_path / f"part{k}"))
+        TextIndex.write(docs.drop("lang") if k == 1 else docs, folders[-1])
+    monkeypatch.setattr(terms, "with_vectors", None)  # nothing is analysed again
+    index = TextIndex.merge(spark, folders[:2], str(tmp_path / "whole"))
+    index = TextIndex.merge(spark, folders[2:], str(tmp_path / "whole"))
+    monkeypatch.undo()
+    rows = index.table.orderBy("doc_id").collect()
+    assert [r.contents.strip() for r in rows] == sum(texts, []) and [r.doc_id for r in rows] == list(range(6))
+    fresh = TextIndex.write(index.table.select("path", "contents", "lang"), str(tmp_path / "fresh"))
+    assert sorted(index.doc_freq().collect()) == sorted(fresh.doc_freq().collect())
+    assert sorted(map(tuple, index.field_stats().collect())) == sorted(map(tuple, fresh.field_stats().collect()))
+
+
 def test_vacuum_leaves_the_newest(spark, tmp_path):
     docs = spark.createDataFrame([("/a", "one")], "path string, contents string")
     folder = str(tmp_path / "index")
