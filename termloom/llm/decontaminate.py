@@ -305,10 +305,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, with all their columns, that are not contaminated.
 
-    Rows are told apart by doc_id and text, so rows that repeat in both stay or go together.
+    Rows are told apart by doc_id and text, so rows that repeat in both stay or go together. A null text is
+    clean, and ids may be null. A row travels as one value, so its columns may have any names. No rows give no rows.
     """
     key = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")))
     judged = contamination(docs.select(key.alias("doc_id"), "text"), benchmark)
-    bad = judged.filter("contaminated").select(F.col("doc_id").alias("_row")).distinct()
+    bad = judged.filter("contaminated").select(F.col("doc_id").alias("key")).distinct()
     bad = broadcast_if_small(materialize(bad, "contaminated"))
-    return docs.withColumn("_row", key).join(bad, "_row", "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), key.alias("key"))
+    return rows.join(bad, "key", "left_anti").select("row.*")

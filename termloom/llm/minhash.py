@@ -342,7 +342,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The documents, with all their columns, of which one row of each class stays: the smallest doc_id.
 
-    Of rows that repeat in doc_id and text one stays; where their other columns differ, the one that is
+    A null doc_id counts as the smallest. Of rows that repeat in doc_id and text one stays; where their other columns differ, the one that is
     first by these as JSON. Null texts are empty ones here.
     """
     key = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")))
@@ -362,12 +362,13 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     again = materialize(stays.filter("_n > 1").select("_row"), "again")
     gone = found.join(stays, "_row", "left_anti").select("_row").unionByName(again)
     gone = broadcast_if_small(materialize(gone, "gone"))
-    rows = docs.withColumn("_row", key)
-    once = rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    # A row travels as one value, so its columns may have any names.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), key.alias("_row"))
+    once = rows.join(gone, "_row", "left_anti").select("row.*")
     if again.isEmpty():
         return once
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    others = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     by = F.to_json(F.struct(*others)) if others else F.lit("")
     repeated = rows.join(broadcast_if_small(again), "_row", "left_semi")
-    repeated = repeated.groupBy("_row").agg(F.min_by(F.struct(*docs.columns), by).alias("_kept"))
-    return once.unionByName(repeated.select("_kept.*"))
+    repeated = repeated.groupBy("_row").agg(F.min_by("row", by).alias("row"))
+    return once.unionByName(repeated.select("row.*"))

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from termloom.llm.classify import FOLDS, fit_in_one_task, training_rows
 from termloom.llm.tables import held_out
@@ -146,11 +147,12 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, with all their columns, whose score reaches CUT."""
+    """The documents, with all their columns, whose score reaches CUT.
+
+    Nulls, empty texts and repeated rows as in ``score_quality``; a row travels as one value, so its columns may
+    have any names. No rows give no rows.
+    """
     weights = learn(docs, labels)
-    texts = docs.withColumn("_text", F.col("text"))
-    names = docs.columns
-    rows = texts.select(F.struct(*names).alias("row"), F.col("_text").alias("text"))
-    kind = f"row {rows.schema['row'].dataType.simpleString()}, text string, score double"
-    scored = rows.mapInArrow(score_batches(weights), kind)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("text").cast("string").alias("text"))
+    scored = rows.mapInArrow(score_batches(weights), StructType([*rows.schema.fields, StructField("score", DoubleType())]))
     return scored.filter(F.col("score") >= CUT).select("row.*")

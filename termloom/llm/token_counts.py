@@ -98,24 +98,25 @@ def _cut_batches(budget: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder()
         for batch in batches:
-            keys, texts, ends, tokens = batch.columns
-            kept = [
-                t.encode()[: longest_prefix((e, n), t.encode(), budget, encoder)].decode()
-                for t, e, n in zip(texts.to_pylist(), ends.to_pylist(), tokens.to_pylist())
-            ]
-            yield pa.record_batch({"key": keys, "text": pa.array(kept, pa.string())})
+            at = 0
+            for counted in _count_batches(iter([batch])):
+                texts = batch.column(1)[at : at + counted.num_rows].to_pylist()
+                at += counted.num_rows
+                ends, tokens = counted.column("prefix_bytes").to_pylist(), counted.column("prefix_tokens").to_pylist()
+                raws = [(t or "").encode() for t in texts]
+                kept = [raw[: longest_prefix((e, n), raw, budget, encoder)].decode() for raw, e, n in zip(raws, ends, tokens)]
+                yield pa.record_batch({"key": counted.column("key"), "text": pa.array(kept, pa.string())})
 
     return cut
 
 
 def truncate(docs: DataFrame, budget: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each text cut to its longest prefix of at most ``budget`` tokens.
+    """Each text cut to its longest prefix of at most ``budget`` tokens: its key and text.
 
-    The prefix arrays say where the cut falls; only that one piece is encoded again.
-    ``key`` must be unique where it is not null, since the counts are joined by it.
+    The prefix arrays of a row say where its cut falls; only that one piece is encoded again. Counts and
+    text stay in their row, so keys may be null and repeat. A null text gives an empty one; rows that repeat
+    are cut alike; no rows give no rows; other columns are not carried.
     """
-    counted = prefix_counts(docs, key, text).select(key, "prefix_bytes", "prefix_tokens")
-    rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = rows.schema[key].dataType.simpleString()
-    rows = rows.join(counted, key).select(F.col(key).alias("key"), "text", "prefix_bytes", "prefix_tokens")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    kind = rows.schema["key"].dataType.simpleString()
     return rows.mapInArrow(_cut_batches(budget), f"key {kind}, text string").toDF(key, text)

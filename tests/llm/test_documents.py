@@ -504,3 +504,34 @@ def test_isotonic_values_do_not_fall():
     at, value = toxicity.isotonic(np.array([1.0, 2, 3, 4, 5]), np.array([0.0, 1, 0, 1, 1]))
     assert list(value) == sorted(value) and len(at) == len(value)
     assert np.interp(2.5, at, value) == 0.5
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Filters give back every column as it came, also those that have the names of their own columns."""
+    from termloom.llm import decontaminate, minhash, quality
+
+    kind = "doc_id bigint, text string, _row string, _text string, row string, key string, score string, _n string, `a.b` string"
+    item = " ".join(f"bench{k}" for k in range(20))
+    texts = ["a clean text of its own " * 3, None, "", item, "the same words come twice here " * 4, "the same words come twice here " * 4]
+    rows = [(None if k == 1 else k, t, f"r{k}", f"t{k}", f"w{k}", f"k{k}", f"s{k}", f"n{k}", f"ab{k}") for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, kind)
+    benchmark = spark.createDataFrame([("i", item)], "item_id string, text string")
+    labels = spark.createDataFrame([], "doc_id bigint, quality int")
+    good = quality.keep_good(docs, labels)  # without labels every score is 0.5
+    clean = decontaminate.keep_clean(docs, benchmark)
+    one = minhash.keep_one_of_each(docs.unionByName(docs.limit(1)))
+    assert good.columns == clean.columns == one.columns == docs.columns
+    assert sorted(map(tuple, good.collect()), key=repr) == sorted(rows, key=repr)
+    assert sorted(map(tuple, clean.collect()), key=repr) == sorted([r for r in rows if r[1] != item], key=repr)
+    kept = [tuple(r) for r in one.collect()]
+    # A null and an empty text are one class, of which the null id comes first, and so are the two equal texts.
+    assert set(kept) <= set(rows) and sorted(r[2] for r in kept) == ["r0", "r1", "r3", "r4"]
+
+
+def test_truncation_keeps_every_row(spark):
+    from termloom.llm import token_counts
+
+    rows = [(None, "one two three"), (1, "four five six"), (1, "four five six"), (1, "seven"), (2, None), (3, ""), (None, None)]
+    found = token_counts.truncate(spark.createDataFrame(rows, "doc_id bigint, text string"), 2).collect()
+    expected = [(None, "one two"), (1, "four five"), (1, "four five"), (1, "seven"), (2, ""), (3, ""), (None, "")]
+    assert sorted(((r.doc_id, r.text.strip()) for r in found), key=repr) == sorted(expected, key=repr)
