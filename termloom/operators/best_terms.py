@@ -117,6 +117,18 @@ def best_terms(weights: DataFrame, order: str, top: int) -> DataFrame:
     return weights.select(*WEIGHT_COLUMNS).orderBy(*ranking(order)).limit(max(top, 0))
 
 
+def leading_by_tf(indexed: DataFrame, top: int) -> DataFrame:
+    """``indexed`` with the vectors cut to the ``top`` terms by tf, ties in term order, in each document's own row.
+
+    That ranking does not ask for df, so only these terms need to meet it.
+    """
+    cells = F.transform(
+        F.arrays_zip("terms", "freqs"), lambda c: F.struct((-tf(c["freqs"])).alias("down"), c["terms"].alias("term"), c["freqs"].alias("freq"))
+    )
+    first = indexed.select("doc_id", F.slice(F.array_sort(cells), 1, max(top, 0)).alias("first"))
+    return first.select("doc_id", F.col("first.term").alias("terms"), F.col("first.freq").alias("freqs"))
+
+
 def best_terms_all(weights: DataFrame, order: str, top: int) -> DataFrame:
     """The first ``top`` terms of every document, with their rank from 1.
 

@@ -225,6 +225,7 @@ UNION ALL SELECT path, contents, lang, source FROM (
     "write_mode_create": _ALL_OF_DOCUMENTS,
     "write_mode_append": f"{_ALL_OF_DOCUMENTS} UNION ALL {_ALL_OF_TALK}",
     "merge_partials": f"{_OF_DOCUMENTS} UNION ALL {_OF_TALK} UNION ALL {_OF_WEB}",
+    "merge_indexes": f"{_OF_DOCUMENTS} UNION ALL {_OF_TALK} UNION ALL {_OF_WEB}",
     "list_fields": f"""
 WITH met AS (
   SELECT doc_id, 0 AS place, 'path' AS field FROM documents WHERE {_PATH} IS NOT NULL

@@ -231,6 +231,16 @@ def merge_partials(spark, sf_dir):
     return merged.select("path", "sizeKb", "n_tokens", "n_terms", "lang", "source")
 
 
+def merge_indexes(spark, sf_dir):
+    """Stored indexes of documents, conversations and pages in one; their texts are analysed once, each in its own."""
+    folders = []
+    for part in (corpus(spark, sf_dir), talk(spark, sf_dir), web(spark, sf_dir)):
+        folders.append(new_folder(spark, "index"))
+        TextIndex.write(part, folders[-1], CREATE)
+    index = TextIndex.merge(spark, folders, new_folder(spark, "index"))
+    return index.table.select("path", "sizeKb", "n_tokens", "n_terms", "lang", "source")
+
+
 def list_fields(spark, sf_dir):
     return stored_index(spark, sf_dir).list_fields()
 
@@ -351,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "write_mode_create": write_mode_create,
     "write_mode_append": write_mode_append,
     "merge_partials": merge_partials,
+    "merge_indexes": merge_indexes,
     "list_fields": list_fields,
     "field_stats": field_stats,
     "field_stats_all": field_stats_all,

@@ -1,5 +1,9 @@
 """Every registered query against its SQL, and the shape of the plans."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
@@ -36,6 +40,15 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+@pytest.mark.parametrize("absent", ["termloom.llm", "termloom.llm.queries", "corpus_pipeline", "tokenizers", "public_tokenizers"])
+def test_entry_without_the_optional_package(absent):
+    """The other queries are there without the training-data package, or without what it needs."""
+    code = f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    told = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert told.stdout.split() == [str(len(QUERIES)), str(len(ORACLE))], told.stderr
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
