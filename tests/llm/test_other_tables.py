@@ -163,7 +163,7 @@ def test_components(spark):
 def test_registered():
     assert set(LLM_QUERIES) <= set(entry.queries())
     numbers = {int(m[1]) for m in (re.match(r"op(\d+)_", q) for q in LLM_QUERIES) if m}
-    assert numbers == set(range(1, 11)) and "pipeline" in LLM_QUERIES
+    assert numbers == set(range(1, 14)) and "pipeline" in LLM_QUERIES
 
 
 @pytest.mark.parametrize("name", list(LLM_ORACLE))
