@@ -38,6 +38,7 @@ HEADLINE = (
     "char_cosine",
     "similar_terms",
     "similar_terms_batch",
+    "term_doc_vectors_tfxidf",
 )
 
 
