@@ -124,6 +124,34 @@ def test_tokens(spark, value, expected):
     assert one(spark, value, text.tokens) == expected
 
 
+@pytest.mark.parametrize(
+    "value, expected",
+    [
+        ("hi 😀😃!", ["hi", "😀", "😃"]),
+        ("👍🏽a👩‍❤️‍💋‍👩 ☎", ["👍🏽", "a", "👩‍❤️‍💋‍👩", "☎"]),
+        ("🏴\U000e0067\U000e0062\U000e0065\U000e006e\U000e0067\U000e007f.", ["🏴\U000e0067\U000e0062\U000e0065\U000e006e\U000e0067\U000e007f"]),
+        ("🇩🇪🇫🇷🇪", ["🇩🇪", "🇫🇷"]),
+        ("🇩 🇪", []),
+        ("#️⃣ *⃣ 1️⃣ # *", ["#️⃣", "*⃣", "1️⃣"]),
+        ("© ©️ ™️ ™ 🏽", ["©️", "™️"]),
+        ("☎︎ x", ["x"]),
+        ("🏳️‍🌈🏳", ["🏳️‍🌈", "🏳"]),
+        ("1😀2", ["1", "😀", "2"]),
+        ('צה"ל "אב" א"', ['צה"ל', "אב", "א"]),
+        ("ג'ינג' ד'1 צ'", ["ג'ינג'", "ד'", "1", "צ'"]),
+        ('שָׁ"ל a"b', ['שָׁ"ל', "a", "b"]),
+        ('א"1 1"א', ["א", "1", "1", "א"]),
+    ],
+)
+def test_emoji_and_hebrew_quotes(spark, value, expected):
+    assert one(spark, value, text.tokens) == expected
+
+
+def test_long_emoji_needs_no_stack(spark):
+    value = "👩\u200d" * 100_000
+    assert one(spark, value, text.tokens) == [value]
+
+
 def test_tokens_follow_the_unicode_standard(spark):
     """Random strings against the word boundaries of an independent implementation.
 
