@@ -14,14 +14,19 @@ def corpus_size(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count("*").alias("n_docs"))
 
 
-def field_stats(counted: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """(field, maxDoc, docCount, sumTotalTermFreq, sumDocFreq) per non-empty field.
+# Sums that add up over any parts of a corpus, per field; the documents themselves stand under ALL_DOCS.
+SUMS = ("docCount", "sumTotalTermFreq", "sumDocFreq")
+ALL_DOCS = ""
+
+
+def field_sums(counted: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """(field, docCount, sumTotalTermFreq, sumDocFreq) of each of ``fields``, and of all documents.
 
     ``counted`` carries n_tokens and n_terms, so all fields are summed per row and
     the only exchange is one partial row per task. A keyword field has one term
     of frequency 1 in each document that holds it.
     """
-    sums = []
+    sums = [F.struct(F.lit(ALL_DOCS).alias("field"), *(F.count("*").alias(c) for c in SUMS))]
     for f in fields:
         if f in VECTOR_FIELDS:
             cells = (
@@ -30,21 +35,33 @@ def field_stats(counted: DataFrame, fields: Sequence[str]) -> DataFrame:
                 F.coalesce(F.sum("n_terms"), F.lit(0)),
             )
         else:
-            cells = (F.count(f),) * 3
-        sums.append(
-            F.struct(
-                F.lit(f).alias("field"),
-                cells[0].alias("docCount"),
-                cells[1].cast("bigint").alias("sumTotalTermFreq"),
-                cells[2].cast("bigint").alias("sumDocFreq"),
-            )
-        )
-    one_row = counted.agg(F.count("*").alias("maxDoc"), F.array(*sums).alias("cells"))
-    return (
-        one_row.select("maxDoc", F.inline("cells"))
-        .filter(F.col("docCount") > 0)
-        .select("field", "maxDoc", "docCount", "sumTotalTermFreq", "sumDocFreq")
-    )
+            cells = (F.count(F.col(f"`{f}`")),) * 3
+        sums.append(F.struct(F.lit(f).alias("field"), *(c.cast("bigint").alias(n) for n, c in zip(SUMS, cells))))
+    return counted.agg(F.array(*sums).alias("cells")).select(F.inline("cells"))
+
+
+def add_sums(parts: DataFrame) -> DataFrame:
+    """Sums of fields of several parts as those of the whole; parts may be negative."""
+    return parts.groupBy("field").agg(*(F.sum(c).alias(c) for c in SUMS))
+
+
+def size_of_sums(sums: DataFrame) -> DataFrame:
+    """One row (n_docs)."""
+    return sums.filter(F.col("field") == ALL_DOCS).agg(F.coalesce(F.sum("docCount"), F.lit(0)).alias("n_docs"))
+
+
+def stats_of_sums(sums: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """(field, maxDoc, docCount, sumTotalTermFreq, sumDocFreq) of those of ``fields`` that hold a value, in their order."""
+    place = F.array_position(F.array(*map(F.lit, fields)), F.col("field"))
+    held = F.when((F.col("docCount") > 0) & (place > 0), F.struct(place.alias("place"), "field", *SUMS))
+    docs = F.max(F.when(F.col("field") == ALL_DOCS, F.col("docCount")))
+    one_row = sums.agg(docs.alias("maxDoc"), F.sort_array(F.collect_list(held)).alias("cells"))
+    return one_row.select("maxDoc", F.inline("cells")).select("field", "maxDoc", *SUMS)
+
+
+def field_stats(counted: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Statistics of each non-empty field of ``fields``, in one pass over rows with n_tokens and n_terms."""
+    return stats_of_sums(field_sums(counted, fields), fields)
 
 
 def list_fields(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -53,7 +70,7 @@ def list_fields(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
     """
     first = [
         F.struct(
-            F.min(F.when(F.col(f).isNotNull(), F.col("doc_id"))).alias("doc"),
+            F.min(F.when(F.col(f"`{f}`").isNotNull(), F.col("doc_id"))).alias("doc"),
             F.lit(i).alias("place"),
             F.lit(f).alias("field"),
         )

@@ -102,7 +102,7 @@ def term_vectors(indexed: DataFrame, field: str = CONTENTS, positions: bool = Fa
 
 def keyword_terms(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(field, doc_id, term, freq): the whole value of a keyword field is one term."""
-    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("term")) for f in fields])
+    cells = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"`{f}`").alias("term")) for f in fields])
     return (
         docs.select("doc_id", F.inline(cells))
         .filter(F.col("term").isNotNull())

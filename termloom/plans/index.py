@@ -4,13 +4,13 @@ A document's fields and its term vector are one row, so adding documents is one
 append, and no join is needed to bring a document and its terms together. Rows of a batch are in
 doc_id order, so a read by doc_id skips row groups.
 
-A version is a folder with ``docs`` and ``doc_freq``, each with a folder per batch. CREATE starts a
+A version is a folder with ``docs``, ``doc_freq`` and ``field_sums``, each with a folder per batch. CREATE starts a
 new version; all else adds a batch. Readers take the newest version whose first batch Spark has marked
 complete, and of it the complete batches only. A batch that replaces documents comes with the list of
 their paths (``replaced``): readers leave out rows of earlier batches with these paths, and its
 frequencies hold, with a minus, those of the rows replaced. So an update writes in proportion to itself.
-The frequencies of a batch are counted from its stored vectors; a reader sums them over batches,
-and reports ask them, not the corpus.
+The frequencies of a batch, and the sums of its fields, are counted from its stored vectors; a reader
+sums them over batches, and reports ask them, not the corpus.
 """
 
 from __future__ import annotations
@@ -133,6 +133,7 @@ class TextIndex:
             _store(terms.with_vectors(docs), f"{path}/batch=000000")
             stored = cls(spark, folder)
             stored._write_freqs()
+            stored._write_sums()
             return stored
         keys = None
         if update:
@@ -145,7 +146,13 @@ class TextIndex:
     def _path(self, table: str, batch: str = "") -> str:
         return f"{_version_path(self.folder, self.version, table)}/{batch}".rstrip("/")
 
-    def _add_batch(self, rows: DataFrame, keys: DataFrame | None = None, freqs: DataFrame | None = None) -> None:
+    def _add_batch(
+        self,
+        rows: DataFrame,
+        keys: DataFrame | None = None,
+        freqs: DataFrame | None = None,
+        sums: DataFrame | None = None,
+    ) -> None:
         """Store rows with vectors as a further batch. The list of paths that they replace comes first, so that
         it is there when the mark of the rows completes the batch."""
         used = [_named(self.spark, self._path(t, "batch=*")) for t in ("docs", "replaced")]
@@ -154,6 +161,7 @@ class TextIndex:
             _store(keys, self._path("replaced", batch))
         _store(rows, self._path("docs", batch))
         self._write_freqs(freqs)
+        self._write_sums(sums)
 
     def _write_freqs(self, freqs: DataFrame | None = None) -> None:
         """The frequencies of the newest batch, counted from it if they are not given."""
@@ -162,14 +170,36 @@ class TextIndex:
         ordered = freqs.repartitionByRange("field", "term").sortWithinPartitions("field", "term")
         _store(ordered, self._path("doc_freq", names[-1]))
 
+    def _write_sums(self, sums: DataFrame | None = None) -> None:
+        """The field sums of the newest batch, a few rows, counted from it if they are not given."""
+        names = self._batches("docs")
+        sums = self._batch_sums(names) if sums is None else sums
+        _store(sums.coalesce(1), self._path("field_sums", names[-1]))
+
+    def _replaced_by(self, names: list[str]) -> DataFrame | None:
+        """Rows of earlier batches that the last of these replaces; None if it is no update."""
+        if names[-1] not in self._batches("replaced"):
+            return None
+        keys = self.spark.read.parquet(self._path("replaced", names[-1]))
+        return self._live(names[:-1]).join(broadcast_if_small(keys), "path", "left_semi")
+
+    def _batch_sums(self, names: list[str]) -> DataFrame:
+        """Field sums of the last of these batches, less those of the rows that it replaces."""
+        rows = self.spark.read.parquet(self._path("docs", names[-1]))
+        sums = stats.field_sums(rows, _fields_of(rows.columns))
+        old = self._replaced_by(names)
+        if old is None:
+            return sums
+        less = stats.field_sums(old, _fields_of(old.columns))
+        return stats.add_sums(sums.unionByName(less.select("field", *((-F.col(c)).alias(c) for c in stats.SUMS))))
+
     def _batch_freqs(self, names: list[str]) -> DataFrame:
         """(field, term, df) of the last of these batches, less those of the rows that it replaces."""
         rows = self.spark.read.parquet(self._path("docs", names[-1]))
         freqs = terms.doc_freq(rows, _fields_of(rows.columns))
-        if names[-1] not in self._batches("replaced"):
+        old = self._replaced_by(names)
+        if old is None:
             return freqs
-        keys = self.spark.read.parquet(self._path("replaced", names[-1]))
-        old = self._live(names[:-1]).join(broadcast_if_small(keys), "path", "left_semi")
         less = terms.doc_freq(old, _fields_of(old.columns)).withColumn("df", -F.col("df"))
         both = freqs.unionByName(less).groupBy("field", "term").agg(F.sum("df").alias("df"))
         return both.filter(F.col("df") != 0)
@@ -184,20 +214,23 @@ class TextIndex:
         found = _versions(spark, folder)
         target = cls(spark, folder) if found else None
         start = target.next_doc_id() if target else 0
-        rows, freqs = [], []
+        rows, freqs, sums = [], [], []
         for source in sources:
             index = cls(spark, source)
             rows.append(index.table.withColumn("doc_id", F.col("doc_id") + F.lit(start)))
             freqs.append(index.doc_freq().select("field", "term", "df"))
+            sums.append(index.field_sums())
             start += index.next_doc_id()
         every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
         summed = reduce(DataFrame.unionByName, freqs).groupBy("field", "term").agg(F.sum("df").alias("df"))
+        added = stats.add_sums(reduce(DataFrame.unionByName, sums))
         if target is None:
             _store(every, f"{_version_path(folder, _next_version(spark, folder))}/batch=000000")
             target = cls(spark, folder)
             target._write_freqs(summed)
+            target._write_sums(added)
         else:
-            target._add_batch(every, freqs=summed)
+            target._add_batch(every, freqs=summed, sums=added)
         return target
 
     def _batches(self, table: str) -> list[str]:
@@ -242,8 +275,18 @@ class TextIndex:
         """Stored fields in document order: the known ones, then any others kept."""
         return _fields_of(self.table.columns)
 
+    def field_sums(self) -> DataFrame:
+        """Mergeable sums of every field, of all documents under ``stats.ALL_DOCS``, summed over batches."""
+        names = self._batches("docs")
+        counted = set(self._batches("field_sums"))
+        stored = [self._path("field_sums", n) for n in names if n in counted]
+        parts = [self.spark.read.parquet(*stored).select("field", *stats.SUMS)] if stored else []
+        # A writer may have stopped between the tables.
+        parts += [self._batch_sums(names[: k + 1]) for k, n in enumerate(names) if n not in counted]
+        return stats.add_sums(reduce(DataFrame.unionByName, parts))
+
     def corpus_size(self) -> DataFrame:
-        return stats.corpus_size(self.table)
+        return stats.size_of_sums(self.field_sums())
 
     def list_fields(self) -> DataFrame:
         return stats.list_fields(self.table, self.fields)
@@ -252,12 +295,8 @@ class TextIndex:
         stats.write_field_list(self.list_fields(), self.folder, output)
 
     def field_stats(self, field: str | None = None) -> DataFrame:
-        """Statistics of one field, or of every stored field."""
-        if field is None:
-            return stats.field_stats(self.table, self.fields)
-        if field not in self.fields:
-            return stats.field_stats(self.table, self.fields).limit(0)
-        return stats.field_stats(self.table, [field])
+        """Statistics of one field, or of every stored field, from the stored sums: no document is read."""
+        return stats.stats_of_sums(self.field_sums(), self.fields if field is None else [field])
 
     def term_vectors(self, field: str = terms.CONTENTS) -> DataFrame:
         return terms.term_vectors(self.table, field, positions=True)

@@ -158,9 +158,26 @@ def test_updates_write_only_themselves(spark, tmp_path):
     assert "fresh" not in contents_freqs(index) and "more" not in contents_freqs(index)
     assert {r.term for r in index.vocabulary().collect()} == set(contents_freqs(index))
     assert index.corpus_size().first()[0] == 201 and index.best_terms_all("tf", 1).count() == 201
-    # A writer that stopped before the frequencies: they are counted from the rows.
-    (tmp_path / "index/v000001/doc_freq/batch=000002/_SUCCESS").unlink()
+    assert index.field_stats().collect() == fresh.field_stats().collect()
+    # A writer that stopped before the frequencies or sums: they are counted from the rows.
+    for table in ("doc_freq", "field_sums"):
+        (tmp_path / f"index/v000001/{table}/batch=000002/_SUCCESS").unlink()
     assert contents_freqs(TextIndex(spark, folder)) == contents_freqs(fresh)
+    assert TextIndex(spark, folder).field_stats().collect() == fresh.field_stats().collect()
+
+
+def test_statistics_of_an_index_read_no_document(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [("/a", "one two two", "en"), ("/b", None, None), ("/c", "", "de")], "path string, contents string, `la.ng` string"
+    )
+    TextIndex.write(docs, str(tmp_path / "index"))
+    index = TextIndex.write(docs.withColumn("path", F.lit("/d")).limit(1), str(tmp_path / "index"), APPEND)
+    found = [tuple(r) for r in index.field_stats().collect()]
+    assert found == [("path", 4, 4, 4, 4), ("contents", 4, 2, 6, 4), ("la.ng", 4, 3, 3, 3)]
+    assert [tuple(r) for r in index.field_stats("la.ng").collect()] == found[2:] and index.field_stats("no").collect() == []
+    for report in (index.field_stats(), index.field_stats("contents"), index.corpus_size()):
+        assert all("/field_sums/" in f for f in report.inputFiles())
+    assert index.corpus_size().collect() == [(4,)]
 
 
 def test_unfinished_batches_are_not_read(spark, tmp_path):
