@@ -1,10 +1,12 @@
 """Exact top-k inner products by bounds from segment statistics, coarse to fine.
 
-A vector is cut into 1, 4, 16, ... equal segments. For two vectors, the squared distance is at
-least the sum over segments of n * ((difference of means)**2 + (difference of deviations)**2), so
-with the norms known the inner product has an upper bound. A pair whose bound stays below the
-k-th exact score found so far is out; the others go to the next resolution, and those that
-survive the finest are scored exactly, in integers.
+A vector is cut into 1, 4, 16, ... equal segments, at last into pairs of components. For two vectors,
+the squared distance is at least the sum over segments of n * ((difference of means)**2 + (difference
+of deviations)**2). With the norms known that bounds the inner product from above, and as a norm is made
+of the same means and deviations, the bound is n times the inner product of the statistics themselves.
+A pair whose bound stays below the k-th exact score known for its query is out; the others go to the
+next resolution, and those that survive the finest are scored exactly, in integers. The k-th scores go
+on from one block of rows to the next in a task.
 """
 
 from __future__ import annotations
@@ -21,12 +23,17 @@ TOP = 5
 EVERY = 50
 BLOCK_ROWS = 4096  # candidates that meet a block of queries at once
 QUERY_ROWS = 512
-LEVELS = (1, 4, 16)
+QUERY_BYTES = 64 << 20  # vectors of queries that are broadcast at most
+GROUP_SLOTS = 16  # blocks of queries, and
+GROUP_BLOCKS = 32  # blocks of rows, that meet under one key beyond that
+HELD_SLOTS = 4096  # blocks of queries whose k-th scores a task remembers
+SPARSE = 0.1  # share of pairs below which they are multiplied one by one
+MOST = 2**63 - 1
 _PACKED = "block bigint, width int, n int, ids binary, vectors binary"
 
 
 def _quantize(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Places of the usable vectors and their components as floor(256 * x)."""
+    """Places of the usable vectors and their components as floor(256 * x), at the ends of 64 bits if beyond them."""
     if not len(column):
         return np.zeros(0, np.int64), []
     lists = column.cast(pa.large_list(pa.float64()))
@@ -37,8 +44,11 @@ def _quantize(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     bad = np.concatenate([[0], np.cumsum(~good)])
     present = ~np.array(lists.is_null().to_numpy(zero_copy_only=False), bool)
     usable = np.flatnonzero(present & (bad[offsets[1:]] == bad[offsets[:-1]]))
-    with np.errstate(invalid="ignore"):
-        whole = np.floor(np.where(good, values, 0) * 256).astype(np.int64)
+    with np.errstate(over="ignore"):
+        scaled = np.floor(np.where(good, values, 0) * 256)
+    inside = np.abs(scaled) < 2.0**63
+    whole = np.where(inside, scaled, 0).astype(np.int64)
+    whole[~inside] = np.where(scaled[~inside] > 0, MOST, -MOST - 1)
     return usable, [whole[offsets[i] : offsets[i + 1]] for i in usable]
 
 
@@ -72,7 +82,12 @@ def _pack_batches(size: int):
 
 
 def levels_of(width: int) -> list[int]:
-    return [n for n in LEVELS if width and width % n == 0 and n < width]
+    """Numbers of segments: powers of four that divide the width, then half of it."""
+    found, n = [], 1
+    while width >= 2 * n and width % n == 0:
+        found.append(n)
+        n *= 4
+    return found + [width // 2] if width > 3 and width % 2 == 0 and found[-1] < width // 2 else found
 
 
 def statistics(vectors: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -81,58 +96,102 @@ def statistics(vectors: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarr
     return parts.mean(axis=2), parts.std(axis=2)
 
 
-def _search(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray, top: int):
-    """For each query the best ``top`` rows: (query place, vec_id, score) arrays.
+def sketch(vectors: np.ndarray, segments: int) -> np.ndarray:
+    """Statistics scaled so that the inner product of two sketches bounds that of their vectors."""
+    scale = np.sqrt(vectors.shape[1] // segments)
+    return np.concatenate(statistics(vectors, segments), axis=1) * scale
 
-    ``own`` holds, for each query, its place among the rows, or -1.
+
+def _products(a: np.ndarray, b: np.ndarray, alive: np.ndarray | None, pairs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Inner products of pairs, in their order: those that are alive, or any given in its place."""
+    if alive is not None and len(pairs[0]) > SPARSE * alive.size:
+        return (a @ b.T)[alive]
+    out = np.empty(len(pairs[0]))
+    for at in range(0, len(out), 1 << 16):
+        i, j = (p[at : at + (1 << 16)] for p in pairs)
+        out[at : at + (1 << 16)] = np.einsum("ij,ij->i", a[i], b[j])
+    return out
+
+
+def _exact(queries: np.ndarray, rows: np.ndarray, alive: np.ndarray | None, pairs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Integer inner products of pairs, at the ends of 64 bits if beyond them."""
+    largest = [max(abs(int(m.max(initial=0))), abs(int(m.min(initial=0)))) for m in (queries, rows)]
+    bound = largest[0] * largest[1] * queries.shape[1]
+    if bound < 2**53:  # sums in doubles are exact integers
+        return _products(queries.astype(np.float64), rows.astype(np.float64), alive, pairs).astype(np.int64)
+    out = np.empty(len(pairs[0]), np.int64)
+    for at in range(0, len(out), 1 << 14):
+        i, j = (p[at : at + (1 << 14)] for p in pairs)
+        if bound <= MOST:
+            out[at : at + len(i)] = (queries[i] * rows[j]).sum(axis=1)
+        else:
+            sums = (queries[i].astype(object) * rows[j].astype(object)).sum(axis=1)
+            out[at : at + len(i)] = [min(max(int(n), -MOST - 1), MOST) for n in sums]
+    return out
+
+
+def _search(
+    queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, own: np.ndarray, top: int, floors: np.ndarray, left: list | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each query its best ``top`` of these rows that reach its floor: (query place, row place, score).
+
+    ``own`` holds, for each query, its place among the rows, or -1. ``floors`` holds the k-th best score
+    known for each query, and is raised. ``left`` takes the number of pairs alive after each level.
     """
-    width = queries.shape[1]
+    alive = np.ones((len(queries), len(rows)), bool)
+    inside = np.flatnonzero(own >= 0)
+    alive[inside, own[inside]] = False
+    levels = levels_of(queries.shape[1])
     a, b = queries.astype(np.float64), rows.astype(np.float64)
-    norms_a, norms_b = (a * a).sum(axis=1), (b * b).sum(axis=1)
-    stats = [(n, statistics(a, n), statistics(b, n)) for n in levels_of(width)]
-    small = np.abs(queries).max(initial=0) < 2**20 and np.abs(rows).max(initial=0) < 2**20 and width < 2**10
-    out = []
-    for q in range(len(queries)):
-        alive = np.arange(len(rows))
-        if own[q] >= 0:
-            alive = np.delete(alive, own[q])
-        floor = -np.inf
-        for n, (mean_a, dev_a), (mean_b, dev_b) in stats:
-            if len(alive) <= top:
-                break
-            far = ((mean_b[alive] - mean_a[q]) ** 2 + (dev_b[alive] - dev_a[q]) ** 2).sum(axis=1) * (width // n)
-            bound = (norms_a[q] + norms_b[alive] - far) / 2
-            # The most promising rows give a k-th best score; nothing under it can be in the result.
-            first = alive[np.argpartition(-bound, top - 1)[:top]]
-            exact = b[first] @ a[q] if small else (rows[first] * queries[q]).sum(axis=1).astype(np.float64)
-            floor = max(floor, exact.min())
-            slack = 1e-9 * (norms_a[q] + norms_b[alive]) + 1e-6  # rounding of the bound
-            alive = alive[bound + slack >= floor]
-        # Components below 2**20 and fewer than 2**10 of them: sums in doubles are exact integers.
-        score = (b[alive] @ a[q]).astype(np.int64) if small else (rows[alive] * queries[q]).sum(axis=1)
-        best = np.lexsort((ids[alive], -score))[:top]
-        out.append((np.full(len(best), query_ids[q]), ids[alive][best], score[best], np.full(len(best), q)))
-    return [np.concatenate(c) for c in zip(*out)]
+    slack = 1e-9 * ((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :]) + 1e-6  # rounding of the bounds
+    new = np.flatnonzero(np.isneginf(floors))
+    if levels and len(new) and len(rows) > top + 1:
+        # Without a floor: the rows of the best bounds at the finest level give one.
+        bounds = sketch(a[new], levels[-1]) @ sketch(b, levels[-1]).T
+        bounds[~alive[new]] = -np.inf
+        first = np.argpartition(-bounds, top - 1, axis=1)[:, :top]
+        pairs = np.repeat(new, top), first.ravel()
+        floors[new] = _exact(queries, rows, None, pairs).reshape(len(new), top).min(axis=1)
+    for n in levels:
+        pairs = np.nonzero(alive)
+        bounds = _products(sketch(a, n), sketch(b, n), alive, pairs) + slack[pairs]
+        # Scores stop at the ends of 64 bits, and so do bounds.
+        alive[pairs] = np.maximum(bounds, -(2.0**63)) >= floors[pairs[0]]
+        if left is not None:
+            left.append(int(alive.sum()))
+    pairs = np.nonzero(alive)
+    score = _exact(queries, rows, alive, pairs)
+    order = np.lexsort((ids[pairs[1]], -score.astype(object) if (score == -MOST - 1).any() else -score, pairs[0]))
+    query = pairs[0][order]
+    rank = np.arange(len(order)) - np.searchsorted(query, query)
+    kept = order[rank < top]
+    last = order[rank == top - 1]
+    np.maximum.at(floors, pairs[0][last], score[last].astype(np.float64))
+    return pairs[0][kept], pairs[1][kept], score[kept]
 
 
 def _score_batches(top: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                width = row["width"]
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                width, slot = row["width"], (row["width"], row["q_slot"])
                 ids, places = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["q_places"], "<i8")
                 vectors = np.frombuffer(row["vectors"], "<i8").reshape(len(ids), width)
                 query_ids, blocks = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["q_blocks"], "<i8")
                 queries = np.frombuffer(row["q_vectors"], "<i8").reshape(len(query_ids), width)
                 own = np.where(blocks == row["block"], places, -1)
-                found = _search(queries, query_ids, vectors, ids, own, top)
-                who = [f"{blocks[q]}:{places[q]}" for q in found[3]]
+                if slot not in held and len(held) >= HELD_SLOTS:
+                    held.clear()
+                floors = held.setdefault(slot, np.full(len(queries), -np.inf))
+                query, found, scores = _search(queries, vectors, ids, own, top, floors)
                 yield pa.record_batch(
                     {
-                        "query": pa.array(who, pa.string()),
-                        "query_id": pa.array(found[0], pa.int64()),
-                        "vec_id": pa.array(found[1], pa.int64()),
-                        "score": pa.array(found[2], pa.int64()),
+                        "query": pa.array([f"{blocks[q]}:{places[q]}" for q in query.tolist()], pa.string()),
+                        "query_id": pa.array(query_ids[query], pa.int64()),
+                        "vec_id": pa.array(ids[found], pa.int64()),
+                        "score": pa.array(scores, pa.int64()),
                     }
                 )
 
@@ -165,6 +224,7 @@ def _block_of_queries(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table(
         {
             "width": pa.array([key[0].as_py()], pa.int32()),
+            "q_slot": pa.array([key[1].as_py()], pa.int64()),
             "q_blocks": pa.array([join("q_block")], pa.binary()),
             "q_places": pa.array([join("q_place")], pa.binary()),
             "q_ids": pa.array([join("q_id")], pa.binary()),
@@ -181,7 +241,11 @@ def top_k(vectors: DataFrame, top: int = TOP, every: int = EVERY, key: str = "ve
     only vectors of their width. Rows that repeat are rows of their own: each is a query, and a candidate
     for the others. Fewer candidates than ``top`` give fewer rows; an empty table gives none.
 
-    Queries are dealt into blocks of bounded size, and each block of queries meets each block of rows.
+    Components and scores beyond 64 bits stop at their ends, as Spark's casts do.
+
+    Queries are dealt into blocks of bounded size, and each block of queries meets each block of rows: by
+    broadcast while the counted bytes of all queries allow it, else by a join of groups of both, whose keys
+    hold a bounded number of blocks.
     """
     rows = vectors.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     packed = materialize(rows.mapInArrow(_pack_batches(BLOCK_ROWS), _PACKED), "vectors")
@@ -189,15 +253,30 @@ def top_k(vectors: DataFrame, top: int = TOP, every: int = EVERY, key: str = "ve
         _query_batches(every), "width int, q_block bigint, q_place bigint, q_id bigint, q_vector binary"
     )
     picked = materialize(picked, "queries")
-    blocks = max(1, -(-picked.count() // QUERY_ROWS))
-    dealt = picked.withColumn("q_slot", F.pmod(F.xxhash64("q_block", "q_place"), F.lit(blocks)))
+    size = F.coalesce(F.sum(F.octet_length("q_vector")), F.lit(0))
+    asked = picked.agg(F.count("*").alias("rows"), size.alias("bytes")).first()
+    slots = max(1, -(-asked["rows"] // QUERY_ROWS))
+    dealt = picked.withColumn("q_slot", F.pmod(F.xxhash64("q_block", "q_place"), F.lit(slots).cast("bigint")))
     queries = dealt.groupBy("width", "q_slot").applyInArrow(
-        _block_of_queries, "width int, q_blocks binary, q_places binary, q_ids binary, q_vectors binary"
+        _block_of_queries, "width int, q_slot bigint, q_blocks binary, q_places binary, q_ids binary, q_vectors binary"
     )
-    # A block of queries against all rows, in blocks: an equi-join on the width of the vectors.
-    spread = packed.repartition(max(8, 2 * vectors.sparkSession.sparkContext.defaultParallelism), "block")
-    scored = spread.join(queries, "width").select("block", "width", "ids", "vectors", "q_blocks", "q_places", "q_ids", "q_vectors")
-    found = scored.mapInArrow(_score_batches(top), "query string, query_id bigint, vec_id bigint, score bigint")
+    met = _meet(packed, queries, slots, asked["bytes"])
+    found = met.mapInArrow(_score_batches(top), "query string, query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _meet(packed: DataFrame, queries: DataFrame, slots: int, query_bytes: int) -> DataFrame:
+    """Each block of rows with each block of queries of its width."""
+    spark = packed.sparkSession
+    blocks = packed.count()
+    columns = ["block", "width", "ids", "vectors", "q_slot", "q_blocks", "q_places", "q_ids", "q_vectors"]
+    if query_bytes <= QUERY_BYTES:
+        tasks = max(2 * spark.sparkContext.defaultParallelism, -(-blocks // GROUP_BLOCKS))
+        return packed.repartition(tasks, "block").join(F.broadcast(queries), "width").select(*columns)
+    parts, groups = max(1, -(-blocks // GROUP_BLOCKS)), -(-slots // GROUP_SLOTS)
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = packed.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int")).withColumn("group", each(groups))
+    right = queries.withColumn("group", F.pmod("q_slot", F.lit(groups)).cast("int")).withColumn("part", each(parts))
+    return left.join(right, ["width", "group", "part"]).select(*columns)

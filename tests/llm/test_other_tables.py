@@ -1,8 +1,10 @@
 """URL filter, exact search, components, and the registered queries and pipeline."""
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -112,27 +114,65 @@ def test_character_models(spark):
     assert all(abs(r.s - expected[r.url]) < 2e-6 for r in scored)
 
 
-def test_top_k(spark):
+def whole(x):
+    """floor(256 * x) within 64 bits."""
+    return min(max(math.floor(256 * Fraction(x)), -(2**63)), 2**63 - 1)
+
+
+def best_of(rows, top=5):
+    """Brute force over (vec_id, vector) rows."""
+    good = lambda v: v is not None and all(x is not None and math.isfinite(x) for x in v)
+    usable = [(i, [whole(float(np.float32(x))) for x in v]) for i, v in rows if i is not None and good(v)]
+    expected = Counter()
+    for k, (i, v) in enumerate(usable):
+        if i % 50 == 0:
+            others = [(j, w) for m, (j, w) in enumerate(usable) if m != k and len(w) == len(v)]
+            scores = [(j, min(max(sum(map(int.__mul__, v, w)), -(2**63)), 2**63 - 1)) for j, w in others]
+            scores.sort(key=lambda s: (-s[1], s[0]))
+            expected.update((i, r + 1, j, n) for r, (j, n) in enumerate(scores[:top]))
+    return expected
+
+
+@pytest.mark.parametrize("query_bytes", [topk.QUERY_BYTES, 0])
+def test_top_k(spark, monkeypatch, query_bytes):
+    monkeypatch.setattr(topk, "QUERY_BYTES", query_bytes)
+    for name, n in (("BLOCK_ROWS", 16), ("QUERY_ROWS", 2), ("GROUP_SLOTS", 2), ("GROUP_BLOCKS", 3)):
+        monkeypatch.setattr(topk, name, n)
     rng = np.random.default_rng(0)
     rows = [(int(k), rng.normal(0, 0.2, 16).tolist()) for k in range(0, 400)]
     rows += [(450, None), (500, [float("nan")] * 16), (550, [0.1] * 15 + [None]), (600, [0.1] * 8), (None, [0.1] * 16)]
     rows += [(650, rows[3][1]), (651, rows[3][1]), (700, [float("inf")] + [0.0] * 15), (750, []), (800, [0.0] * 16), (800, [0.0] * 16)]
+    rows += [(850, [0.5, 0.25, 1.0]), (851, [0.5, -0.25, 1.0]), (900, [2.0]), (901, [-1.0]), (902, [3.0])]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id bigint, embedding array<float>, rank string, block int")
-    found = Counter(map(tuple, topk.top_k(df).collect()))
-    usable = [
-        (i, np.floor(256 * np.array(v, np.float32).astype(np.float64)).astype(int))
-        for i, v in rows
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
-    ]
-    expected = Counter()
-    for k, (i, v) in enumerate(usable):
-        if i % 50 == 0:
-            scores = sorted((-int(v @ w), j) for m, (j, w) in enumerate(usable) if m != k and len(w) == len(v))
-            expected.update((i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:5]))
-    assert found == expected
+    assert Counter(map(tuple, topk.top_k(df).collect())) == best_of(rows)
     assert topk.top_k(df.limit(0)).collect() == []
 
 
+def test_top_k_of_huge_components(spark):
+    values = [1e20, -1e20, 1e15, -3e12, 7.5, 0.0, 3e38]
+    rng = np.random.default_rng(4)
+    rows = [(k * 10, rng.choice(values, 4).tolist()) for k in range(60)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    assert Counter(map(tuple, topk.top_k(df).collect())) == best_of(rows)
+
+
+def test_bounds_drop_rows():
+    """Vectors in clusters: nearly all pairs are out before any exact score, and floors go on to the next block."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(0, 100, (20, 64))
+    rows = np.floor(centres[rng.integers(0, 20, 4000)] + rng.normal(0, 5, (4000, 64))).astype(np.int64)
+    queries, own, floors = rows[:50], np.arange(50), np.full(50, -np.inf)
+    left = []
+    for half, at in ((rows[:2000], own), (rows[2000:], np.full(50, -1))):
+        topk._search(queries, half, np.arange(2000), at, 5, floors, left)
+    assert sorted(left[:4], reverse=True) == left[:4]
+    assert left[3] < 0.1 * 50 * 2000 and left[7] <= left[3]
+    scores = queries @ rows.T
+    scores[own, own] = np.iinfo(np.int64).min
+    assert (floors <= np.sort(scores, axis=1)[:, -5]).all()
+    assert [topk.levels_of(w) for w in (0, 1, 2, 3, 4, 16, 64, 6)] == [[], [], [1], [1], [1, 2], [1, 4, 8], [1, 4, 16, 32], [1, 3]]
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(1)
     a, b = rng.integers(-256, 256, (50, 64)), rng.integers(-256, 256, (50, 64))
