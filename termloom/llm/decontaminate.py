@@ -239,10 +239,14 @@ def windows(words_of_item: list[bytes], size: int = WINDOW) -> list[list[bytes]]
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
-    """Items in blocks of about BLOCK_WORDS words, or one longer item; one block for most tests."""
-    size = benchmark.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    """Different items in blocks of about BLOCK_WORDS words, or one longer item; one block for most tests.
+
+    Dealt by id and text, so that an id of many texts is spread; an item that repeats comes once.
+    """
+    items = benchmark.filter(F.length("text") > 0).select("item_id", "text").distinct()
+    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-size // (4 * BLOCK_WORDS)))
-    dealt = benchmark.select("item_id", "text", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).alias("block"))
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     for block in range(blocks):
         yield [(r["item_id"], r["text"]) for r in dealt.filter(F.col("block") == block).collect()]
 
