@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from termloom.llm.tokens import PieceEncoder
-from termloom.llm.words import texts_of
+from termloom.llm.words import chunk_number, texts_of
 from termloom.session import materialize
 
 CAPACITY = 4096
@@ -30,11 +30,13 @@ _PIECES = (
     "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, spread int"
 )
 _BLOCK = 4 << 20
+_STEP = 0x9E3779B1  # an odd number, so that near places give far values
 
 
 def _piece_batches(capacity: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder()
+        place = chunk_number(0) % 1_000_003  # rows that repeat are told apart by their place in all tasks
         end = np.array([END], "<u4").tobytes()
         width = 4 * capacity
         for batch in batches:
@@ -49,10 +51,11 @@ def _piece_batches(capacity: int, with_ids: bool):
                 ids: list[bytes] = []
                 for doc, found in zip(docs[at:stop], encoder.text_ids(raws[at:stop])):
                     whole = found + end
+                    place += 1
                     for k, a in enumerate(range(0, len(whole), width)):
                         some = whole[a : a + width]
                         crc = zlib.crc32(some)
-                        rows.append((doc, k, a // 4, len(some) // 4, crc, crc & 0x7FFFFFFF))
+                        rows.append((doc, k, a // 4, len(some) // 4, crc, (crc + place * _STEP) & 0x7FFFFFFF))
                         if with_ids:
                             ids.append(some)
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()))]
@@ -192,7 +195,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     Rows that repeat are documents of their own. Null ids stay null and are packed like others.
     Only doc_id and text are read, so other columns may have any name. No rows give no rows.
-    Ties between equal lengths go by doc_id and piece within a salt of the hash of both.
+    Ties between equal lengths go by doc_id and piece within a salt of the hash of both and of the row's place.
     """
     cut = materialize(pieces(docs, capacity), "pieces")
     lengths = cut.groupBy("length").count().collect()  # at most ``capacity`` rows
