@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from termloom.llm import decontaminate, lm, minhash, packing, quality, suffix, token_counts, toxicity
+from termloom.llm import classify, decontaminate, lm, minhash, packing, quality, suffix, token_counts, toxicity
 from termloom.llm.tokens import PieceEncoder
 
 SCHEMA = (
@@ -175,6 +175,22 @@ def test_decontamination(spark, documents, texts, empty, monkeypatch, block_word
     )
 
 
+def test_items_of_one_id_are_dealt_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 100)
+    rows = [(None, f"word{k} " * 20) for k in range(60)] + [(7, "same text " * 10)] * 500 + [(8, None), (8, "")]
+    blocks = list(decontaminate._blocks(spark.createDataFrame(rows, "item_id bigint, text string")))
+    assert Counter(i for b in blocks for i in b) == Counter(set(rows[:61]))
+    assert max(map(len, blocks)) <= 15 and len(blocks) > 10
+
+
+def test_rows_that_repeat_spread_over_salts(spark):
+    docs = spark.createDataFrame([(None, None)] * 4000, "doc_id bigint, text string").repartition(3)
+    pieces = packing.pieces(docs)
+    assert pieces.select("spread").distinct().count() > 3900
+    rows = packing.pack(docs).collect()
+    assert len(rows) == 4000 and len({(r.sequence_id, r.offset) for r in rows}) == 4000
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "a x x b"), (2, "b a"), (3, "a x x x b"), (4, "a"), (5, "c b. A")], EMPTY)
     index = decontaminate.build_index(docs, {b"a": 0, b"b": 1})
@@ -482,6 +498,20 @@ def test_classifiers(judged, empty, score, label):
     assert len({r.score for r in score(docs, labels.limit(0)).collect()}) == 1
 
 
+def test_training_samples_are_bounded(spark, monkeypatch):
+    ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % classify.FOLDS]
+    texts = [(i, "x" * 10) for i in ids] + [(ids[0], "y" * 10)] * 300 + [(ids[0], None), (ids[1], "z" * 99), (None, "n")]
+    docs = spark.createDataFrame([(*t, 1) for t in texts], "doc_id bigint, text string, label int")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids] + [(ids[0], 1), (None, 1), (2**40, 1)], "doc_id bigint, quality int")
+    found = classify.training_rows(docs, labels, "quality").collect()
+    assert sorted((r.text, r.label) for r in found) == sorted(("x" * 10, 1 if i == ids[0] else i % 2) for i in ids)
+    assert classify.training_rows(docs, labels, "quality", 5).count() == 5
+    monkeypatch.setattr(classify, "SAMPLE_BYTES", 75)
+    assert classify.training_rows(docs, labels, "quality").count() == 7
+    monkeypatch.setattr(classify, "TEXT_BYTES", 9)
+    assert classify.training_rows(docs, labels, "quality").collect() == []
+
+
 def test_good_documents_keep_their_columns(judged):
     docs, labels, known = judged
     kept = quality.keep_good(docs, labels)
