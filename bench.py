@@ -44,7 +44,7 @@ HEADLINE = (
 
 def best_terms_small_broadcast(spark, sf_dir):
     index = stored_index(spark, sf_dir)
-    weights = best.term_weights(index.table, index.doc_freq(["contents"]), max_broadcast=1000)
+    weights = best.leading_weights(index.table, index.doc_freq(["contents"]), "tfxidf", TOP_OF_EACH, max_broadcast=1000)
     return best.best_terms_all(weights, "tfxidf", TOP_OF_EACH)
 
 

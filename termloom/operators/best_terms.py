@@ -15,6 +15,8 @@ WEIGHT_COLUMNS = ("term", "tf", "df", "idf", "tfxidf")
 _BY_TERM = (("term", False),)
 _BY_TF = (("tf", True),) + _BY_TERM
 _BY_DF = (("df", True),) + _BY_TF
+HEAD_TERMS, HEAD_LEVELS = 1024, 8  # terms that a document's row knows the df of, roughly
+
 RANKINGS = {"tf": _BY_TF, "df": _BY_DF, "tfxidf": (("tfxidf", True),) + _BY_DF}
 
 
@@ -43,32 +45,40 @@ def _weigh(rows: DataFrame, size: Column, idf_mode: str) -> DataFrame:
     )
 
 
-def attach_doc_freq(vectors: DataFrame, freqs: DataFrame, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, term, freq) rows with the df of their term; give ``freqs`` as a table.
+def _split(freqs: DataFrame, max_broadcast: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """(common, rare, largest df of a rare term): the terms to broadcast and the others, None if there are none.
 
-    A vocabulary of at most ``max_broadcast`` terms is broadcast. Beyond that the
-    terms part in two. With P rows in all, a term counts as common if it holds
-    P / max_broadcast of them or more; there can be no more than max_broadcast
-    common terms, so they are broadcast and the bulk of the rows never moves.
-    The rows of the other terms are shuffled by term, and none of those terms is
-    heavy enough to load one task.
+    With P rows in all, a term counts as common if it holds P / max_broadcast of them or more; there can
+    be no more than max_broadcast common terms. None of the others is heavy enough to load one task.
     """
-    if "field" in freqs.columns:
-        freqs = freqs.filter(F.col("field") == CONTENTS)
-    freqs = freqs.select("term", "df")
     size = F.coalesce(F.sum(F.octet_length("term")), F.lit(0))
     found = freqs.agg(F.count("*").alias("terms"), F.sum("df").alias("rows"), size.alias("bytes")).first()
     if found["terms"] <= max_broadcast and found["bytes"] <= BROADCAST_BYTES:
-        return vectors.join(F.broadcast(freqs), "term")
+        return freqs, None, 0
     # Long terms (over a kilobyte there is none) lower the number that may be broadcast.
     most = min(max_broadcast, max(1, BROADCAST_BYTES * found["terms"] // max(found["bytes"], 1)), BROADCAST_BYTES >> 10)
     is_common = F.col("df") * most >= F.lit(found["rows"])
-    common = freqs.filter(is_common)
-    rare = freqs.filter(~is_common)
+    return freqs.filter(is_common), freqs.filter(~is_common), (found["rows"] - 1) // most
+
+
+def _of_contents(freqs: DataFrame) -> DataFrame:
+    if "field" in freqs.columns:
+        freqs = freqs.filter(F.col("field") == CONTENTS)
+    return freqs.select("term", "df")
+
+
+def attach_doc_freq(vectors: DataFrame, freqs: DataFrame, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
+    """(doc_id, term, freq) rows with the df of their term; give ``freqs`` as a table.
+
+    A vocabulary of at most ``max_broadcast`` terms is broadcast. Beyond that the common terms are
+    broadcast, so the bulk of the rows never moves, and the rows of the others are shuffled by term.
+    """
+    common, rare, _ = _split(_of_contents(freqs), max_broadcast)
     by_broadcast = vectors.join(F.broadcast(common), "term")
+    if rare is None:
+        return by_broadcast
     rest = vectors.join(F.broadcast(common.select("term")), "term", "left_anti")
-    by_shuffle = rest.join(rare, "term")
-    return by_broadcast.unionByName(by_shuffle)
+    return by_broadcast.unionByName(rest.join(rare, "term"))
 
 
 def term_weights(
@@ -129,6 +139,75 @@ def leading_by_tf(indexed: DataFrame, top: int) -> DataFrame:
     return first.select("doc_id", F.col("first.term").alias("terms"), F.col("first.freq").alias("freqs"))
 
 
+def frequent_levels(freqs: DataFrame) -> list[tuple[list[str], int, int]]:
+    """The most frequent terms in levels of falling df, each with its least and largest df; the last level, of no
+    names, stands for all other terms. Each level has twice the terms of the one before, HEAD_TERMS at most in all."""
+    head = _of_contents(freqs).orderBy(F.desc("df"), "term").limit(HEAD_TERMS).collect()
+    ends = [HEAD_TERMS >> k for k in range(HEAD_LEVELS - 1, -1, -1)]
+    parts = [part for a, b in zip([0, *ends], ends) if (part := head[a:b])]
+    levels = [([r["term"] for r in part], part[-1]["df"], part[0]["df"]) for part in parts]
+    return [*levels, ([], 1, levels[-1][1] if levels else 1)]
+
+
+def could_lead(
+    indexed: DataFrame, levels: list, rare_df: int, order: str, top: int, idf_mode: str = "default"
+) -> DataFrame:
+    """(doc_id, term, freq) of the terms that could be among their document's first ``top`` if their df were ``rare_df`` or less.
+
+    Decided in each document's row. A term is worth at least what the least df of its level allows; the
+    ``top``-th largest of these values is a floor that a term must reach with the best df it may have.
+    """
+    size = F.lit(indexed.count())
+
+    def span(least: int, most: int) -> tuple[Column, Column]:
+        ends = [F.lit(float(n)) if order == "df" else idf(F.lit(n), size, idf_mode) for n in (least, most)]
+        return F.least(*ends), F.greatest(*ends)
+
+    worth = lambda cell, bound: bound if order == "df" else tf(cell["freqs"]) * bound
+
+    def low(cell: Column) -> Column:
+        *named, (_, least, most) = levels
+        bound = span(least, most)[0]
+        for names, least, most in reversed(named):
+            bound = F.when(cell["terms"].isin(names), span(least, most)[0]).otherwise(bound)
+        return worth(cell, bound)
+
+    best_df = span(1, max(rare_df, 1))[1]
+    cells = F.arrays_zip("terms", "freqs")
+    floor = F.get(F.sort_array(F.transform(cells, low), asc=False), F.lit(max(top, 1) - 1))
+    # A document of fewer terms has no floor. The array of one element computes it once for all terms.
+    reach = lambda f: F.filter(cells, lambda c: f.isNull() | (worth(c, best_df) >= f))
+    kept = F.flatten(F.transform(F.array(floor), reach))
+    return indexed.select("doc_id", F.inline(kept).alias("term", "freq"))
+
+
+def leading_weights(
+    indexed: DataFrame,
+    freqs: DataFrame,
+    order: str,
+    top: int,
+    idf_mode: str = "default",
+    max_broadcast: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Rows of ``term_weights`` that hold the first ``top`` terms of every document by ``order``, for ``best_terms_all``.
+
+    By tf, the vectors are cut before they meet df. By df and tfxidf, terms that are broadcast stay where they
+    are, and of the others only those move that ``could_lead``. Zero or less gives no rows.
+    """
+    ranking(order)
+    if top <= 0:
+        return term_weights(indexed.limit(0), freqs, idf_mode, max_broadcast)
+    if order == "tf":
+        return term_weights(leading_by_tf(indexed, top), freqs, idf_mode, max_broadcast)
+    common, rare, rare_df = _split(_of_contents(freqs), max_broadcast)
+    rows = term_vectors(indexed).drop("field").join(F.broadcast(common), "term")
+    if rare is not None:
+        few = could_lead(indexed, frequent_levels(freqs), rare_df, order, top, idf_mode)
+        few = few.join(F.broadcast(common.select("term")), "term", "left_anti")
+        rows = rows.unionByName(few.join(rare, "term"))
+    return _weigh(rows, n_docs(indexed), idf_mode)
+
+
 def best_terms_all(weights: DataFrame, order: str, top: int) -> DataFrame:
     """The first ``top`` terms of every document, with their rank from 1.
 

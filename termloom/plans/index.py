@@ -335,10 +335,8 @@ class TextIndex:
         return best.term_weights(self.table, self.doc_freq([terms.CONTENTS]), idf_mode)
 
     def best_terms_all(self, order: str = "tfxidf", top: int = 10, idf_mode: str = "default") -> DataFrame:
-        rows = self.table
-        if order == "tf":
-            rows = best.leading_by_tf(rows, top)
-        return best.best_terms_all(best.term_weights(rows, self.doc_freq([terms.CONTENTS]), idf_mode), order, top)
+        weights = best.leading_weights(self.table, self.doc_freq([terms.CONTENTS]), order, top, idf_mode)
+        return best.best_terms_all(weights, order, top)
 
     def similar_terms(self, term: str, top: int, field: str = terms.CONTENTS) -> DataFrame:
         return similar.similar_terms(self.vocabulary(field), term, top)

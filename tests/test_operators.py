@@ -205,6 +205,38 @@ def test_best_terms_follow_three_stable_sorts(docs, order):
         assert len(by_doc[doc]) == len(expected)
 
 
+@pytest.mark.parametrize("limit", [12, 1])
+@pytest.mark.parametrize("mode", ["default", "classic"])
+@pytest.mark.parametrize("order", ["tf", "df", "tfxidf"])
+def test_leading_weights_give_the_same_best_terms(docs, monkeypatch, order, mode, limit):
+    """Whatever a floor drops is among no document's best terms; levels of one, two and three terms."""
+    monkeypatch.setattr(best, "HEAD_TERMS", 6)
+    monkeypatch.setattr(best, "HEAD_LEVELS", 3)
+    full = terms.with_vectors(docs([*texts(4, 40), "", "once", *texts(4, 3)]), positions=False).cache()
+    freqs = terms.doc_freq(full).cache()
+    for top in (3, 100, 0):
+        expected = best.best_terms_all(best.term_weights(full, freqs, mode), order, top)
+        found = best.best_terms_all(best.leading_weights(full, freqs, order, top, mode, limit), order, top)
+        assert rows(found) == rows(expected)
+
+
+def test_few_rare_terms_could_lead(spark, sf_dir):
+    """By df and tfxidf, most rows of rare terms stay in their documents."""
+    texts_of_all = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "text AS contents")
+    full = terms.with_vectors(texts_of_all, positions=False).cache()
+    freqs = terms.doc_freq(full).cache()
+    common, rare, rare_df = best._split(best._of_contents(freqs), 4000)
+    names = F.broadcast(rare.select("term"))
+    total = terms.term_vectors(full).join(names, "term").count()
+    levels = best.frequent_levels(freqs)
+    moved = {
+        order: best.could_lead(full, levels, rare_df, order, 5).join(names, "term").count() for order in ("df", "tfxidf")
+    }
+    assert total > 1000
+    assert moved["df"] * 50 < total and moved["tfxidf"] * 5 < total
+    full.unpersist(), freqs.unpersist()
+
+
 def test_top_is_clipped(docs):
     frame = docs(["a b c", "z"])
     one = best.document_weights(terms.with_vectors(frame), frame, 0)
