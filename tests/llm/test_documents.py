@@ -565,3 +565,111 @@ def test_truncation_keeps_every_row(spark):
     found = token_counts.truncate(spark.createDataFrame(rows, "doc_id bigint, text string"), 2).collect()
     expected = [(None, "one two"), (1, "four five"), (1, "four five"), (1, "seven"), (2, ""), (3, ""), (None, "")]
     assert sorted(((r.doc_id, r.text.strip()) for r in found), key=repr) == sorted(expected, key=repr)
+
+
+def test_quality_model_equals_plain_updates():
+    """Follow the regularised leader coordinate by coordinate, in plain Python."""
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice(["Sun", "sea", "of", "$$", "x1", "é"]) for _ in range(rnd.randint(0, 30))).encode() for _ in range(70)]
+    labels = [int(b"$$" not in t) for t in texts]
+    alone = lambda t: quality.features(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0]
+
+    def vector(text):
+        found = alone(text)
+        counts = Counter(found[found >= 0].tolist())
+        return {i: c * quality._SCALE / max(1, len(found)) for i, c in counts.items()} | {1 << quality.BITS: 1.0}
+
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= quality._L1:
+            return 0.0
+        return -(z[i] - math.copysign(quality._L1, z[i])) / ((quality._BETA + math.sqrt(n[i])) / quality._ALPHA + quality._L2)
+
+    sigmoid = lambda x: 1 / (1 + math.exp(-sum(weight(i) * v for i, v in x.items())))
+    vectors = [vector(t) for t in texts]
+    order = np.random.default_rng(7).permutation(len(texts)).tolist()
+    for doc in order * quality.EPOCHS:
+        x = vectors[doc]
+        error = sigmoid(x) - labels[doc]
+        for i, before in {i: weight(i) for i in x}.items():
+            g = error * x[i]
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality._ALPHA * before
+            n[i] += g * g
+    model = quality.fit(texts, labels)
+    assert set(np.flatnonzero(model)) == {i for i in z if weight(i)}
+    assert all(abs(model[i] - weight(i)) < 1e-6 for i in z)
+    ends = np.cumsum([0] + [len(t) for t in texts])
+    found = quality.scores(np.frombuffer(b"".join(texts), np.uint8), ends, model)
+    assert np.allclose(found, [sigmoid(x) for x in vectors], atol=1e-5)
+
+
+def test_boosted_trees_equal_plain_ones(monkeypatch):
+    """The best cut of each node by trying all of them, rows by rows."""
+    monkeypatch.setattr(toxicity, "TREES", 6)
+    rng = np.random.default_rng(3)
+    x = rng.random((150, 3))
+    y = ((x[:, 0] > 0.4) ^ (x[:, 1] > 0.7) ^ (rng.random(150) < 0.1)).astype(float)
+    edges = [np.linspace(0.1, 0.9, 9), np.linspace(0.05, 0.95, 7), np.array([])]
+    raw = np.zeros(len(y))
+    for _ in range(toxicity.TREES):
+        p = 1 / (1 + np.exp(-raw))
+        value = lambda rows: (y - p)[rows].sum() / ((p * (1 - p))[rows].sum() + 1)  # noqa: E731, B023
+        part = lambda rows: (y - p)[rows].sum() * value(rows)  # noqa: E731, B023
+        heavy = lambda rows: (p * (1 - p))[rows].sum() >= 0.5  # noqa: E731, B023
+
+        def split(rows, depth):
+            cuts = []
+            if depth < toxicity.DEPTH and len(rows) >= 20:
+                for k, e in enumerate(edges):
+                    for cut in e:
+                        left, right = rows[x[rows, k] <= cut], rows[x[rows, k] > cut]
+                        if heavy(left) and heavy(right):
+                            cuts.append((part(left) + part(right) - part(rows), k, cut))  # noqa: B023
+            gain, k, cut = max(cuts, default=(0, 0, 0))
+            if gain <= 1e-6:
+                return [(rows, value(rows))]  # noqa: B023
+            return split(rows[x[rows, k] <= cut], depth + 1) + split(rows[x[rows, k] > cut], depth + 1)
+
+        for rows, v in split(np.arange(len(y)), 0):
+            raw[rows] += toxicity.RATE * v
+    assert np.allclose(toxicity.boosted(x, toxicity.grow(x, y, edges)), raw, atol=1e-9)
+
+
+def test_near_duplicates_of_the_corpus_are_found(spark, sf_dir):
+    """Recall and precision on whole documents, against all pairs."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    pairs = lambda group: combinations(sorted(group), 2)
+    expected = {p for group in classes([tuple(r) for r in docs.collect()]) for p in pairs(i for i, _ in group)}
+    members = defaultdict(list)
+    for r in minhash.near_duplicates(docs).collect():
+        members[r.class_uid].append(r.doc_id)
+    found = {p for group in members.values() for p in pairs(group)}
+    assert expected and found <= expected
+    assert len(found) >= 0.95 * len(expected)
+
+
+def test_pipeline_stages_on_awkward_rows(spark, sf_dir):
+    """Nulls, empty texts, rows that repeat and empty tables, each stage on what the one before kept."""
+    import corpus_pipeline
+
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    prose = " ".join(f"word{k}" for k in range(80))
+    texts = [(1, prose), (1, prose), (2, prose + " end"), (3, None), (4, ""), (None, "some other words"), (None, None), (5, "x" * 3000)]
+    rows = [(i, t, None, "s", None if t is None else len(t)) for i, t in texts]
+    docs, nothing = spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)
+    for name, stage in corpus_pipeline.STAGES:
+        before = [(r.doc_id, r.text) for r in docs.collect()]
+        out = stage(spark, docs, sf_dir)
+        assert stage(spark, nothing, sf_dir).collect() == []
+        if name == "packing":
+            pieces = Counter(r.doc_id for r in out.collect() if r.piece == 0)
+            assert pieces == Counter(i for i, _ in before)
+            break
+        assert out.columns == docs.columns
+        after = [(r.doc_id, r.text) for r in out.collect()]
+        if name == "near_duplicates":
+            assert len(after) == len(classes(before))
+        else:
+            assert Counter(i for i, _ in after) == Counter(i for i, _ in before)
+        docs = spark.createDataFrame(out.collect(), schema)
