@@ -15,7 +15,7 @@ WEIGHT_COLUMNS = ("term", "tf", "df", "idf", "tfxidf")
 _BY_TERM = (("term", False),)
 _BY_TF = (("tf", True),) + _BY_TERM
 _BY_DF = (("df", True),) + _BY_TF
-HEAD_TERMS, HEAD_LEVELS = 1024, 8  # terms that a document's row knows the df of, roughly
+HEAD_TERMS, HEAD_LEVELS = 256, 6  # terms that a document's row knows the df of, roughly
 
 RANKINGS = {"tf": _BY_TF, "df": _BY_DF, "tfxidf": (("tfxidf", True),) + _BY_DF}
 
