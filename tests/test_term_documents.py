@@ -81,6 +81,35 @@ def test_no_pair_without_a_common_document(spark):
     assert shared._products_in_rows(indexed, asked, "tf").count() == 2 * 100
 
 
+@pytest.mark.parametrize("rep", shared.REPRESENTATIONS)
+def test_few_terms_are_scored_against_frequent_queries(spark, monkeypatch, rep):
+    """Terms that cannot reach the floor of a query form no product with it, and the lists are those of all products."""
+    rnd = random.Random(5)
+    common = [f"c{k}" for k in range(12)]
+    rows = [(i % 150, " ".join([*rnd.sample(common, 8), *rnd.choices(common[:4], k=i % 7), f"r{i}", f"m{i % 9}"])) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (None, "c1 c2 c3"), (7, "far1 far2")], "doc_id bigint, contents string")
+    indexed = terms.with_vectors(docs).cache()
+    freqs = terms.doc_freq(indexed).cache()
+    queries = spark.createDataFrame([(q,) for q in ("c0", "c5", "m3", "r17", "far1", "nowhere")], "q string")
+    asked = queries.distinct()
+    norms = shared.document_norms(indexed, freqs, rep)
+    want = shared._listed(shared._placed(shared._sims_of_all(indexed, norms, asked, rep, shared.LONG, True), 5)).collect()
+    met = []
+    count = shared._sims_of
+
+    def counted(cells, marks):
+        sims = count(cells, marks)
+        met.append(sims.filter("q LIKE 'c%'").count())
+        return sims
+
+    monkeypatch.setattr(shared, "_sims_of", counted)
+    for head in (6, 14):
+        met.clear()
+        found = shared.similar_by_documents(indexed, freqs, queries, 5, rep, head=head).collect()
+        assert sorted(map(tuple, found)) == sorted(map(tuple, want))
+        assert sum(met) < 100  # of over 300 terms with each of two
+
+
 def test_unknown_representation(corpus):
     with pytest.raises(ValueError):
         shared.term_doc_vectors(corpus[1], corpus[2], "binary")
