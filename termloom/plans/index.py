@@ -30,7 +30,7 @@ from termloom.operators import term_documents as shared
 from termloom.operators import term_vectors as terms
 from termloom.operators.documents import last_per_key, number_documents
 from termloom.session import materialize
-from termloom.sizes import broadcast_if_small
+from termloom.sizes import broadcast_if_small, dealt_tasks
 
 CREATE, APPEND, CREATE_OR_APPEND = "CREATE", "APPEND", "CREATE_OR_APPEND"
 OPEN_MODES = (CREATE, APPEND, CREATE_OR_APPEND)
@@ -125,7 +125,8 @@ class TextIndex:
         fresh = mode == CREATE or not found
         stored = None if fresh else cls(spark, folder)
         if "doc_id" in docs.columns:
-            docs = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+            # A number of tasks of its own: adaptive execution would join them to about one per core, in two waves.
+            docs = docs.repartitionByRange(dealt_tasks(docs), "doc_id").sortWithinPartitions("doc_id")
         else:
             docs = number_documents(docs, 0 if fresh else stored.next_doc_id())
         if fresh:

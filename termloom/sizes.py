@@ -40,17 +40,32 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.stats().sizeInBytes()))
 
 
+def dealt_tasks(df: DataFrame) -> int:
+    """Tasks for the analysis of so many bytes: some per core, none of more than SPREAD_BYTES_PER_CORE."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(cores * SPREAD_TASKS_PER_CORE, -(-(estimated_bytes(df) or 0) // SPREAD_BYTES_PER_CORE))
+
+
+def fullest_share(df: DataFrame) -> float:
+    """The part of the rows of a scan that its fullest task holds; of a Parquet table only footers are read."""
+    tasks = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"))
+    found = tasks.agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    return found["most"] / found["all"] if found["all"] else 0.0
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Re-deal a small scan over all cores; leave a large one as it is.
+    """Re-deal a scan over all cores if it is small, or if row groups leave much of it to one task.
 
-    A corpus of many files already has more splits than cores, and moving its
-    texts would be a full shuffle. A corpus of one row group would be analysed
-    by a single task.
+    A corpus of many files or row groups already has more splits than cores, and moving its
+    texts would be a full shuffle. A row group is never split: a corpus of one would be analysed
+    by a single task, however large it is.
     """
     size = estimated_bytes(df)
     if size is None:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if size > cores * SPREAD_BYTES_PER_CORE:
+    if size <= cores * SPREAD_BYTES_PER_CORE:
+        return df.repartition(cores * SPREAD_TASKS_PER_CORE, *keys)
+    if size * fullest_share(df) <= 2 * SPREAD_BYTES_PER_CORE:
         return df
-    return df.repartition(cores * SPREAD_TASKS_PER_CORE, *keys)
+    return df.repartition(dealt_tasks(df))

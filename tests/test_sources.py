@@ -314,3 +314,23 @@ def test_stream_of_files(spark, tree, tmp_path):
     found = run()
     assert set(found) == {"a.txt", "my file.txt", "bad.txt", "new.txt"}
     assert len({r.doc_id for r in found.values()}) == 4
+
+
+def test_a_large_row_group_is_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    """A large table of one row group is analysed by several tasks; one of many files is left as it is."""
+    from termloom import sizes
+
+    rows = spark.range(4000).selectExpr("id AS doc_id", "repeat(sha2(string(id), 256), 4) AS text")
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    rows.repartition(40).write.parquet(str(tmp_path / "many"))
+    share = lambda df: sizes.fullest_share(df)
+    one = spark.read.parquet(str(tmp_path / "one"))
+    many = spark.read.parquet(str(tmp_path / "many"))
+    monkeypatch.setattr(sizes, "SPREAD_BYTES_PER_CORE", 16 << 10)
+    assert share(one) == 1 and share(sizes.spread(one, "doc_id")) < 0.2
+    assert sorted(sizes.spread(one, "doc_id").collect()) == sorted(one.collect())
+    assert sizes.estimated_bytes(one) > 8 * sizes.SPREAD_BYTES_PER_CORE
+    monkeypatch.setattr(sizes, "SPREAD_BYTES_PER_CORE", sizes.estimated_bytes(many) // 9)
+    assert share(many) < 0.2
+    assert "Repartition" not in sizes.spread(many, "doc_id")._jdf.queryExecution().logical().toString()
+    assert sizes.fullest_share(rows.limit(0)) == 0
