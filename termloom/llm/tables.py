@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from termloom.session import package_on_path
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,10 +41,6 @@ _WORKER_MEMORY = {
 def ready(spark: SparkSession) -> None:
     """Prepare the workers of this session: small batches, memory that is given back, and the
     package on their path where it is not installed."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    environment = spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
-    environment.update(_WORKER_MEMORY)
+    package_on_path(spark)
+    spark.sparkContext.environment.update(_WORKER_MEMORY)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)

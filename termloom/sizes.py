@@ -13,6 +13,7 @@ BROADCAST_BYTES = 256 << 20
 # leaves most cores idle; re-dealing so little data is cheap.
 SPREAD_BYTES_PER_CORE = 32 << 20
 SPREAD_TASKS_PER_CORE = 3
+UNKNOWN_BYTES = 1 << 50  # estimates from here on stand for rows of unknown size, such as those of an RDD
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -32,12 +33,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where it cannot be asked (Connect)."""
+    """The optimizer's size estimate, or None where it has none or cannot be asked (Connect)."""
     try:
         plan = df._jdf.queryExecution().optimizedPlan()
     except AttributeError:
         return None
-    return int(str(plan.stats().sizeInBytes()))
+    size = int(str(plan.stats().sizeInBytes()))
+    return size if size < UNKNOWN_BYTES else None
 
 
 def dealt_tasks(df: DataFrame) -> int:

@@ -331,6 +331,27 @@ def test_few_pairs_are_scored(spark, sf_dir, monkeypatch):
     assert 0 < sum(df.count() for df in scored) < 0.05 * 300 * words.count()
 
 
+def test_few_queries_meet_the_words_in_their_tasks(spark, monkeypatch):
+    """No row is formed for a character or for a pair below the floor, and blocks and ties lose nothing."""
+    monkeypatch.setattr(similar, "BLOCK_WORDS", 3, raising=False)
+    words = ["", "a", "ab", "ba", "bab", "abc", "cab", "bca", "x", "xy", "\U0001f600", "\U0001f601a", "a\U0001f600", "é", "éa", "aaaa", "zz"]
+    frame = vocabulary_of(spark, words).union(spark.sql("SELECT CAST(NULL AS STRING)")).repartition(2)
+    queries = ["ab", "abc", "\U0001f600", "é", "q", "", "xyz"]
+    table = spark.createDataFrame([(q,) for q in [*queries, None]], "q string")
+    units = lambda w: memoryview(w.encode("utf-16-le")).cast("H").tolist()
+    ranked, plain = [], similar._first_ranks
+    monkeypatch.setattr(similar, "_first_ranks", lambda df, top: ranked.append(df) or plain(df, top))
+    found = defaultdict(list)
+    for r in sorted(similar.similar_terms_batch(frame, table, 3).filter("sim > 0").collect(), key=lambda r: (r.q or "", r["rank"])):
+        found[r.q].append((r.term, r.sim))
+    for q in queries:
+        scores = sorted(((w, brute_cosine(units(q), units(w))) for w in words), key=lambda p: (-p[1], p[0]))
+        assert found[q] == [p for p in scores if p[1] > 0][:3], q
+    assert None not in found
+    plan = ranked[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
+
+
 def test_cosine_properties(spark):
     words = vocabulary_of(spark, ["abc", "bca", "aabbcc", "xyz", "ab"])
     for q in ("abc", "ab"):
