@@ -4,22 +4,27 @@ A term's vector over all documents is hashed into WIDTH places with signs, which
 and brought to unit length. All numbers are then whole (in units of 1 / ONE), so that sums do not
 depend on the order in which tasks add them: the same corpus gives the same clusters on any cluster.
 
-The centres are one row of k arrays, whose size the parameters fix; every round reads it as a
-scalar, gives each term the nearest centre in the term's own row, and sums the terms of a cluster in each
-task before anything moves. Each round's centres are a table, so that a lost executor costs one round.
+The centres are one row of k arrays, whose size the parameters fix; every round sends it to the tasks, which
+multiply blocks of terms with the centres as matrices, and sum the terms of a cluster before anything moves.
+Each round's centres are a table, so that a lost executor costs one round.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from termloom.session import materialize
+from termloom.session import materialize, package_on_path
 
 WIDTH = 256
 ROUNDS = 20
 SEED = 17
 ONE = 1 << 20
 _FINE = 1 << 16  # weights are whole in units of 1 / _FINE
+_BLOCK = 1 << 18  # places of dense vectors that a task holds at once
 
 
 def term_points(weights: DataFrame, width: int = WIDTH, seed: int = SEED) -> DataFrame:
@@ -68,24 +73,63 @@ def first_centres(points: DataFrame, k: int, width: int = WIDTH, seed: int = SEE
     return listed.select(F.posexplode("all").alias("cluster", "at")).select("cluster", _dense(F.col("at.point"), width).alias("centre"))
 
 
-def _assigned(points: DataFrame, centres: DataFrame) -> DataFrame:
+def _sent(centres: DataFrame) -> np.ndarray:
+    """The centres as a matrix (k x width numbers), for the tasks."""
+    package_on_path(centres.sparkSession)
+    return np.array(centres.first()["centres"], float)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], centres: np.ndarray) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Terms in blocks: their rows, dense vectors, the centre with the largest product (the first of several), and that product.
+
+    All numbers are whole, and no sum of products exceeds ONE * ONE by much, so the products are exact.
+    """
+    step = max(1, _BLOCK // centres.shape[1])
+    for batch in batches:
+        for low in range(0, batch.num_rows, step):
+            some = batch.slice(low, step)
+            point = some.column("point")
+            cells, sizes = point.flatten(), point.value_lengths().to_numpy()
+            dense = np.zeros((some.num_rows, centres.shape[1]))
+            dense[np.repeat(np.arange(some.num_rows), sizes), cells.field("place").to_numpy()] = cells.field("v").to_numpy()
+            scores = dense @ centres.T
+            cluster = scores.argmax(axis=1)
+            yield some, dense, cluster, scores[np.arange(len(cluster)), cluster]
+
+
+def _assigned(points: DataFrame, centres: np.ndarray) -> DataFrame:
     """(term, point, cluster, score): the centre with the largest product, the first of several."""
-    with_centres = points.withColumn("centres", centres.scalar())
-    zero = F.lit(0).cast("bigint")
-    product = lambda c: F.aggregate("point", zero, lambda s, x: s + x["v"] * F.get(c, x["place"]))
-    scored = with_centres.withColumn("scores", F.transform("centres", product)).drop("centres")
-    scored = scored.withColumn("score", F.array_max("scores"))
-    cluster = F.array_position("scores", F.col("score")).cast("int") - 1
-    return scored.select("term", "point", cluster.alias("cluster"), "score")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some, _, cluster, score in _blocks(batches, centres):
+            found = [pa.array(cluster, pa.int32()), pa.array(score.astype(np.int64))]
+            yield pa.record_batch([*(some.column(c) for c in ("term", "point")), *found], ["term", "point", "cluster", "score"])
+
+    cell = points.schema["point"].dataType.simpleString()
+    return points.select("term", "point").mapInArrow(run, f"term string, point {cell}, cluster int, score bigint")
+
+
+def _sums(points: DataFrame, centres: np.ndarray) -> DataFrame:
+    """(cluster, place, v): the sums of the terms of each cluster; a task gives each place once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, met = np.zeros(centres.shape, np.int64), np.zeros(centres.shape, bool)
+        for _, dense, cluster, _ in _blocks(batches, centres):
+            for k in np.unique(cluster).tolist():
+                own = dense[cluster == k]
+                total[k] += own.sum(axis=0).astype(np.int64)
+                met[k] |= own.any(axis=0)
+        k, place = np.nonzero(met)
+        yield pa.record_batch([pa.array(k, pa.int32()), pa.array(place, pa.int32()), pa.array(total[k, place])], ["cluster", "place", "v"])
+
+    told = points.select("point").mapInArrow(run, "cluster int, place int, v bigint")
+    return told.groupBy("cluster", "place").agg(F.sum("v").alias("v"))  # k * width rows at most
 
 
-def _next_centres(points: DataFrame, centres: DataFrame, k: int, width: int) -> DataFrame:
+def _next_centres(points: DataFrame, centres: DataFrame, sent: np.ndarray, width: int) -> DataFrame:
     """(cluster, centre) after a round. A cluster that has lost all terms takes the vector of the term farthest from
     its centre: the first such cluster the farthest term, and so on, ties in term order."""
-    given = _assigned(points, centres)
-    cells = given.select("cluster", F.inline("point").alias("place", "v"))
-    sums = cells.groupBy("cluster", "place").agg(F.sum("v").alias("v"))  # k * width rows at most
-    met = sums.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("place", "v"))).alias("cells"))
+    met = _sums(points, sent).groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("place", "v"))).alias("cells"))
     moved = materialize(met.select("cluster", _unit(F.col("cells")).alias("cells")), "moved")
     moved = moved.select("cluster", _dense(F.col("cells"), width).alias("centre"))
     old = centres.select(F.posexplode("centres").alias("cluster", "old"))
@@ -94,7 +138,7 @@ def _next_centres(points: DataFrame, centres: DataFrame, k: int, width: int) ->
     taken = F.lit(None).cast("array<bigint>")
     if lost:
         # A term at its centre (but for rounding) is no better as a centre of its own.
-        apart = given.filter(F.col("score") < ONE * ONE * (1 - 1e-5)).orderBy("score", "term").limit(len(lost))
+        apart = _assigned(points, sent).filter(F.col("score") < ONE * ONE * (1 - 1e-5)).orderBy("score", "term").limit(len(lost))
         apart = apart.select("score", "term", _dense(F.col("point"), width).alias("centre"))
         far = apart.agg(F.array_sort(F.collect_list(F.struct("score", "term", "centre"))).alias("far")).scalar()
         turn = F.array_position(F.array(*map(F.lit, lost)), F.col("cluster")).cast("int") - 1
@@ -117,11 +161,12 @@ def term_kmeans(
     centres = materialize(_as_centres(first_centres(points, k, width, seed)), "centres")
     if points.isEmpty():
         return points.select("term", F.lit(0).alias("cluster"), F.lit(0.0).alias("sim"))
+    sent = _sent(centres)
     for _ in range(rounds):
-        new = materialize(_as_centres(_next_centres(points, centres, k, width)), "centres")
-        same = new.select((F.col("centres") == centres.scalar()).alias("same")).first()["same"]
-        centres = new
-        if same:
+        old = sent
+        centres = materialize(_as_centres(_next_centres(points, centres, old, width)), "centres")
+        sent = _sent(centres)
+        if np.array_equal(sent, old):
             break
-    given = _assigned(points, centres)
+    given = _assigned(points, sent)
     return given.select("term", "cluster", F.round(F.col("score") / (ONE * ONE), 6).alias("sim"))

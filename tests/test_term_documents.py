@@ -158,6 +158,30 @@ def test_kmeans_of_groups_apart(spark):
         assert "none" not in {r.term for r in found}
 
 
+def test_kmeans_multiplies_blocks_of_terms(spark, monkeypatch):
+    """Terms get their centres by exact products in the tasks, without a row for each place of a term."""
+    rng = np.random.default_rng(4)
+    points = {f"t{i}": {int(p): int(rng.integers(-(1 << 20), 1 << 20)) for p in rng.choice(8, 3, replace=False)} for i in range(50)}
+    rows = [(t, sorted(cells.items())) for t, cells in points.items()]
+    frame = spark.createDataFrame(rows, "term string, point array<struct<place: int, v: bigint>>").repartition(3)
+    centres = rng.integers(-(1 << 20), 1 << 20, (5, 8))
+    centres[4] = centres[1]  # the first of two equal ones is taken
+    monkeypatch.setattr(clusters, "_BLOCK", 64)
+    expected = {t: [sum(v * int(c[p]) for p, v in cells.items()) for c in centres] for t, cells in points.items()}
+    given = clusters._assigned(frame, centres.astype(float))
+    for r in given.collect():
+        assert (r.cluster, r.score) == (expected[r.term].index(max(expected[r.term])), max(expected[r.term]))
+        assert {c.place: c.v for c in r.point} == points[r.term]
+    sums = clusters._sums(frame, centres.astype(float))
+    total = {}
+    for t, cells in points.items():
+        for p, v in cells.items():
+            key = expected[t].index(max(expected[t])), p
+            total[key] = total.get(key, 0) + v
+    assert {(r.cluster, r.place): r.v for r in sums.collect()} == total
+    assert "Generate" not in sums._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_kmeans_of_few_terms(spark):
     empty = spark.createDataFrame([], "term string, doc_id bigint, weight double")
     assert clusters.term_kmeans(empty, 5).collect() == []
