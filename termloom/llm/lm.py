@@ -19,13 +19,14 @@ from __future__ import annotations
 import base64
 import pickle
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from termloom.llm import exchange
 from termloom.llm.tables import crc_fold, held_out, text_size
@@ -46,6 +47,7 @@ _PARTS = 16  # parts in which sums over tasks are formed
 OWN, OWN_PLACES = 0.25, 100  # weight of the text's own words at most, and words until half of it
 _CACHE = 400_000
 _BATCH = 1 << 13  # positions computed at once
+_NOTE_BYTES = 4 << 20  # of notes that go to a Python worker at once
 
 
 class WordIds:
@@ -102,7 +104,7 @@ def _pairs(place: np.ndarray, flat: np.ndarray) -> np.ndarray:
 def neighbours(pairs: np.ndarray) -> np.ndarray:
     """For each place, what follows and what precedes it, projected at random, and how much that is."""
     n = GROUPS * (SLOTS - 1) + 1
-    table = pairs.reshape(n, n).astype(np.float64)
+    table = pairs.reshape(n, n).astype(np.float64, copy=False)
     signs = np.random.default_rng(3).standard_normal((n, 48))
     many = table.sum(axis=0) + table.sum(axis=1)
     return np.concatenate([table @ signs, table.T @ signs, many[:, None]], axis=1)
@@ -417,7 +419,8 @@ def _questions(buckets: int):
                 used = np.flatnonzero(of_ids)
                 notes = (ids[i:j], held[i:j], lengths, flat.astype(np.uint32), piece_sizes.astype(np.uint8 if piece_sizes.max() < 256 else np.uint32), piece_ids)
                 seen = (used.astype(np.uint16), of_ids[used])
-                yield asks, exchange.pack(pa.compress(pickle.dumps(notes, 5), "zstd", asbytes=True), len(pickle.dumps(notes, 5)), seen)
+                plain = pickle.dumps(notes, 5)
+                yield asks, exchange.pack(pa.compress(plain, "zstd", asbytes=True), len(plain), seen)
 
     return chunk
 
@@ -436,10 +439,27 @@ def _count_words(asked: list[tuple]) -> tuple[list[bytes | None], list[int]]:
     return out, [int(total.sum()), int((total > 0).sum()), int((total == 1).sum())]
 
 
+@contextmanager
+def _few_notes(spark: SparkSession) -> Iterator[None]:
+    """Batches of few notes for the jobs run inside: a row of notes is as large as a chunk."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(_NOTE_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _payloads(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """The notes of a batch, one at a time: no list holds them all."""
+    return (payload.as_py() for payload in batch.column(0))
+
+
 def _id_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(IDS)
     for batch in batches:
-        for payload in batch.column(0).to_pylist():
+        for payload in _payloads(batch):
             used, counts = pickle.loads(payload)[2]
             total[used] += counts
     some = np.flatnonzero(total)
@@ -504,11 +524,12 @@ def _neighbour_batches(place: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            for payload in batch.column(0).to_pylist():
+            for payload in _payloads(batch):
                 windows = _training_windows(payload)
                 if windows:
                     pairs = _pairs(place, np.concatenate(windows))
-                    total = pairs if total is None else np.add(total, pairs, out=total)
+                    total = pairs.astype(np.float64) if total is None else np.add(total, pairs, out=total)
+                    del pairs
         if total is not None:
             sums = neighbours(total)
             yield _sum_rows(np.arange(len(sums)), sums)
@@ -526,7 +547,7 @@ def _round_batches(model, rate: float):
         group, size = [], 0
         rng = np.random.default_rng(7)
         for batch in batches:
-            for payload in batch.column(0).to_pylist():
+            for payload in _payloads(batch):
                 windows = _training_windows(payload)
                 for k in rng.permutation(len(windows)).tolist():
                     group.append(windows[k])
@@ -554,7 +575,8 @@ def learn_corpus(notes: DataFrame, model: dict) -> dict:
         sent = spark.sparkContext.broadcast(model)
         rows = _rows(model["p"])
         found = part.mapInArrow(_round_batches(sent, ROUND_RATE / 2**k), _SUMS)
-        sums = _summed(found, len(rows), WIDTH + 1)
+        with _few_notes(spark):
+            sums = _summed(found, len(rows), WIDTH + 1)
         rows = rows + sums[:, :-1] / np.maximum(sums[:, -1:], 1)
         model = model | {"p": _from_rows(rows, model["p"])}
         sent.unpersist()
@@ -619,13 +641,15 @@ def score_texts(docs: DataFrame) -> DataFrame:
     notes = answered.filter(F.col("kind") == exchange.NOTE).select("chunk", "payload")
     found = notes.select("payload").mapInArrow(_id_batches, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     id_counts = np.zeros(IDS)
-    for r in found.collect():  # at most IDS rows
-        id_counts[r["id"]] = r["n"]
+    with _few_notes(spark):
+        for r in found.collect():  # at most IDS rows
+            id_counts[r["id"]] = r["n"]
     drawn = docs.select("doc_id").filter(crc_fold("doc_id", FOLDS) != 0).distinct()
     drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", F.lit(1).alias("all"))
     told = notes.select("payload").coalesce(_SHARDS).mapInArrow(_neighbour_batches(_places(id_counts)[1]), _SUMS)
-    where = id_groups(id_counts, _summed(told, GROUPS * (SLOTS - 1) + 1, 97))
+    with _few_notes(spark):
+        where = id_groups(id_counts, _summed(told, GROUPS * (SLOTS - 1) + 1, 97))
     run = _fit(id_counts, where)
     trained = sample.groupBy("all").applyInArrow(lambda t: run(t), "model binary").first()
     learned = pickle.loads(trained["model"]) if trained else train([], id_counts, where=where)

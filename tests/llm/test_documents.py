@@ -430,6 +430,33 @@ def test_language_model_learns_from_all_texts_to_their_ends(spark):
     assert all(np.array_equal(learned["p"][k], again["p"][k]) for k in model["p"])
 
 
+def test_language_model_reads_few_notes_at_once(spark, monkeypatch):
+    """A row of notes is as large as a chunk: a worker gets some megabytes of them, not all of a task."""
+    from termloom.llm import exchange
+
+    docs = spark.createDataFrame([(1, False, " ".join(f"word{i}" for i in range(2000)))], "doc_id bigint, held boolean, text string")
+    one = exchange.ask(docs, lm._questions(4), 4).filter(F.col("kind") == exchange.NOTE).first().payload
+    notes = spark.createDataFrame([(k, one) for k in range(40)], "chunk bigint, payload binary").coalesce(1)
+    monkeypatch.setattr(lm, "_NOTE_BYTES", 2 * len(one), raising=False)
+    plain = lm._round_batches
+
+    def watched(*given):
+        run = plain(*given)
+
+        def told(batches):
+            for batch in batches:
+                assert batch.num_rows <= 3
+                yield from run(iter([batch]))
+
+        return told
+
+    monkeypatch.setattr(lm, "_round_batches", watched)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    lm.learn_corpus(notes, lm.train([], np.ones(lm.IDS)))
+    assert spark.conf.get(name) == before
+
+
 def test_language_model_is_causal_and_sums_to_one():
     counts = np.ones(lm.IDS)
     model = lm.train([[5, 6, 7, 5, 6, 7, lm.END_ID]] * 20, counts, epochs=2)
