@@ -186,7 +186,7 @@ def _forward(p: dict, x: np.ndarray, first: np.ndarray) -> dict:
     s[first, :, :BLOCK] = -1e9
     np.minimum(s, _MOST, out=s)
     a = np.exp(s, out=s)
-    weight = a.sum(axis=2, keepdims=True)
+    weight = _row_sums(a)[:, :, None]
     o = ((a @ vb) / weight).reshape(n, d)
     g = h + o @ p["o"]
     f = g @ p["u"]
@@ -199,60 +199,84 @@ def _forward(p: dict, x: np.ndarray, first: np.ndarray) -> dict:
     return {"h": h, "q": q, "kb": kb, "vb": vb, "a": a, "weight": weight, "o": o, "g": g, "f": f, "z": z, "y": y}
 
 
-def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Positions of each group that has some."""
+def _by_group(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Positions in the order of their groups, and where each group that has some begins and ends there."""
     order = np.argsort(group.astype(np.uint8), kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
-    for k in np.flatnonzero(np.diff(cuts)).tolist():
-        yield k, order[cuts[k] : cuts[k + 1]]
+    ends = np.cumsum(np.bincount(group, minlength=GROUPS)).tolist()
+    return order, [(k, a, b) for k, (a, b) in enumerate(zip([0, *ends[:-1]], ends)) if a < b]
+
+
+def _row_sums(a: np.ndarray) -> np.ndarray:
+    return a @ np.ones(a.shape[-1], a.dtype)
+
+
+def _slot_logits(p: dict, z: np.ndarray, group: np.ndarray, parts: list[tuple[int, int, int]]) -> np.ndarray:
+    """Logits of the slots for positions in the order of their groups."""
+    l = np.empty((len(z), SLOTS), z.dtype)
+    for k, a, b in parts:
+        np.matmul(z[a:b], p["m"][k], out=l[a:b])
+    l += p["mb"][group]
+    return np.minimum(l, _MOST, out=l)
 
 
 def slot_log_probs(p: dict, x: np.ndarray, first: np.ndarray, group: np.ndarray, slot: np.ndarray) -> np.ndarray:
     """Log probabilities of the groups of the targets and of their slots in these."""
     t = _forward(p, x, first)
-    y, z = t["y"], t["z"]
-    out = y[np.arange(len(x)), group] - np.log(np.exp(y, out=y).sum(axis=1))
-    for k, at in _by_group(group):
-        l = np.minimum(z[at] @ p["m"][k] + p["mb"][k], _MOST)
-        own = l[np.arange(len(at)), slot[at]]
-        out[at] += own - np.log(np.exp(l, out=l).sum(axis=1))
+    y, n = t["y"], np.arange(len(x))
+    out = y[n, group]
+    order, parts = _by_group(group)
+    l = _slot_logits(p, t["z"][order], group[order], parts)
+    own = l[n, slot[order]] - np.log(_row_sums(np.exp(l, out=l)))
+    out -= np.log(_row_sums(np.exp(y, out=y)))
+    out[order] += own
     return out
 
 
+def _of_keys(windows: np.ndarray) -> np.ndarray:
+    """Sums for each key, which stands in the window of its own block and in that of the next."""
+    own = windows[:, BLOCK:]
+    own[:-1] += windows[1:, :BLOCK]
+    return own.reshape(-1, WIDTH)
+
+
 def _gradients(p: dict, x: np.ndarray, first: np.ndarray, group: np.ndarray, slot: np.ndarray, real: np.ndarray) -> dict:
     """Gradients of the mean loss over the ``real`` positions; that of "e" is by position."""
     t = _forward(p, x, first)
     n, d = len(x), WIDTH
-    a = t["a"] / t["weight"]
-    dy = np.exp(t["y"])
-    dy /= dy.sum(axis=1, keepdims=True)
-    dy[np.arange(n), group] -= 1
-    part = (real / max(1, int(real.sum()))).astype(dy.dtype)[:, None]
-    dy *= part
-    g = {"c": t["z"].T @ dy, "cb": dy.sum(axis=0), "m": np.zeros_like(p["m"]), "mb": np.zeros_like(p["mb"])}
+    a = t["a"]
+    a /= t["weight"]
+    dy = np.exp(t["y"], out=t["y"])
+    part = (real / max(1, int(real.sum()))).astype(dy.dtype)
+    dy *= (part / _row_sums(dy))[:, None]
+    dy[np.arange(n), group] -= part
+    g = {"c": t["z"].T @ dy, "cb": _row_sums(dy.T), "m": np.zeros_like(p["m"]), "mb": np.zeros_like(p["mb"])}
     dz = dy @ p["c"].T
-    for k, at in _by_group(group):
-        z = t["z"][at]
-        dl = np.exp(np.minimum(z @ p["m"][k] + p["mb"][k], _MOST))
-        dl /= dl.sum(axis=1, keepdims=True)
-        dl[np.arange(len(at)), slot[at]] -= 1
-        dl *= part[at]
-        g["m"][k], g["mb"][k] = z.T @ dl, dl.sum(axis=0)
-        dz[at] += dl @ p["m"][k].T
+    order, parts = _by_group(group)
+    z, part = t["z"][order], part[order]
+    dl = _slot_logits(p, z, group[order], parts)
+    np.exp(dl, out=dl)
+    dl *= (part / _row_sums(dl))[:, None]
+    dl[np.arange(n), slot[order]] -= part
+    back, ones = np.empty_like(z), np.ones(n, z.dtype)
+    for k, low, high in parts:
+        some = dl[low:high]
+        np.matmul(z[low:high].T, some, out=g["m"][k])
+        np.matmul(ones[low:high], some, out=g["mb"][k])
+        np.matmul(some, p["m"][k].T, out=back[low:high])
+    dz[order] += back
     df = dz @ p["w"].T
-    df[t["f"] <= 0] = 0
-    g["w"], g["u"], g["ub"] = t["f"].T @ dz, t["g"].T @ df, df.sum(axis=0)
+    df *= t["f"] > 0
+    g["w"], g["u"], g["ub"] = t["f"].T @ dz, t["g"].T @ df, _row_sums(df.T)
     dg = dz + df @ p["u"].T
     g["o"] = t["o"].T @ dg
     do = (dg @ p["o"].T).reshape(-1, BLOCK, d)
-    da = do @ t["vb"].transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
+    ds = do @ t["vb"].transpose(0, 2, 1)
+    ds -= np.einsum("ijk,ijk->ij", ds, a)[:, :, None]
+    ds *= a
     g["at"] = ds.sum(axis=0)
     dq = (ds @ t["kb"]).reshape(n, d) * np.asarray(d**-0.5, dy.dtype)
-    # A key stands in the window of its own block and in that of the next.
-    one = lambda b: (b[:, BLOCK:] + np.concatenate([b[1:, :BLOCK], np.zeros_like(b[:1, :BLOCK])])).reshape(n, d)
-    dk = one(ds.transpose(0, 2, 1) @ t["q"].reshape(-1, BLOCK, d))
-    dv = one(a.transpose(0, 2, 1) @ do)
+    dk = _of_keys(ds.transpose(0, 2, 1) @ t["q"].reshape(-1, BLOCK, d))
+    dv = _of_keys(a.transpose(0, 2, 1) @ do)
     g["q"], g["k"], g["v"] = t["h"].T @ dq, t["h"].T @ dk, t["h"].T @ dv
     g["e"] = dg + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
     return g
@@ -287,9 +311,9 @@ class Learner:
         for name, grad in g.items():
             at = own if name == "e" else slice(None)
             grad = rows if name == "e" else grad
-            m[name][at] = 0.9 * m[name][at] + 0.1 * grad
-            s[name][at] = 0.99 * s[name][at] + 0.01 * grad * grad
-            p[name][at] -= lr * fix * m[name][at] / (np.sqrt(s[name][at]) + 1e-8)
+            mean = m[name][at] = 0.9 * m[name][at] + 0.1 * grad
+            square = s[name][at] = 0.99 * s[name][at] + 0.01 * grad * grad
+            p[name][at] -= lr * fix * mean / (np.sqrt(square) + 1e-8)
 
 
 def train(docs: list[list[int]], counts: np.ndarray, epochs: int = 2, rate: float = 0.01, where: dict | None = None) -> dict:

@@ -474,6 +474,25 @@ def test_language_model_is_causal_and_sums_to_one():
     assert np.allclose(total, 1, atol=1e-3)
 
 
+def test_language_model_takes_exponentials_of_all_groups_at_once(monkeypatch):
+    p = lm._initial()
+    x, first, target, places = lm.inputs([list(range(3000)), [9, 10], [lm.END_ID]])
+    real = np.zeros(len(x), bool)
+    real[places] = True
+    group, slot = target % (lm.GROUPS - 1), target % lm.SLOTS  # one group without ids
+    t = lm._forward(p, x, first)
+    plain = []
+    for i, (k, j) in enumerate(zip(group.tolist(), slot.tolist())):
+        logits = t["z"][i] @ p["m"][k] + p["mb"][k]
+        plain.append(t["y"][i, k] - np.log(np.exp(t["y"][i]).sum()) + logits[j] - np.log(np.exp(logits).sum()))
+    calls, exp = [], np.exp
+    monkeypatch.setattr(np, "exp", lambda *a, **k: (calls.append(1), exp(*a, **k))[1])
+    assert np.abs(lm.slot_log_probs(p, x, first, group, slot) - plain).max() < 1e-4
+    g = lm._gradients(p, x, first, group, slot, real)
+    assert not g["m"][lm.GROUPS - 1].any() and all(g["m"][k].any() for k in range(lm.GROUPS - 1))
+    assert len(calls) == 6  # attention, groups and slots, forward and for the gradients
+
+
 def test_language_model_gradients():
     p = {k: v.astype(np.float64) for k, v in lm._initial().items()}
     x, first, target, places = lm.inputs([[5, 6, 7] * 9, [9, 10]])
