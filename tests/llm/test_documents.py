@@ -95,6 +95,17 @@ def test_whole_texts_give_the_ids_of_the_tokenizer(texts):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [encoded(t.decode()) for t in every]
 
 
+def test_words_of_letters_pass_by_the_normalizer_and_pattern(monkeypatch):
+    every = ["It's the Élan of ÀÿßØ, they'll say 'sé'd", "naïve naïve façade's", "it the élan", "", "x" * 300 + " é" * 9]
+    encoder, whole = PieceEncoder(), []
+    plain = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda texts: (whole.extend(texts), plain(texts))[1])
+    for _ in range(2):  # the second time from the cache
+        got = encoder.text_ids([raw(t) for t in every])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [encoded(t) for t in every]
+    assert whole and not any(c.isalpha() for t in whole if t[0] != "'" for c in t)
+
+
 def test_packing(documents, texts, empty):
     rows = packing.pack(documents).collect()
     pieces, filled = Counter(), defaultdict(list)
