@@ -17,7 +17,10 @@ another text.
 from __future__ import annotations
 
 import base64
+import ctypes
+import os
 import pickle
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from termloom.llm import exchange
 from termloom.llm.tables import crc_fold, held_out, text_size
-from termloom.llm.words import spans, text_bytes, texts_of, word_hashes
+from termloom.llm.words import LOWER, PIECE, spans, text_bytes, texts_of, word_hashes, words as words_in
 from termloom.session import materialize
 
 FOLDS = 10
@@ -48,6 +51,9 @@ OWN, OWN_PLACES = 0.25, 100  # weight of the text's own words at most, and words
 _CACHE = 400_000
 _BATCH = 1 << 13  # positions computed at once
 _NOTE_BYTES = 4 << 20  # of notes that go to a Python worker at once
+_WORDS = 256  # coded as one text
+_KEPT_BYTES = 64 << 20  # of freed memory that a worker keeps while it computes
+_BLANK = re.compile(r"[^\S ]")
 
 
 class WordIds:
@@ -60,6 +66,8 @@ class WordIds:
             "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
         self.known: dict[bytes, list[int]] = {}
+        self.bytes = np.zeros(IDS, np.int64)  # of each id
+        self.bytes[list(ranks.values())] = list(map(len, ranks))
 
     def __call__(self, words: list[bytes]) -> list[list[int]]:
         if len(self.known) > _CACHE:
@@ -74,6 +82,27 @@ class WordIds:
             out.append(ids)
         return out
 
+    def flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all ids in order.
+
+        The pattern cuts a text before each single space, so words are coded many at once; those that hold
+        white space beyond ASCII (and their neighbours here) go one by one.
+        """
+        sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
+        for low in range(0, len(words), _WORDS):
+            some = words[low : low + _WORDS]
+            text = (b" " + b" ".join(some)).decode()
+            if _BLANK.search(text):
+                found = self(some)
+                sizes.append(np.array([len(x) for x in found], np.int64))
+                ids.append(np.array([y for x in found for y in x], np.uint16))
+            else:
+                found = self.coder.encode_to_numpy(text, disallowed_special=())
+                ends = np.cumsum([len(w) + 1 for w in some])
+                sizes.append(np.diff(np.searchsorted(np.cumsum(self.bytes[found]), ends), prepend=-1))
+                ids.append(found.astype(np.uint16))
+        return np.concatenate(sizes), np.concatenate(ids)
+
 
 def text_words(raw: bytes) -> list[bytes]:
     """Words with A-Z lower-cased, then the end."""
@@ -82,6 +111,21 @@ def text_words(raw: bytes) -> list[bytes]:
     return found
 
 
+def numbered_words(data: np.ndarray, rows: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of texts laid end to end (``rows``: their offsets) and the end as the last one;
+    the number of each word and end in order; how many each text has."""
+    lower = LOWER[data]
+    starts, ends = words_in(lower, rows, PIECE)
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(lower[PIECE[lower]])]
+    found = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    distinct = found.dictionary.to_pylist()
+    before = np.searchsorted(starts, rows)
+    flat = np.insert(found.indices.to_numpy().astype(np.int64), before[1:], len(distinct))
+    return [*distinct, END], flat, np.diff(before) + 1
+
+
 # --- the model -------------------------------------------------------------------------------
 
 
@@ -166,39 +210,56 @@ _AHEAD = np.where(np.arange(2 * BLOCK)[None, :] > np.arange(BLOCK)[:, None] + BL
 _MOST = 60.0  # bounds exponents, in place of taking off the largest
 
 
-def _windows(a: np.ndarray) -> np.ndarray:
-    """For each block of positions, its rows and those of the block before (zeros for the first)."""
-    padded = np.concatenate([np.zeros((BLOCK, a.shape[1]), a.dtype), a])
+def _windows(a: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """Of the product, for each block of positions, its rows and those of the block before (zeros for the first)."""
+    padded = np.empty((len(a) + BLOCK, by.shape[1]), a.dtype)
+    padded[:BLOCK] = 0
+    np.matmul(a, by, out=padded[BLOCK:])
     row, item = padded.strides
     return np.lib.stride_tricks.as_strided(
-        padded, (len(a) // BLOCK, 2 * BLOCK, a.shape[1]), (BLOCK * row, row, item), writeable=False
+        padded, (len(a) // BLOCK, 2 * BLOCK, by.shape[1]), (BLOCK * row, row, item), writeable=False
     )
 
 
 def _forward(p: dict, x: np.ndarray, first: np.ndarray) -> dict:
     """Activations for positions ``x`` (ids); ``first`` tells which blocks begin a text."""
     n, d = len(x), WIDTH
-    h = p["e"][x]
-    q, k, v = h @ (p["q"] * d**-0.5).astype(h.dtype), h @ p["k"], h @ p["v"]
-    kb, vb = _windows(k), _windows(v)
-    s = q.reshape(-1, BLOCK, d) @ kb.transpose(0, 2, 1)
+    h = p["e"].take(x, axis=0)
+    q = (h @ (p["q"] * d**-0.5).astype(h.dtype)).reshape(-1, BLOCK, d)
+    kb, vb = _windows(h, p["k"]), _windows(h, p["v"])
+    s = q @ kb.transpose(0, 2, 1)
     s += p["at"] + _AHEAD
     s[first, :, :BLOCK] = -1e9
     np.minimum(s, _MOST, out=s)
     a = np.exp(s, out=s)
     weight = _row_sums(a)[:, :, None]
-    o = ((a @ vb) / weight).reshape(n, d)
-    g = h + o @ p["o"]
+    o = a @ vb
+    o /= weight
+    o = o.reshape(n, d)
+    g = o @ p["o"]
+    g += h
     f = g @ p["u"]
     f += p["ub"]
     np.maximum(f, 0, out=f)
-    z = g + f @ p["w"]
-    y = z @ p["c"]
-    y += p["cb"]
-    np.minimum(y, _MOST, out=y)
+    z = f @ p["w"]
+    z += g
+    y = np.empty((n + 1, GROUPS), h.dtype)
+    np.matmul(z, p["c"], out=y[:n])
+    y[n] = np.maximum(p["cb"], -_MOST)  # their exponentials weigh the others
+    _bounded(y, _longest(z) * _longest(p["c"].T) + p["cb"].max())
     return {"h": h, "q": q, "kb": kb, "vb": vb, "a": a, "weight": weight, "o": o, "g": g, "f": f, "z": z, "y": y}
 
 
+def _longest(a: np.ndarray) -> float:
+    """The greatest length of a row: products of rows are at most that of their lengths."""
+    return float(np.einsum("...i,...i->...", a, a).max(initial=0)) ** 0.5
+
+
+def _bounded(a: np.ndarray, most: float) -> np.ndarray:
+    """``a`` with no exponent over _MOST; ``most`` is a bound known beforehand."""
+    return a if most < _MOST else np.minimum(a, _MOST, out=a)
+
+
 def _by_group(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     """Positions in the order of their groups, and where each group that has some begins and ends there."""
     order = np.argsort(group.astype(np.uint8), kind="stable")
@@ -215,19 +276,20 @@ def _slot_logits(p: dict, z: np.ndarray, group: np.ndarray, parts: list[tuple[in
     l = np.empty((len(z), SLOTS), z.dtype)
     for k, a, b in parts:
         np.matmul(z[a:b], p["m"][k], out=l[a:b])
-    l += p["mb"][group]
-    return np.minimum(l, _MOST, out=l)
+    l += p["mb"].take(group, axis=0)
+    return _bounded(l, _longest(z) * _longest(p["m"].transpose(0, 2, 1)) + p["mb"].max())
 
 
 def slot_log_probs(p: dict, x: np.ndarray, first: np.ndarray, group: np.ndarray, slot: np.ndarray) -> np.ndarray:
     """Log probabilities of the groups of the targets and of their slots in these."""
     t = _forward(p, x, first)
     y, n = t["y"], np.arange(len(x))
-    out = y[n, group]
+    out = y[n, group] + y[-1][group]
     order, parts = _by_group(group)
-    l = _slot_logits(p, t["z"][order], group[order], parts)
+    l = _slot_logits(p, t["z"].take(order, axis=0), group[order], parts)
     own = l[n, slot[order]] - np.log(_row_sums(np.exp(l, out=l)))
-    out -= np.log(_row_sums(np.exp(y, out=y)))
+    np.exp(y, out=y)
+    out -= np.log(y[:-1] @ y[-1])
     out[order] += own
     return out
 
@@ -240,56 +302,76 @@ def _of_keys(windows: np.ndarray) -> np.ndarray:
 
 
 def _gradients(p: dict, x: np.ndarray, first: np.ndarray, group: np.ndarray, slot: np.ndarray, real: np.ndarray) -> dict:
-    """Gradients of the mean loss over the ``real`` positions; that of "e" is by position."""
+    """Gradients of the mean loss over the ``real`` positions; that of "e" is by position.
+
+    Shares of groups and slots stay exponentials: what divides them goes to the narrow sides of the products.
+    """
     t = _forward(p, x, first)
     n, d = len(x), WIDTH
-    a = t["a"]
+    a, at = t["a"], np.arange(n)
     a /= t["weight"]
-    dy = np.exp(t["y"], out=t["y"])
+    np.exp(t["y"], out=t["y"])
+    dy, bias = t["y"][:-1], t["y"][-1]
     part = (real / max(1, int(real.sum()))).astype(dy.dtype)
-    dy *= (part / _row_sums(dy))[:, None]
-    dy[np.arange(n), group] -= part
-    g = {"c": t["z"].T @ dy, "cb": _row_sums(dy.T), "m": np.zeros_like(p["m"]), "mb": np.zeros_like(p["mb"])}
-    dz = dy @ p["c"].T
+    total = dy @ bias
+    dy[at, group] -= total / bias[group]
+    total = part / total
+    g = {"c": ((t["z"] * total[:, None]).T @ dy) * bias, "cb": (total @ dy) * bias, "m": np.zeros_like(p["m"]), "mb": np.zeros_like(p["mb"])}
+    dz = dy @ (p["c"] * bias).T
+    dz *= total[:, None]
     order, parts = _by_group(group)
-    z, part = t["z"][order], part[order]
+    z = t["z"].take(order, axis=0)
     dl = _slot_logits(p, z, group[order], parts)
     np.exp(dl, out=dl)
-    dl *= (part / _row_sums(dl))[:, None]
-    dl[np.arange(n), slot[order]] -= part
-    back, ones = np.empty_like(z), np.ones(n, z.dtype)
+    total = _row_sums(dl)
+    dl[at, slot[order]] -= total
+    total = part[order] / total
+    z *= total[:, None]
+    back = np.empty_like(z)
     for k, low, high in parts:
         some = dl[low:high]
         np.matmul(z[low:high].T, some, out=g["m"][k])
-        np.matmul(ones[low:high], some, out=g["mb"][k])
+        np.matmul(total[low:high], some, out=g["mb"][k])
         np.matmul(some, p["m"][k].T, out=back[low:high])
-    dz[order] += back
+    back *= total[:, None]
+    z[order] = back
+    dz += z
     df = dz @ p["w"].T
-    df *= t["f"] > 0
+    df *= (t["f"] > 0).astype(df.dtype)
     g["w"], g["u"], g["ub"] = t["f"].T @ dz, t["g"].T @ df, _row_sums(df.T)
-    dg = dz + df @ p["u"].T
+    dg = df @ p["u"].T
+    dg += dz
     g["o"] = t["o"].T @ dg
     do = (dg @ p["o"].T).reshape(-1, BLOCK, d)
     ds = do @ t["vb"].transpose(0, 2, 1)
     ds -= np.einsum("ijk,ijk->ij", ds, a)[:, :, None]
     ds *= a
     g["at"] = ds.sum(axis=0)
-    dq = (ds @ t["kb"]).reshape(n, d) * np.asarray(d**-0.5, dy.dtype)
-    dk = _of_keys(ds.transpose(0, 2, 1) @ t["q"].reshape(-1, BLOCK, d))
+    dq = (ds @ t["kb"]).reshape(n, d)
+    dk = _of_keys(ds.transpose(0, 2, 1) @ t["q"])
     dv = _of_keys(a.transpose(0, 2, 1) @ do)
-    g["q"], g["k"], g["v"] = t["h"].T @ dq, t["h"].T @ dk, t["h"].T @ dv
-    g["e"] = dg + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
+    scale = np.asarray(d**-0.5, dy.dtype)
+    g["q"], g["k"], g["v"] = t["h"].T @ dq * scale, t["h"].T @ dk, t["h"].T @ dv
+    dg += dq @ (p["q"] * scale).T
+    dg += dk @ p["k"].T
+    dg += dv @ p["v"].T
+    g["e"] = dg
     return g
 
 
 class Learner:
-    """Weights that learn by Adam."""
+    """Weights that learn by Adam. All but those of the ids lie in one array, of which ``p`` shows the parts."""
 
     def __init__(self, p: dict, where: dict):
-        self.p = {k: v.copy() for k, v in p.items()}
+        self.names = [k for k in p if k != "e"]
+        flat, at = np.concatenate([p[k].ravel() for k in self.names]), 0
+        self.p = {"e": p["e"].copy()}
+        for k in self.names:
+            self.p[k], at = flat[at : at + p[k].size].reshape(p[k].shape), at + p[k].size
         self.where = where
-        self.m = {k: np.zeros_like(v) for k, v in p.items()}
-        self.s = {k: np.zeros_like(v) for k, v in p.items()}
+        self.weights = [self.p["e"], flat]
+        self.m = [np.zeros_like(v) for v in self.weights]
+        self.s = [np.zeros_like(v) for v in self.weights]
         self.met = np.zeros(IDS)  # how often each id was an input
         self.step = 0
 
@@ -298,22 +380,21 @@ class Learner:
         x, first, target, places = inputs(docs)
         real = np.zeros(len(x), bool)
         real[places] = True
-        group, slot = self.where["group"][target], self.where["slot"][target]
+        group, slot = self.where["group"].take(target), self.where["slot"].take(target)
         g = _gradients(self.p, x, first, group, slot, real)
-        self.met += np.bincount(x[places], minlength=IDS)
         self.step += 1
         lr = rate * min(1.0, self.step / 30)
         fix = (1 - 0.99**self.step) ** 0.5 / (1 - 0.9**self.step)
-        own, inverse = np.unique(x, return_inverse=True)
-        by = np.argsort(inverse, kind="stable")
-        rows = np.add.reduceat(g["e"][by], np.searchsorted(inverse[by], np.arange(len(own))))
-        p, m, s = self.p, self.m, self.s
-        for name, grad in g.items():
-            at = own if name == "e" else slice(None)
-            grad = rows if name == "e" else grad
-            mean = m[name][at] = 0.9 * m[name][at] + 0.1 * grad
-            square = s[name][at] = 0.99 * s[name][at] + 0.01 * grad * grad
-            p[name][at] -= lr * fix * mean / (np.sqrt(square) + 1e-8)
+        by = np.argsort(x.astype(np.uint16), kind="stable")
+        sorted_x = x[by]
+        begins = np.flatnonzero(np.append(True, sorted_x[1:] != sorted_x[:-1]))
+        own = sorted_x[begins]
+        self.met[own] += np.add.reduceat(real[by].astype(np.float64), begins)
+        grads = [np.add.reduceat(g["e"].take(by, axis=0), begins), np.concatenate([g[k].ravel() for k in self.names])]
+        for p, m, s, at, grad in zip(self.weights, self.m, self.s, (own, slice(None)), grads):
+            mean = m[at] = 0.9 * m[at] + 0.1 * grad
+            square = s[at] = 0.99 * s[at] + 0.01 * grad * grad
+            p[at] -= lr * fix * mean / (np.sqrt(square) + 1e-8)
 
 
 def train(docs: list[list[int]], counts: np.ndarray, epochs: int = 2, rate: float = 0.01, where: dict | None = None) -> dict:
@@ -388,8 +469,9 @@ def seen_before(words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     """How often each word stood earlier in its text, and how many words stood there."""
     n = len(words)
     text = np.repeat(np.arange(len(lengths)), lengths)
-    order = np.lexsort((words, text))  # stable: by place within equal words
-    new = np.append(True, (np.diff(text[order]) != 0) | (np.diff(words[order]) != 0))[:n]
+    keys = np.sort(words.astype(np.int64) * n + np.arange(n))  # by word, then place, so that its texts are in order
+    by_word, order = np.divmod(keys, max(n, 1))
+    new = np.append(True, (np.diff(text[order]) != 0) | (np.diff(by_word) != 0))[:n]
     begin = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     before = np.empty(n, np.int64)
     before[order] = np.arange(n) - begin
@@ -419,26 +501,18 @@ def _questions(buckets: int):
         if not coder:
             coder.append(WordIds())
         ids, held = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        _, offsets = text_bytes(batch.column(2))
-        raws = texts_of(batch.column(2))
+        data, offsets = text_bytes(batch.column(2))
         for low, high in spans(offsets, exchange.CHUNK_BYTES):
             for i in range(low, high, exchange.CHUNK_DOCS):
                 j = min(i + exchange.CHUNK_DOCS, high)
-                number: dict[bytes, int] = {}
-                sequences = []
-                for raw in raws[i:j]:
-                    sequences.append([number.setdefault(w, len(number)) for w in text_words(raw)])
-                words = list(number)
-                lengths = np.array([len(s) for s in sequences], np.int64)
-                flat = np.fromiter((k for s in sequences for k in s), np.int64, int(lengths.sum()))
+                words, flat, lengths = numbered_words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 learned = np.repeat(~np.array(held[i:j], bool), lengths)
                 counts = np.bincount(flat[learned], minlength=len(words))
                 sizes = np.cumsum([0, *map(len, words)])
                 hashes = word_hashes(np.frombuffer(b"".join(words), np.uint8), sizes[:-1], sizes[1:])
                 asks = [(b, exchange.pack(at.astype(np.uint32), hashes[at], counts[at])) for b, at in exchange.by_bucket(hashes, buckets)]
-                pieces = coder[0](words)
-                piece_sizes = np.array([len(x) for x in pieces], np.int64)
-                piece_ids = np.array([y for x in pieces for y in x], np.uint16)
+                piece_sizes, piece_ids = coder[0].flat(words[:-1])
+                piece_sizes, piece_ids = np.append(piece_sizes, 1), np.append(piece_ids, np.uint16(END_ID))
                 of_ids = np.bincount(piece_ids, np.repeat(counts, piece_sizes), IDS)
                 used = np.flatnonzero(of_ids)
                 notes = (ids[i:j], held[i:j], lengths, flat.astype(np.uint32), piece_sizes.astype(np.uint8 if piece_sizes.max() < 256 else np.uint32), piece_ids)
@@ -475,6 +549,21 @@ def _few_notes(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def _kept_memory() -> Iterator[None]:
+    """Memory that is freed stays with the worker inside, where each step would fetch it again from the system."""
+    most, set_option = os.environ.get("MALLOC_TRIM_THRESHOLD_"), getattr(ctypes.CDLL(None), "mallopt", None)
+    if not most or not set_option:  # nothing is given back early
+        yield
+        return
+    trim_threshold = -1  # M_TRIM_THRESHOLD
+    set_option(trim_threshold, max(int(most), _KEPT_BYTES))
+    try:
+        yield
+    finally:
+        set_option(trim_threshold, int(most))
+
+
 def _payloads(batch: pa.RecordBatch) -> Iterator[bytes]:
     """The notes of a batch, one at a time: no list holds them all."""
     return (payload.as_py() for payload in batch.column(0))
@@ -570,17 +659,18 @@ def _round_batches(model, rate: float):
         learner = Learner(p, model.value)
         group, size = [], 0
         rng = np.random.default_rng(7)
-        for batch in batches:
-            for payload in _payloads(batch):
-                windows = _training_windows(payload)
-                for k in rng.permutation(len(windows)).tolist():
-                    group.append(windows[k])
-                    size += len(windows[k])
-                    if size >= STEP_IDS:
-                        learner.learn(group, rate)
-                        group, size = [], 0
-        if group:
-            learner.learn(group, rate)
+        with _kept_memory():
+            for batch in batches:
+                for payload in _payloads(batch):
+                    windows = _training_windows(payload)
+                    for k in rng.permutation(len(windows)).tolist():
+                        group.append(windows[k])
+                        size += len(windows[k])
+                        if size >= STEP_IDS:
+                            learner.learn(group, rate)
+                            group, size = [], 0
+            if group:
+                learner.learn(group, rate)
         if learner.step:
             change = _rows(learner.p).astype(np.float64) - _rows(p)
             met = np.full(len(change), learner.met.sum())
@@ -618,7 +708,8 @@ def _scores(model: dict, n: int, v: int, once: int):
         sums = lambda x: np.add.reduceat(x, begins) if len(begins) else x[:0]
         c = counts[flat]
         base = sums(np.log10((counts + 0.1) / (n + 0.1 * (v + 1)))[flat])
-        got = id_log_probs(model, pieces, in_text)
+        with _kept_memory():
+            got = id_log_probs(model, pieces, in_text)
         by_word = np.add.reduceat(got.astype(np.float64), np.cumsum(many) - many) if len(many) else got
         score = sums(mixture(by_word, c, n, once, *seen_before(flat, lengths)) / np.log(10))
         return pa.table(
@@ -641,7 +732,9 @@ def _fit(counts: np.ndarray, where: dict):
         coder = WordIds()
         texts = sorted(texts_of(table["text"]))
         docs = [[i for ids in coder(text_words(raw)) for i in ids] for raw in texts]
-        return pa.table({"model": pa.array([pickle.dumps(train(docs, counts, where=where))], pa.binary())})
+        with _kept_memory():
+            model = train(docs, counts, where=where)
+        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
     return run
 

@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -468,6 +469,44 @@ def test_language_model_reads_few_notes_at_once(spark, monkeypatch):
     assert spark.conf.get(name) == before
 
 
+def test_language_model_codes_words_many_at_once(monkeypatch):
+    """With the ids that each has alone, also next to words that hold white space beyond ASCII."""
+    plain = [f"word{i}" for i in range(3000)] + ["it's", "''", "1,000.5", "---", "\u00e9t\u00e9", "\u4e2d\u6587", "x" * 900]
+    odd = ["a\u00a0b", "\u3000", "\u2009'", "\x1cq", "\x85", "\u00a0\u00a0z"]
+    words = [w.encode() for w in [*plain, *odd, *plain[:300]]]
+    alone = lm.WordIds()(words)
+    coder = lm.WordIds()
+    sizes, ids = coder.flat(words)
+    assert sizes.tolist() == list(map(len, alone))
+    assert ids.tolist() == [i for x in alone for i in x]
+    assert len(coder.known) < 600  # only those that stand near the odd ones
+    assert [x.tolist() for x in coder.flat([])] == [[], []]
+
+
+def test_language_model_numbers_words_of_all_texts_at_once(monkeypatch):
+    texts = [raw(t) for t in ["One two  ONE\tthree ", "", " \n", "two\u00a0x \u00c9 two", "three\x0b\x0cone"]]
+    rows = np.cumsum([0, *map(len, texts)])
+    found = [lm.text_words(t) for t in texts]
+    monkeypatch.setattr(lm, "text_words", None)  # no loop over texts
+    words, flat, lengths = lm.numbered_words(np.frombuffer(b"".join(texts), np.uint8), rows)
+    assert [words[k] for k in flat] == sum(found, [])
+    assert lengths.tolist() == list(map(len, found))
+    assert len(set(words)) == len(words) and words[-1] == lm.END
+
+
+def test_language_model_keeps_memory_between_steps(monkeypatch):
+    """The workers give memory back above a small limit; a step would fetch all of its memory anew."""
+    limits = []
+    monkeypatch.setattr(lm.ctypes, "CDLL", lambda _: SimpleNamespace(mallopt=lambda what, limit: limits.append((what, limit))))
+    monkeypatch.setenv("MALLOC_TRIM_THRESHOLD_", "1000")
+    with lm._kept_memory():
+        assert limits == [(-1, lm._KEPT_BYTES)]
+    assert limits[1:] == [(-1, 1000)]
+    monkeypatch.delenv("MALLOC_TRIM_THRESHOLD_")
+    with lm._kept_memory():
+        assert len(limits) == 2
+
+
 def test_language_model_is_causal_and_sums_to_one():
     counts = np.ones(lm.IDS)
     model = lm.train([[5, 6, 7, 5, 6, 7, lm.END_ID]] * 20, counts, epochs=2)
